@@ -1,0 +1 @@
+"""No streaming operators: all the work of this library is batch work over tables."""
