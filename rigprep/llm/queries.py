@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rigprep.llm import exact_dedup
+from rigprep.llm import exact_dedup, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,9 +15,14 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.fertility_rules(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op9_quality_fertility": op9_quality_fertility,
     }
 
 
