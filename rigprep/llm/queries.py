@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rigprep.llm import exact_dedup, quality
+from rigprep.llm import exact_dedup, packing, quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed_digests(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fertility_rules(_table(spark, sf_dir, "documents"))
 
@@ -22,6 +26,7 @@ def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_packing": op4_packing,
         "op9_quality_fertility": op9_quality_fertility,
     }
 
