@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rigprep.llm import exact_dedup, packing, quality
+from rigprep.llm import exact_dedup, mixing, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,14 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(_table(spark, sf_dir, "documents"))
 
 
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_weight", "mix_repeats", "mix_epoch", "mix_block", "mix_rank")
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fertility_rules(_table(spark, sf_dir, "documents"))
 
@@ -27,12 +35,23 @@ def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_packing": op4_packing,
+        "op7_mixing": op7_mixing,
+        "op8_warc": op8_warc,
         "op9_quality_fertility": op9_quality_fertility,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op8_warc": """
+            WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS h FROM pages),
+            d AS (SELECT page_id, octet_length(payload) AS n, h,
+                         list_aggregate(list_transform(range(0, 8), lambda i: list_aggregate(list_transform([15, 10, 5, 0],
+                             lambda s: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[CAST((CAST('0x' || h[i * 5 + 1:i * 5 + 5] AS BIGINT) >> s) & 31 AS BIGINT) + 1]), 'string_agg', '')), 'string_agg', '') AS digest,
+                         min(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+            SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+                   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM d""",
         "op3_exact_dedup": r"""
             WITH t AS (SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256 FROM documents)
             SELECT doc_id, min(doc_id) OVER w AS keep_id, CAST(count(*) OVER w AS BIGINT) AS group_size,
