@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rigprep.llm import exact_dedup, mixing, packing, quality, warc
+from rigprep.llm import exact_dedup, mixing, near_dedup, packing, quality, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_digests(_table(spark, sf_dir, "documents"))
 
 
+def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_weight", "mix_repeats", "mix_epoch", "mix_block", "mix_rank")
 
@@ -35,6 +39,7 @@ def queries() -> dict:
     return {
         "op3_exact_dedup": op3_exact_dedup,
         "op4_packing": op4_packing,
+        "op5_minhash_near_dedup": op5_minhash_near_dedup,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
         "op9_quality_fertility": op9_quality_fertility,
