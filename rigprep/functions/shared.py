@@ -40,3 +40,8 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
 def row_count(df: DataFrame) -> int:
     """Rows of ``df``, from Parquet footers where ``df`` is a written table."""
     return df.count()
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of jobs that have ended: its cleaner follows the JVM's collector."""
+    spark.sparkContext._jvm.System.gc()
