@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rigprep.llm import exact_dedup, mixing, near_dedup, packing, quality, warc
+from rigprep.llm import exact_dedup, mixing, near_dedup, packing, quality, repeats, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.without_repeats(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {
+        "op2_suffix_dedup": op2_suffix_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_packing": op4_packing,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
