@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rigprep.llm import exact_dedup, mixing, near_dedup, packing, quality, repeats, warc
+from rigprep.llm import exact_dedup, html_text, mixing, near_dedup, packing, quality, repeats, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_components(_table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "source", "mix_weight", "mix_repeats", "mix_epoch", "mix_block", "mix_rank")
 
@@ -45,6 +50,7 @@ def queries() -> dict:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_packing": op4_packing,
         "op5_minhash_near_dedup": op5_minhash_near_dedup,
+        "op6_html_text": op6_html_text,
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
         "op9_quality_fertility": op9_quality_fertility,
