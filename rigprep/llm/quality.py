@@ -60,7 +60,7 @@ class Vocabulary:
         self.pieces, self.start, self.byte_tokens = np.empty(0, dtype=np.int32), np.zeros(1, dtype=np.int64), np.empty(0, dtype=np.int64)
 
     def learn(self, words: set[bytes]) -> None:
-        new = list(words - self.number.keys())
+        new = [w for w in words if w not in self.number]
         if not new:
             return
         texts = [w.decode("utf-8", "replace") for w in new]

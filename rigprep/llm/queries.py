@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rigprep.llm import exact_dedup, html_text, mixing, near_dedup, packing, quality, repeats, warc
+from rigprep.llm import exact_dedup, html_text, langid, mixing, near_dedup, packing, pii, quality, repeats, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.span_digests(pii.personal_data(_table(spark, sf_dir, "documents")))
+
+
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.without_repeats(_table(spark, sf_dir, "documents")).drop("spans")
 
@@ -44,8 +48,13 @@ def op9_quality_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.fertility_rules(_table(spark, sf_dir, "documents"))
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
     return {
+        "op1_pii": op1_pii,
         "op2_suffix_dedup": op2_suffix_dedup,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_packing": op4_packing,
@@ -54,6 +63,7 @@ def queries() -> dict:
         "op7_mixing": op7_mixing,
         "op8_warc": op8_warc,
         "op9_quality_fertility": op9_quality_fertility,
+        "op10_langid": op10_langid,
     }
 
 
