@@ -4,7 +4,8 @@ A document's set is its distinct 5-word shingles. Each register holds an exponen
 truncated minimum over the set: floor(1 - log_B(x)) of the least exponential variate x. Registers
 of a union are the maxima of the registers. Equal registers in a band put two sets in one bucket.
 A bucket never yields all its pairs: its members are compared with one hub, and only sets that
-are still in different components are compared further. Pairs whose Jaccard similarity cannot be
+are still in different components are compared further, if their shingles are shared widely
+enough to allow a link. Pairs whose Jaccard similarity cannot be
 near the threshold, by the likelihood of their registers, are dropped; the rest are checked on
 the full sets.
 """
@@ -35,7 +36,7 @@ BASE = 1.01
 LEAST_ESTIMATE = 0.55
 #: Members of a bucket that are compared with one copy of the hub's text.
 BLOCK = 256
-HUB_ROUNDS = 3
+HUB_ROUNDS, PEELS = 3, 2
 
 _ODD = np.random.default_rng(20240501).integers(1, 1 << 63, size=(2, REGISTERS), dtype=np.uint64) | np.uint64(1)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -189,6 +190,43 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return rows.select("a", "block", "id", "text").groupBy("a", "block").applyInPandas(check, "a long, b long")
 
 
+def _sets(reps: DataFrame, texts: DataFrame) -> DataFrame:
+    """(rep, n, shingles) of the wanted sets."""
+
+    def start():
+        def work(cols, batch):
+            rows = [shingles(t) for t in batch]
+            size = np.fromiter(map(len, rows), dtype=np.int64, count=len(rows))
+            values = np.concatenate(rows).view(np.int64) if rows else np.empty(0, dtype=np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(values))
+            return {"rep": cols["rep"], "n": pa.array(size), "shingles": lists}
+
+        return work
+
+    return materialize(map_texts(texts.join(reps, "rep", "left_semi"), {"rep": "rep"}, "text", start, "rep long, n long, shingles array<long>"), "sets")
+
+
+def _peeled(here: DataFrame, texts: DataFrame) -> DataFrame:
+    """``here`` (bucket, rep, label) with n and share, without sets that cannot have a link left.
+
+    share is how many of a set's shingles any other of these sets has. Two sets have at most the
+    lesser share in common, so a set with a share under the threshold has no partner and leaves,
+    as does a bucket with one component; others' shares then fall, and the count is made again.
+    This exact bound parts sets that share a passage, or that stem from one text and were each
+    changed too much.
+    """
+    sets = _sets(here.select("rep").distinct(), texts)
+    for _ in range(PEELS):
+        known = sets.join(here.select("rep").distinct(), "rep", "left_semi")
+        lone = known.select("rep", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("rep")).where("k = 1").groupBy("rep").count()
+        share = F.col("n") - F.coalesce("count", F.lit(0))
+        able = materialize(known.select("rep", "n").join(lone, "rep", "left").select("rep", "n", share.alias("share")).where(f"100 * share >= {PERCENT} * n"), "able")
+        here = materialize(here.select("bucket", "rep", "label").join(able, "rep"), "able_members")
+        mixed = materialize(here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket"), "mixed")
+        here = materialize(here.join(mixed, "bucket"), "peeled")
+    return here
+
+
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -219,8 +257,10 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             hubs = materialize(here.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "rep", "label")).alias("hub")).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.label").alias("hub_label")), "bucket_hubs")
             pairs = here.join(hubs, "bucket").where("label <> hub_label").select("a", F.col("rep").alias("b"))
         else:  # what is left: sets of one bucket that are still in different components
-            one = here.select("bucket", F.col("rep").alias("a"), F.col("label").alias("la"))
-            pairs = one.join(here.select("bucket", F.col("rep").alias("b"), F.col("label").alias("lb")), "bucket").where("la < lb").select("a", "b")
+            here = _peeled(here, texts)
+            one, two = (here.select("bucket", *[F.col(c).alias(c + side) for c in ("rep", "label", "n", "share")]) for side in "ab")
+            most = F.least("sharea", "shareb")
+            pairs = one.join(two, "bucket").where((F.col("labela") < F.col("labelb")) & (100 * most >= PERCENT * (F.col("na") + F.col("nb") - most))).select(F.col("repa").alias("a"), F.col("repb").alias("b"))
         pairs = pairs.distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
