@@ -207,13 +207,14 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     the markup marks. Null and odd URLs form a host of their own; repeated rows are judged each. An
     empty table gives an empty table. Other columns are not looked at.
     """
-    parsed = materialize(page_lines(pages, id_col, url_col, html_col).withColumn("row", F.monotonically_increasing_id()), "page_lines")
-    pairs = materialize(nearest(parsed).where("mate is not null"), "pairs")
-    # A line inside an article is never frame, so mates need to send their other lines only.
+    parsed = page_lines(pages, id_col, url_col, html_col)
+    # A line inside an article is never frame, so only the other lines are written and sent to mates.
     other = F.filter(F.arrays_zip("kinds", "texts"), lambda x: x["kinds"] != "main")
-    mates = parsed.select(F.col("row").alias("mate"), F.transform(other, lambda x: x["texts"]).alias("mate_texts"))
-    mates = materialize(pairs.join(mates, "mate").select("row", "mate_texts"), "mates")
-    both = parsed.join(mates, "row", "left")
+    frames = materialize(parsed.select("page_id", "url", F.transform(other, lambda x: x["texts"]).alias("others")).withColumn("row", F.monotonically_increasing_id()), "frames")
+    pairs = nearest(frames).where("mate is not null")
+    mates = pairs.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate").join(frames.select("row", "page_id", "url"), "row")
+    mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts").dropDuplicates(["own_id", "own_url"]), "mates")
+    both = parsed.join(mates, parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
