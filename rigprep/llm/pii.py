@@ -326,5 +326,8 @@ def span_digests(found: DataFrame) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter(ruled, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in KINDS]
+    def of_kind(kind: str):
+        return F.size(F.filter(ruled, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of_kind(k) for k in KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(ruled), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"), (F.size("spans") - F.size(ruled)).cast("long").alias("n_added"))
