@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 
@@ -25,13 +26,12 @@ class Crf:
     moves: np.ndarray  # label before x label
 
     def emissions(self, features: list[list[int]]) -> np.ndarray:
-        """One row for each list of feature numbers."""
-        out = np.zeros((len(features), len(self.labels)), dtype=np.float32)
-        if features:
-            length = np.fromiter(map(len, features), dtype=np.int64, count=len(features))
-            flat = np.fromiter((x for f in features for x in f), dtype=np.int64, count=int(length.sum()))
-            np.add.at(out, np.repeat(np.arange(len(features)), length), self.weights[flat])
-        return out
+        """One row for each list of feature numbers, of which none is empty."""
+        if not features:
+            return np.zeros((0, len(self.labels)), dtype=np.float32)
+        length = np.fromiter(map(len, features), dtype=np.int64, count=len(features))
+        flat = np.fromiter(chain.from_iterable(features), dtype=np.int64, count=int(length.sum()))
+        return np.add.reduceat(self.weights[flat], np.cumsum(length) - length, axis=0)
 
 
 def blocks(count: np.ndarray, size: int = BLOCK) -> tuple[np.ndarray, np.ndarray]:
