@@ -30,25 +30,25 @@ def _(t):
 
 
 # A small camera of 64 x 36 pixels with the rig's distortion.
-SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 80e0 AS fx, 80e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib} WHERE cam_idx < 4)"
+SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 70e0 AS fx, 70e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib} WHERE cam_idx < 4)"
 LOOK = f"""(SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, {_dist('x', 'y', 'x')} * fx + cx AS su, {_dist('x', 'y', 'y')} * fy + cy AS sv FROM (SELECT *, (u - cx) / fx AS x, (v - cy) / fy AS y FROM {SMALL}, range(0, 64) a(u), range(0, 36) b(v)))"""
 
 
 def small(t) -> DataFrame:
-    sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(80.0), "fy": F.lit(80.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
+    sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(70.0), "fy": F.lit(70.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
     return t("fx_calib").where("cam_idx < 4").withColumns(sized)
 
 
-@query("d3_undistort_lookup", f"SELECT scene_id, cam_idx, u, v, round(su, 6) + 0e0 AS su, round(sv, 6) + 0e0 AS sv FROM {LOOK}")
+@query("d3_undistort_lookup", f"SELECT scene_id, cam_idx, u, v, round(su, 9) + 0e0 AS su, round(sv, 9) + 0e0 AS sv FROM {LOOK}")
 def _(t):
-    return r6(distortion.undistort_lookup(small(t)), "su", "sv")
+    return distortion.undistort_lookup(small(t)).withColumns({c: F.round(c, 9) + 0.0 for c in ("su", "sv")})
 
 
-@query("d4_remap_bilinear", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, round(sum(coalesce(p.value, 0) * (CASE i WHEN 1 THEN su - floor(su) ELSE 1 - (su - floor(su)) END) * (CASE j WHEN 1 THEN sv - floor(sv) ELSE 1 - (sv - floor(sv)) END)), 4) + 0e0 AS value
+@query("d4_remap_bilinear", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, round(sum(coalesce(p.value, 0) * (CASE i WHEN 1 THEN su - floor(su) ELSE 1 - (su - floor(su)) END) * (CASE j WHEN 1 THEN sv - floor(sv) ELSE 1 - (sv - floor(sv)) END)), 8) + 0e0 AS value
     FROM (SELECT *, CAST(floor(su) AS INT) + i AS pu, CAST(floor(sv) AS INT) + j AS pv FROM {LOOK}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(i, j)) l
     LEFT JOIN {{fx_pixels}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = l.pu AND p.v = l.pv GROUP BY l.scene_id, l.cam_idx, l.u, l.v""")
 def _(t):
-    return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t))).withColumn("value", F.round("value", 4) + 0.0)
+    return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t))).withColumn("value", F.round("value", 8) + 0.0)
 
 
 @query("d4_remap_nearest", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, coalesce(p.value, 0e0) AS value FROM {LOOK} l LEFT JOIN {{fx_pixels}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = CAST(floor(su + 0.5) AS INT) AND p.v = CAST(floor(sv + 0.5) AS INT)""")
@@ -197,7 +197,7 @@ def _(t):
     return writers.format_pairs(pairs.exhaustive_pairs(t("fx_model_images")))
 
 
-@query("k9_plan_layout", r"SELECT scene_id, name, CASE WHEN regexp_matches(name, '^cam[0-9]{3}frame[0-9]{3}\.png$') THEN name[1:6] || '/' || name ELSE name END AS target, regexp_matches(name, '^cam[0-9]{3}frame[0-9]{3}\.png$') AS moved FROM {fx_frames}")
+@query("k9_plan_layout", r"SELECT scene_id, name, CASE WHEN regexp_matches(name, '^cam[0-9][0-9][0-9]frame[0-9][0-9][0-9]\.png$') THEN name[1:6] || '/' || name ELSE name END AS target, regexp_matches(name, '^cam[0-9][0-9][0-9]frame[0-9][0-9][0-9]\.png$') AS moved FROM {fx_frames}")
 def _(t):
     return writers.plan_layout(t("fx_frames")).select("scene_id", "name", "target", "moved")
 
@@ -295,7 +295,7 @@ def _(t):
     return tracks.build_tracks(m)
 
 
-@query("m11_triangulate", """SELECT point_id AS track, round(x / 10, 4) + 0e0 AS x, round(y / 10, 4) + 0e0 AS y, round(4 + z, 4) + 0e0 AS z, CAST(track_len AS BIGINT) AS views FROM {fx_points3d} WHERE frame_id = 2 AND scene_id = 's001' QUALIFY count(*) OVER (PARTITION BY point_id) = 1""")
+@query("m11_triangulate", """SELECT point_id AS track, round(x / 10, 7) + 0e0 AS x, round(y / 10, 7) + 0e0 AS y, round(4 + z, 7) + 0e0 AS z, CAST(track_len AS BIGINT) AS views FROM {fx_points3d} WHERE frame_id = 2 AND scene_id = 's001' QUALIFY count(*) OVER (PARTITION BY point_id) = 1""")
 def _(t):
     p = t("fx_points3d").where("frame_id = 2 and scene_id = 's001'")
     single = p.groupBy("point_id").count().where("count = 1").select("point_id")
@@ -304,7 +304,7 @@ def _(t):
     n = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
     rays = p.select("track", F.col("c").cast("double").alias("cx"), F.lit(0.0).alias("cy"), F.lit(0.0).alias("cz"), *[(x / n).alias(c) for x, c in zip(d, ("dx", "dy", "dz"), strict=True)], F.lit(1000.0).alias("f"))
     out = tracks.triangulate_tracks(rays, min_angle=0.0)
-    return out.select("track", *[(F.round(c, 4) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
+    return out.select("track", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
 
 
 # --- statistics -----------------------------------------------------------------------------
