@@ -30,12 +30,12 @@ def _(t):
 
 
 # A small camera of 64 x 36 pixels with the rig's distortion.
-SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 70e0 AS fx, 70e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib} WHERE cam_idx < 4)"
+SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 73e0 AS fx, 73e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib} WHERE cam_idx < 4)"
 LOOK = f"""(SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, {_dist('x', 'y', 'x')} * fx + cx AS su, {_dist('x', 'y', 'y')} * fy + cy AS sv FROM (SELECT *, (u - cx) / fx AS x, (v - cy) / fy AS y FROM {SMALL}, range(0, 64) a(u), range(0, 36) b(v)))"""
 
 
 def small(t) -> DataFrame:
-    sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(70.0), "fy": F.lit(70.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
+    sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(73.0), "fy": F.lit(73.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
     return t("fx_calib").where("cam_idx < 4").withColumns(sized)
 
 
