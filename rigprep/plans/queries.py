@@ -181,7 +181,8 @@ def _(t):
     return calib.align_by_ordinal(t("fx_calib"), t("fx_model_images")).select("scene_id", "cam_idx", "name")
 
 
-@query("c3_align_broadcast", """SELECT i.scene_id, c.cam_idx, i.name FROM {fx_model_images} i JOIN (SELECT scene_id, min(cam_idx) AS cam_idx FROM {fx_calib} GROUP BY scene_id HAVING count(*) > 0) c ON c.scene_id = i.scene_id""")
+@query("c3_align_broadcast", """SELECT i.scene_id, c.cam_idx, i.name FROM (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY name) AS o, count(*) OVER (PARTITION BY scene_id) AS ni FROM {fx_model_images}) i
+    JOIN (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY cam_idx) AS o, count(*) OVER (PARTITION BY scene_id) AS nc FROM {fx_calib}) c ON c.scene_id = i.scene_id AND c.o = CASE WHEN nc = ni THEN i.o ELSE 1 END""")
 def _(t):
     return calib.align_by_ordinal(t("fx_calib"), t("fx_model_images"), "broadcast").select("scene_id", "cam_idx", "name")
 
