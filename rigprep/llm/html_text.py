@@ -214,7 +214,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     pairs = nearest(frames).where("mate is not null")
     mates = pairs.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate").join(frames.select("row", "page_id", "url"), "row")
     mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts").dropDuplicates(["own_id", "own_url"]), "mates")
-    both = parsed.join(mates, parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
+    # The mates' lines grow with the input, so they are never broadcast.
+    both = parsed.join(mates.hint("merge"), parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
