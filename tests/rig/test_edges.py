@@ -102,3 +102,12 @@ def test_files_are_catalogued_and_written(spark, tmp_path):
     lines = spark.createDataFrame([("s", 1, "b"), ("s", 0, "a")], "scene_id string, place long, line string")
     writers.write_lines(lines, str(tmp_path / "out"))
     assert [r.value for r in spark.read.text(str(tmp_path / "out/scene_id=s")).collect()] == ["a", "b"]
+
+
+def test_sensor_xml_is_written(spark, tmp_path):
+    from rigprep.plans.fixtures import table
+
+    calib = table(spark, "/root/testdata/sf0.001", "fx_calib")
+    writers.write_sensor_xml(calib, str(tmp_path / "xml"))
+    back = spark.read.format("xml").option("rowTag", "sensor").load(str(tmp_path / "xml"))
+    assert back.count() == calib.count() and "_id" in back.columns
