@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigprep.operators import alignment, distortion, pairs, stats, tracks
-from rigprep.plans.queries import CAL, FRAMES, INV, UNDIST, _dist, cal, frames, query, r6
+from rigprep.plans.queries import CAL, FRAMES, INV, UNDIST, _dist, cal, frames, query, r6, whole
 from rigprep.sources import readers, writers
 
 # --- distortion -----------------------------------------------------------------------------
@@ -299,12 +299,27 @@ def _(t):
 def _(t):
     p = t("fx_points3d").where("frame_id = 2 and scene_id = 's001'")
     single = p.groupBy("point_id").count().where("count = 1").select("point_id")
-    p = p.join(single, "point_id").select(F.col("point_id").alias("track"), (F.col("x") / 10).alias("X"), (F.col("y") / 10).alias("Y"), (F.col("z") + 4).alias("Z"), F.explode(F.sequence(F.lit(0), F.col("track_len") - 1)).alias("c"))
+    out = triangulated(p.join(single, "point_id").withColumn("track", F.col("point_id")))
+    return out.select("track", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
+
+
+def triangulated(p: DataFrame) -> DataFrame:
+    """Points with a key ``track``, seen along rays from their cameras and triangulated again."""
+    p = p.select("track", (F.col("x") / 10).alias("X"), (F.col("y") / 10).alias("Y"), (F.col("z") + 4).alias("Z"), F.explode(F.sequence(F.lit(0), F.col("track_len") - 1)).alias("c"))
     d = [F.col("X") - F.col("c"), F.col("Y"), F.col("Z")]
     n = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
     rays = p.select("track", F.col("c").cast("double").alias("cx"), F.lit(0.0).alias("cy"), F.lit(0.0).alias("cz"), *[(x / n).alias(c) for x, c in zip(d, ("dx", "dy", "dz"), strict=True)], F.lit(1000.0).alias("f"))
-    out = tracks.triangulate_tracks(rays, min_angle=0.0)
-    return out.select("track", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
+    return tracks.triangulate_tracks(rays, min_angle=0.0)
+
+
+@whole("m11_triangulate_all")
+def _(t):
+    """Every point of every scene and frame; copy numbers the points that share an id."""
+    key = ["scene_id", "frame_id", "point_id"]
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy("x", "y", "z", "track_len"))
+    p = t("fx_points3d").select(*key, copy.alias("copy"), "x", "y", "z", "track_len").withColumn("track", F.struct(*key, "copy"))
+    out = triangulated(p)
+    return out.select("track.*", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
 
 
 # --- statistics -----------------------------------------------------------------------------

@@ -10,6 +10,8 @@ from rigprep.plans.fixtures import oracle, table
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
+#: Queries over whole tables, which have no SQL.
+WHOLE: dict = {}
 
 
 def query(name: str, sql: str):
@@ -25,6 +27,19 @@ def query(name: str, sql: str):
     return add
 
 
+def whole(name: str):
+    """Register a function of a table getter that has no SQL."""
+
+    def add(f):
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return f(lambda t: table(spark, sf_dir, t))
+
+        WHOLE[name] = run
+        return f
+
+    return add
+
+
 def r6(df: DataFrame, *cols: str) -> DataFrame:
     """Doubles to six places, without a negative zero."""
     return df.withColumns({c: F.round(F.col(c), 6) + 0.0 for c in cols})
