@@ -84,6 +84,10 @@ FROM {fx_calib} WHERE cam_idx <> 5""",
 SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, CAST((u * 3 + v * 5 + cam_idx) % 256 AS DOUBLE) AS value
 FROM (SELECT scene_id, cam_idx, u, EXPLODE_(0, 35) AS v
       FROM (SELECT scene_id, cam_idx, EXPLODE_(0, 63) AS u FROM {fx_calib} WHERE cam_idx < 4) t1) t2""",
+    "fx_pixels_all": """
+SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, CAST((u * 3 + v * 5 + cam_idx) % 256 AS DOUBLE) AS value
+FROM (SELECT scene_id, cam_idx, u, EXPLODE_(0, 35) AS v
+      FROM (SELECT scene_id, cam_idx, EXPLODE_(0, 63) AS u FROM {fx_calib}) t1) t2""",
     "fx_runs": """
 SELECT concat('s', lpad(CAST(s_suppkey DIV_ 20 AS STRING), 3, '0')) AS scene_id,
        CASE s_suppkey % 2 WHEN 0 THEN 'sift' ELSE 'superpoint' END AS extractor,

@@ -34,9 +34,9 @@ SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 73e0 AS fx, 73e0
 LOOK = f"""(SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, {_dist('x', 'y', 'x')} * fx + cx AS su, {_dist('x', 'y', 'y')} * fy + cy AS sv FROM (SELECT *, (u - cx) / fx AS x, (v - cy) / fy AS y FROM {SMALL}, range(0, 64) a(u), range(0, 36) b(v)))"""
 
 
-def small(t) -> DataFrame:
+def small(t, cameras: str = "cam_idx < 4") -> DataFrame:
     sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(73.0), "fy": F.lit(73.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
-    return t("fx_calib").where("cam_idx < 4").withColumns(sized)
+    return t("fx_calib").where(cameras).withColumns(sized)
 
 
 @query("d3_undistort_lookup", f"SELECT scene_id, cam_idx, u, v, round(su, 9) + 0e0 AS su, round(sv, 9) + 0e0 AS sv FROM {LOOK}")
@@ -56,6 +56,21 @@ def _(t):
     return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t)), "nearest")
 
 
+@whole("d3_undistort_lookup_all")
+def _(t):
+    return distortion.undistort_lookup(small(t, "true")).withColumns({c: F.round(c, 9) + 0.0 for c in ("su", "sv")})
+
+
+@whole("d4_remap_bilinear_all")
+def _(t):
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t, "true"))).withColumn("value", F.round("value", 8) + 0.0)
+
+
+@whole("d4_remap_nearest_all")
+def _(t):
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t, "true")), "nearest")
+
+
 @query("d5_bind_frames", "SELECT f.scene_id, count(*) AS frames, count(c.cam_idx) AS done, count(*) - count(c.cam_idx) AS failed FROM {fx_frames} f LEFT JOIN (SELECT * FROM {fx_calib} WHERE cam_idx % 4 <> 1) c ON c.scene_id = f.scene_id AND c.cam_idx = f.cam_num GROUP BY f.scene_id")
 def _(t):
     return distortion.bind_frames(t("fx_frames"), t("fx_calib").where("cam_idx % 4 <> 1"))[0]
@@ -106,13 +121,18 @@ def _(t):
     return readers.parse_model_images(docs).select("scene_id", "image_id", F.get("qvec", F.lit(1)).alias("q1"), F.get("tvec", F.lit(0)).alias("t0"), "camera_id", "name", F.size("points2d").alias("n"), F.get("points2d", F.lit(1))["point3d_id"].alias("second"))
 
 
-def tracked(t) -> DataFrame:
-    """Points of one frame with their tracks, at coordinates that print alike everywhere."""
-    p = t("fx_points3d").where("frame_id = 3").withColumns({"x": F.floor("x") + 0.5, "z": F.floor("z") + 0.25, "error": F.floor("error") + 0.5})
+def tracked(t, frames: str = "frame_id = 3") -> DataFrame:
+    """Points of one frame, or others, with their tracks, at coordinates that print alike everywhere."""
+    p = t("fx_points3d").where(frames).withColumns({"x": F.floor("x") + 0.5, "z": F.floor("z") + 0.25, "error": F.floor("error") + 0.5})
     i = F.sequence(F.lit(1), F.col("track_len"))
     return p.withColumn("track", F.transform(i, lambda k: F.struct(((F.col("point_id") + k * 3) % 20 + 1).cast("int").alias("image_id"), k.cast("int").alias("point2d_idx"))))
 
 
+def models(t) -> DataFrame:
+    """Points of all frames; scene_id names the scene and frame, each of which is a model."""
+    return tracked(t, "true").withColumn("scene_id", F.concat_ws("/", "scene_id", F.col("frame_id").cast("string")))
+
+
 TRACKED = "(SELECT *, floor(x) + 0.5::DOUBLE AS px, floor(z) + 0.25::DOUBLE AS pz, floor(error) + 0.5::DOUBLE AS pe FROM {fx_points3d} WHERE frame_id = 3)"
 
 
@@ -122,6 +142,12 @@ def _(t):
     return readers.parse_model_points(lines).select("scene_id", "point_id", "x", "y", "z", "r", "b", "error", F.size("track").alias("n"), F.element_at("track", -1)["image_id"].alias("last_image"))
 
 
+@whole("s6_parse_model_points_all")
+def _(t):
+    lines = writers.format_model_points(models(t)).select("scene_id", F.col("line").alias("value"))
+    return readers.parse_model_points(lines).select("scene_id", "point_id", "x", "y", "z", "r", "b", "error", F.size("track").alias("n"), F.element_at("track", -1)["image_id"].alias("last_image"))
+
+
 PAIRS = "(SELECT a.scene_id, a.name AS image0, b.name AS image1 FROM {fx_model_images} a JOIN {fx_model_images} b ON a.scene_id = b.scene_id AND a.name < b.name)"
 
 
@@ -153,6 +179,11 @@ def _(t):
     return writers.format_model_cameras(t("fx_model_cameras").where("model = 'SIMPLE_PINHOLE'"))
 
 
+@whole("k1_format_cameras_all")
+def _(t):
+    return writers.format_model_cameras(t("fx_model_cameras"))
+
+
 @query("k2_format_images", """SELECT scene_id, CAST(image_id * 2 AS BIGINT) AS place, concat_ws(' ', image_id, printf('%.10f %.10f %.10f %.10f %.10f %.10f %.10f', qvec[1], qvec[2], qvec[3], qvec[4], tvec[1], tvec[2], tvec[3]), camera_id, name) AS line FROM {fx_model_images}
     UNION ALL SELECT scene_id, image_id * 2 + 1, CASE WHEN image_id % 3 = 0 THEN '' ELSE concat_ws(' ', 10.5::DOUBLE, image_id * 2.25::DOUBLE, image_id, 21e0, image_id * 2.25::DOUBLE, image_id * 2) END FROM {fx_model_images}
     UNION ALL SELECT scene_id, -1, '# Number of images: ' || count(*) || ', mean observations per image: ' || printf('%.6f', avg(CASE WHEN image_id % 3 = 0 THEN 0e0 ELSE 2 END)) FROM {fx_model_images} GROUP BY scene_id""")
@@ -173,6 +204,16 @@ def _(t):
     return writers.format_ply(tracked(t))
 
 
+@whole("k3_format_points_all")
+def _(t):
+    return writers.format_model_points(models(t))
+
+
+@whole("k4_format_ply_all")
+def _(t):
+    return writers.format_ply(models(t))
+
+
 @query("k5_assemble_transforms", f"SELECT i.scene_id, 1000e0 AS fx, 500e0 AS cy, count(*) AS n, round(sum(ix), 4) + 0e0 AS sum_x FROM {INV} i GROUP BY i.scene_id")
 def _(t):
     cams = cal(t).select("scene_id", (F.col("cam_idx") + 101).alias("camera_id"), "fx", "fy", "cx", "cy")
