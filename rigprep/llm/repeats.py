@@ -171,17 +171,22 @@ def _split_rows(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
 
 
 def _sorted_pass(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(covered, partners) of one digit: rows whose hull occurs twice, and one row of each hull to split.
+    """(covered, partners) of one digit: rows whose hull is at two places, and the rows to split.
 
     rows: d, t, pos, lo, core, hull, start, end. Counts are combined in each task, so a hull or a
-    core of very many rows is a few records.
+    core of very many rows is a few records. A hull's place is its document and bytes: several anchors
+    of a short text can have one hull at one place, which shows no repeat of the whole. Such anchors
+    are all split; of any other hull one row is.
     """
-    hulls = materialize(rows.groupBy("lo", "core", "hull").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos")).alias("one")), name)
-    twice = hulls.where("n > 1").select("lo", "core", "hull")
-    covered = materialize(rows.join(twice, ["lo", "core", "hull"]).select("d", "t", "start", "end"), name)
-    several = materialize(hulls.groupBy("lo", "core").count().where("count > 1").select("lo", "core"), name)
-    partners = hulls.join(several, ["lo", "core"]).select("one.d", "one.t", "one.pos", "lo")
-    return covered, partners
+    seen = F.struct("d", "t", "start", "end", "pos")
+    hulls = rows.groupBy("lo", "core", "hull").agg(F.min(seen).alias("one"), F.max(seen).alias("last"))
+    place = [F.col(f"one.{c}") == F.col(f"last.{c}") for c in ("d", "t", "start", "end")]
+    kind = F.when(~(place[0] & place[1] & place[2] & place[3]), 2).when(F.col("one.pos") != F.col("last.pos"), 1).otherwise(0).cast("byte")
+    hulls = materialize(hulls.select("lo", "core", "hull", F.struct("one.d", "one.t", "one.pos").alias("one"), kind.alias("kind")), name)
+    marked = materialize(rows.join(hulls.where("kind > 0").select("lo", "core", "hull", "kind"), ["lo", "core", "hull"]).select("d", "t", "pos", "lo", "start", "end", "kind"), name)
+    several = materialize(hulls.groupBy("lo", "core").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("kind") == 1).cast("int")).alias("again")).where("n > 1 or again = 1").select("lo", "core"), name)
+    partners = hulls.where("kind <> 1").join(several, ["lo", "core"]).select("one.d", "one.t", "one.pos", "lo")
+    return marked.where("kind = 2").select("d", "t", "start", "end"), partners.unionByName(marked.where("kind = 1").select("d", "t", "pos", "lo").distinct())
 
 
 def _wanted(partners: DataFrame, width: int) -> DataFrame:
@@ -201,6 +206,10 @@ def covered_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     least = F.greatest(F.lit(0), LENGTH - F.col("right"))
     rows = rows.select("d", "t", "pos", F.lit(0).cast("short").alias("lo"), "core", "hull", (F.col("pos") - most).cast("int").alias("start"), (F.col("pos") - least + LENGTH).cast("int").alias("end"))
     covered, partners = _sorted_pass(rows, "pass0")
+    # Rows that repeat an id and a text have their strings at the same places, all of them repeated.
+    size = F.octet_length("text")
+    same = keyed.where(size >= LENGTH).groupBy("d", "t", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("end")).where("n > 1")
+    covered = covered.unionByName(materialize(same.select("d", "t", F.lit(0).alias("start"), "end"), "same"))
     texts, width = keyed.select("d", "t", "text"), WINDOW
     for k, narrow in enumerate((SPLIT, 1)):
         wanted = _wanted(partners, width)

@@ -71,3 +71,22 @@ def test_the_smallest_table_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert sorted((tuple(r) for r in repeats.without_repeats(docs).drop("spans").collect()), key=str) == brute(rows)
+
+
+def test_several_anchors_of_one_short_text_equal_brute_force(spark):
+    r = np.random.default_rng(4)
+    p = text(r, 240)
+    rows = [(1, "A" + "-" * 200 + "B"), (2, "A short title\n" + "=" * 220 + "\nclosing"), (3, "x" + "ab" * 120 + "y"), (4, "q" + "." * 201 + "r"), (5, p), (5, p), (6, text(r, 30) + "_" * 260 + "end"), (7, "z" * 199 + "y"), (8, "A title\n" + "=" * 190 + "\nend")]
+    rows += [(9, "B" + "-" * 200 + "A"), (10, "u" + "+*" * 100), (11, "w" + "+*" * 100 + "v"), (12, "A" + "~" * 200 + "B"), (12, "A" + "~" * 200 + "B"), (None, "K" + "^" * 200 + "L"), (None, "K" + "^" * 200 + "L")]
+    assert got(spark, rows) == brute(rows)
+    for row in rows[:4]:
+        assert got(spark, [row]) == brute([row])
+
+
+def test_random_short_periodic_texts_equal_brute_force(spark):
+    r = np.random.default_rng(5)
+    parts = ["-", "ab", "xyz", "0123456789", "=" * 7 + "|"]
+    rows = [(i, text(r, int(r.integers(0, 40))) + (parts[i % 5] * 300)[: int(r.integers(150, 320))] + text(r, int(r.integers(0, 40)))) for i in range(60)]
+    assert got(spark, rows) == brute(rows)
+    rows = [(i, text(r, int(r.integers(0, 40))) + (chr(0x4E00 + i) * 300)[: int(r.integers(50, 100))] + text(r, int(r.integers(0, 40)))) for i in range(60)]
+    assert got(spark, rows) == brute(rows)
