@@ -19,6 +19,9 @@ from rigprep.llm.text import map_texts
 
 FEATURES = 1 << 16
 CACHE_WORDS = 400_000
+#: Longer runs of letters are cut into pieces of so many, which share their last two letters, so that
+#: each bigram and trigram is in a piece. So many pieces are described at a time.
+PIECE, CHUNK = 23, 20_000
 #: The model is fitted on so many documents of each language, taken by a hash of their id, and on
 #: so many words of each of them, drawn over the whole text.
 FIT_DOCS, FIT_WORDS = 60, 320
@@ -38,12 +41,19 @@ def normal(word: str) -> str:
 def features(word: str) -> list[int]:
     w = f"<{word}>"
     names = [f"w{word}" if len(word) <= 4 else "long", *(f"p{word[:k]}" for k in (1, 2, 3)), *(f"s{word[-k:]}" for k in (1, 2, 3))]
-    names += [f"g{w[i : i + n]}" for n in (2, 3) for i in range(min(len(w) - n + 1, 24))]
+    names += [f"g{w[i : i + n]}" for n in (2, 3) for i in range(len(w) - n + 1)]
     return [zlib.crc32(x.encode()) % FEATURES for x in names]
 
 
+def pieces(word: str) -> list[str]:
+    """The letters of a word, or of pieces of a long one; none if it has none."""
+    n = normal(word)
+    return [n[at : at + PIECE] for at in range(0, max(len(n) - 2, 1), PIECE - 2)] if n else []
+
+
 def _words(text: bytes) -> list[str]:
-    return [n for w in text.split() if (n := normal(w.decode("utf-8", "replace")))]
+    """Pieces of the words between white space, also of other scripts."""
+    return [p for w in text.decode("utf-8", "replace").split() for p in pieces(w)]
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 5) -> crf.Crf:
@@ -74,27 +84,34 @@ class Reader:
         self.forget()
 
     def forget(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number: dict[str, int] = {}
+        self.count = np.empty(0, dtype=np.int64)
+        self.start = np.empty(0, dtype=np.int64)
         self.table = np.empty((0, len(self.model.labels)), dtype=np.float32)
 
-    def learn(self, words: set[bytes]) -> None:
-        """Words without letters get the number -1."""
-        if len(self.number) > CACHE_WORDS:
+    def learn(self, words: set[str]) -> None:
+        """A word's pieces are ``count`` rows of the table from ``start``; none without letters."""
+        if max(len(self.number), len(self.table)) > CACHE_WORDS:
             self.forget()
         new = [w for w in words if w not in self.number]
-        plain = [normal(w.decode("utf-8", "replace")) for w in new]
-        at = len(self.table)
-        known = [features(p) for p in plain if p]
-        self.table = np.concatenate([self.table, self.model.emissions(known)])
-        for w, p in zip(new, plain, strict=True):
-            self.number[w] = at if p else -1
-            at += bool(p)
+        split = [pieces(w) for w in new]
+        known = [p for ps in split for p in ps]
+        parts = [self.model.emissions([features(p) for p in known[at : at + CHUNK]]) for at in range(0, len(known), CHUNK)]
+        count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
+        self.start = np.concatenate([self.start, len(self.table) + np.cumsum(count) - count])
+        self.count = np.concatenate([self.count, count])
+        self.table = np.concatenate([self.table, *parts])
+        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+
+    def rows(self, words: list[str]) -> np.ndarray:
+        ids = np.fromiter(map(self.number.__getitem__, words), dtype=np.int64, count=len(words))
+        count, start = self.count[ids], self.start[ids]
+        return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
 
     def read(self, texts: list[bytes]) -> list[tuple[str, float]]:
-        split = [x.split() for x in texts]
+        split = [x.decode("utf-8", "replace").split() for x in texts]
         self.learn(set().union(*split))
-        ids = [np.fromiter(map(self.number.__getitem__, w), dtype=np.int64, count=len(w)) for w in split]
-        ids = [x[x >= 0] for x in ids]
+        ids = [self.rows(w) for w in split]
         count = np.array([len(x) for x in ids], dtype=np.int64)
         total = np.zeros((len(texts), len(self.model.labels)))
         if count.sum():
