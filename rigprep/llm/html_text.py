@@ -179,7 +179,8 @@ def nearest(pages: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
 
     Pages of a host are sorted by path, where the nearest one stands next; of the two neighbours it
     is the one with more leading characters in common. A large host is cut into ranges of paths,
-    so that no task sorts it whole; only pages at the end of a range miss one of their neighbours.
+    so that no task sorts it whole; the first and last page of each range (two small rows a range)
+    are written and then find their neighbours in the ranges beside theirs.
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     path = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", "")
@@ -187,16 +188,29 @@ def nearest(pages: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
     parts = max(1, -(-keyed.count() // rows_per_part))
     # range partitions by (host, path) are contiguous, so that neighbours share a partition
     dealt = keyed.repartitionByRange(parts, "host", "path", "row").withColumn("part", F.spark_partition_id())
-    order = Window.partitionBy("part", "host").orderBy("path", "row")
-    near = dealt.withColumn("before", F.lag(F.struct("row", "path")).over(order)).withColumn("after", F.lead(F.struct("row", "path")).over(order))
+    order = Window.partitionBy("part").orderBy("host", "path", "row")
+    page = F.struct("row", "host", "path")
+    near = dealt.withColumn("before", F.lag(page).over(order)).withColumn("after", F.lead(page).over(order))
+
+    def own(other: str):
+        return F.when(F.col(f"{other}.host") == F.col("host"), F.col(other))
 
     def common(other: str):
         n = F.least(F.length("path"), F.length(F.col(f"{other}.path")))
         same = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.when((k <= n) & (F.substring("path", F.lit(1), k) == F.substring(F.col(f"{other}.path"), F.lit(1), k)), k).otherwise(0))
         return F.when(F.col(other).isNull(), -1).otherwise(F.array_max(same))
 
-    mate = F.when(common("after") > common("before"), F.col("after.row")).otherwise(F.coalesce("before.row", "after.row"))
-    return near.select("row", mate.alias("mate"))
+    def mated(rows: DataFrame) -> DataFrame:
+        mate = F.when(common("after") > common("before"), F.col("after.row")).otherwise(F.coalesce("before.row", "after.row"))
+        return rows.withColumns({"before": own("before"), "after": own("after")}).withColumn("mate", mate)
+
+    edge = F.when(F.col("before").isNull() | F.col("after").isNull(), F.struct("host", "path", "before", "after")).alias("edge")
+    # written once, as ranges that are dealt again can differ
+    near = materialize(mated(near.select("*", edge)).select("row", "mate", "edge"), "near")
+    edges = near.where("edge is not null").select("row", "edge.*")
+    over = Window.orderBy("host", "path", "row")
+    beside = edges.withColumns({c: F.coalesce(c, f(page).over(over)) for c, f in (("before", F.lag), ("after", F.lead))})
+    return near.where("edge is null").select("row", "mate").unionByName(mated(beside).select("row", "mate"))
 
 
 def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
