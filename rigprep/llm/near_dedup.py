@@ -3,11 +3,12 @@
 A document's set is its distinct 5-word shingles. Each register holds an exponentially spaced,
 truncated minimum over the set: floor(1 - log_B(x)) of the least exponential variate x. Registers
 of a union are the maxima of the registers. Equal registers in a band put two sets in one bucket.
-A bucket never yields all its pairs: its members are compared with one hub, and only sets that
-are still in different components are compared further, if their shingles are shared widely
-enough to allow a link. Pairs whose Jaccard similarity cannot be
-near the threshold, by the likelihood of their registers, are dropped; the rest are checked on
-the full sets.
+A bucket never yields all its pairs: its members are compared with one hub. Pairs whose Jaccard
+similarity cannot be near the threshold, by the likelihood of their registers, are dropped; the
+rest are checked on the full sets. Sets of a bucket that are still in different components after
+some hubs, and whose shingles are shared widely enough to allow a link, are dealt into blocks. A
+tile holds two blocks, gets all their intersections from one matrix product, and returns no more
+links than join its components.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rigprep.functions.graph import connected_components
@@ -30,12 +31,17 @@ WORDS = 5
 PERCENT = 75
 #: 32 bands of 4 registers: a pair at the threshold shares no band with probability below 1e-5.
 REGISTERS, BAND = 128, 4
+BAND_BITS = (REGISTERS // BAND - 1).bit_length()
 #: Base of the register spacing. Near 1, a register agrees about as often as the sets' similarity.
 BASE = 1.01
 #: A pair is checked if its likeliest similarity is at least this: 5 standard errors below 0.75.
 LEAST_ESTIMATE = 0.55
 #: Members of a bucket that are compared with one copy of the hub's text.
 BLOCK = 256
+#: Shingles, about, of the sets that are compared with one hub's, or that make a block of a tile.
+BLOCK_SHINGLES = 1 << 20
+#: Columns of the matrices of a tile that are multiplied at a time.
+COLUMNS = 1 << 14
 HUB_ROUNDS, PEELS = 3, 2
 
 _ODD = np.random.default_rng(20240501).integers(1, 1 << 63, size=(2, REGISTERS), dtype=np.uint64) | np.uint64(1)
@@ -135,16 +141,16 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, rep) for each band; buckets of one set are left out."""
-    bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.xxhash64(i, F.substring(F.col("registers"), i * (2 * BAND) + 1, F.lit(2 * BAND))))
+    """(bucket, rep) for each band; buckets of one set are left out. The last bits of a bucket are its band."""
+    bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.shiftleft(F.xxhash64(F.substring(F.col("registers"), i * (2 * BAND) + 1, F.lit(2 * BAND))), BAND_BITS).bitwiseOR(i.cast("long")))
     rows = classes.select("rep", F.explode(bands).alias("bucket"))
     several = materialize(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "buckets")
     return rows.join(several, "bucket").select("bucket", "rep")
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes allow the threshold and whose likeliest similarity is near it."""
-    side = classes.select("rep", "n", "registers")
+    """Pairs (a, b, nb) whose sizes allow the threshold and whose likeliest similarity is near it."""
+    kind, side = dict(pairs.dtypes)["a"], classes.select("rep", "n", "registers")
     both = pairs.join(side.toDF("a", "na", "ra"), "a").join(side.toDF("b", "nb", "rb"), "b").where(f"100 * least(na, nb) >= {PERCENT} * greatest(na, nb)")
 
     def estimate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -153,9 +159,14 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 ra, rb = (np.frombuffer(b"".join(x[c]), dtype=np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
                 j = likeliest_similarity(ra, rb, x.na.to_numpy(float), x.nb.to_numpy(float))
                 x = x[j >= LEAST_ESTIMATE]
-            yield x[["a", "b"]]
+            yield x[["a", "b", "nb"]]
 
-    return both.mapInPandas(estimate, "a long, b long")
+    return both.mapInPandas(estimate, f"a {kind}, b {kind}, nb long")
+
+
+def _n_blocks(n: str) -> Column:
+    """Blocks that hold BLOCK sets and BLOCK_SHINGLES shingles, about, of a group's sets of size ``n``."""
+    return F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK), F.ceil(F.sum(n) / BLOCK_SHINGLES), F.lit(1)).cast("int").alias("blocks")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -164,7 +175,8 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     ``a`` is the hub. Its text goes once with each block of its partners, so a hub of very many
     partners is many small groups; both sides of the join are written tables, so AQE can split it.
     """
-    counted = pairs.groupBy("a").count().withColumn("blocks", F.ceil(F.col("count") / BLOCK).cast("int")).select("a", "blocks")
+    kind = dict(pairs.dtypes)["a"]
+    counted = pairs.groupBy("a").agg(_n_blocks("nb"))
     counted = materialize(counted, "hubs")
     mates = pairs.join(counted, "a").select("a", F.pmod(F.xxhash64("b"), F.col("blocks")).cast("int").alias("block"), F.col("b").alias("id"))
     hubs = counted.select("a", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.col("a").alias("id"))
@@ -172,7 +184,7 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     rows = wanted.join(texts.select(F.col("rep").alias("id"), "text"), "id")
 
     def check(x: pd.DataFrame) -> pd.DataFrame:
-        hub = int(x["a"].iloc[0])
+        hub = x["a"].iloc[0]
         ids, sets = x["id"].tolist(), None
         for i, t in zip(ids, x["text"], strict=True):
             if i == hub:
@@ -185,9 +197,9 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
                 inter = len(np.intersect1d(sets, other, assume_unique=True))
                 if 100 * inter >= PERCENT * (len(sets) + len(other) - inter):
                     out.append(i)
-        return pd.DataFrame({"a": pd.Series([hub] * len(out), dtype="int64"), "b": pd.Series(out, dtype="int64")})
+        return pd.DataFrame({"a": pd.Series([hub] * len(out), dtype=x["a"].dtype), "b": pd.Series(out, dtype=x["a"].dtype)})
 
-    return rows.select("a", "block", "id", "text").groupBy("a", "block").applyInPandas(check, "a long, b long")
+    return rows.select("a", "block", "id", "text").groupBy("a", "block").applyInPandas(check, f"a {kind}, b {kind}")
 
 
 def _sets(reps: DataFrame, texts: DataFrame) -> DataFrame:
@@ -203,10 +215,92 @@ def _sets(reps: DataFrame, texts: DataFrame) -> DataFrame:
 
         return work
 
-    return materialize(map_texts(texts.join(reps, "rep", "left_semi"), {"rep": "rep"}, "text", start, "rep long, n long, shingles array<long>"), "sets")
+    return materialize(map_texts(texts.join(reps, "rep", "left_semi"), {"rep": "rep"}, "text", start, f"rep {dict(texts.dtypes)['rep']}, n long, shingles array<long>"), "sets")
+
+
+def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets ``left`` with the sets ``right``, by products of 0/1 matrices."""
+    size = np.fromiter(map(len, sets), dtype=np.int64, count=len(sets))
+    known, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), size)
+    several = (times > 1)[code]
+    owner, code = owner[several], (np.cumsum(times > 1) - 1)[code[several]]
+    order = np.argsort(code, kind="stable")
+    owner, code = owner[order], code[order]
+    out = np.zeros((len(left), len(right)))
+    for first in range(0, int(code[-1]) + 1 if len(code) else 0, COLUMNS):
+        low, high = np.searchsorted(code, (first, first + COLUMNS))
+        has = np.zeros((len(sets), min(COLUMNS, int(code[-1]) + 1 - first)), dtype=np.float32)
+        has[owner[low:high], code[low:high] - first] = 1
+        out += has[left] @ has[right].T
+    return out.astype(np.int64)
+
+
+def _forest(labels: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
+    """Those of the pairs of places that join labels which earlier ones have not joined."""
+    root: dict = {}
+
+    def find(x):
+        while root.setdefault(x, x) != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    out = []
+    for i, j in pairs.tolist():
+        a, b = find(labels[i]), find(labels[j])
+        if a != b:
+            root[b] = a
+            out.append((i, j))
+    return out
+
+
+def tile_links(bucket: int, left: np.ndarray, right: np.ndarray, label: np.ndarray, n: np.ndarray, share: np.ndarray, regs: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (i, j) between the sets ``left`` and ``right`` of a bucket that join different labels.
+
+    A pair belongs to the first band that it has in common, so that one tile of its up to 32 looks at it.
+    """
+    values = np.ascontiguousarray(regs).view(np.uint64)  # one for each band of four 16-bit registers
+    band = bucket & ((1 << BAND_BITS) - 1)
+    most = np.minimum(share[left][:, None], share[right])
+    open_ = (label[left][:, None] != label[right]) & (100 * most >= PERCENT * (n[left][:, None] + n[right] - most))
+    for k in range(band):
+        open_ &= values[left, k][:, None] != values[right, k]
+    rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+    if not len(rows):
+        return []
+    left, right, open_ = left[rows], right[columns], open_[np.ix_(rows, columns)]
+    used = np.unique(np.concatenate([left, right]))
+    inter = intersections([sets[i] for i in used], np.searchsorted(used, left), np.searchsorted(used, right))
+    linked = np.argwhere(open_ & (100 * inter >= PERCENT * (n[left][:, None] + n[right] - inter)))
+    return _forest(label, np.stack([left[linked[:, 0]], right[linked[:, 1]]], axis=1))
+
+
+def _tiled(here: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) that join the components of ``here`` (bucket, rep, label, n, share) as all links of a bucket would.
+
+    A bucket's sets are dealt into blocks by a hash, and each two blocks (and each alone) are one group of
+    bounded size. No row is a pair: a set goes to as many tiles as its bucket has blocks.
+    """
+    kind = dict(here.dtypes)["rep"]
+    counted = materialize(here.groupBy("bucket").agg(_n_blocks("n")), "blocks")
+    dealt = here.join(counted, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = materialize(dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "label", "n", "share"), "tiles")
+    rows = dealt.join(classes.select("rep", "registers"), "rep").join(sets.select("rep", "shingles"), "rep")
+
+    def work(x: pd.DataFrame) -> pd.DataFrame:
+        i, j, block = int(x["i"].iloc[0]), int(x["j"].iloc[0]), x["block"].to_numpy()
+        regs = np.frombuffer(b"".join(x["registers"]), dtype=np.uint16).reshape(-1, REGISTERS)
+        label, n, share = (x[c].to_numpy() for c in ("label", "n", "share"))
+        got = tile_links(int(x["bucket"].iloc[0]), np.flatnonzero(block == i), np.flatnonzero(block == j), label, n, share, regs, list(map(np.asarray, x["shingles"])))
+        rep = x["rep"]
+        return pd.DataFrame({"a": rep.iloc[[p for p, _ in got]].to_numpy(), "b": rep.iloc[[q for _, q in got]].to_numpy()})
+
+    return rows.select("bucket", "i", "j", "block", "rep", "label", "n", "share", "registers", "shingles").groupBy("bucket", "i", "j").applyInPandas(work, f"a {kind}, b {kind}")
 
 
-def _peeled(here: DataFrame, texts: DataFrame) -> DataFrame:
+def _peeled(here: DataFrame, sets: DataFrame) -> DataFrame:
     """``here`` (bucket, rep, label) with n and share, without sets that cannot have a link left.
 
     share is how many of a set's shingles any other of these sets has. Two sets have at most the
@@ -215,7 +309,6 @@ def _peeled(here: DataFrame, texts: DataFrame) -> DataFrame:
     This exact bound parts sets that share a passage, or that stem from one text and were each
     changed too much.
     """
-    sets = _sets(here.select("rep").distinct(), texts)
     for _ in range(PEELS):
         known = sets.join(here.select("rep").distinct(), "rep", "left_semi")
         lone = known.select("rep", F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count(F.lit(1)).alias("k"), F.min("rep").alias("rep")).where("k = 1").groupBy("rep").count()
@@ -255,18 +348,16 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         if step < HUB_ROUNDS:  # one hub for each bucket: first the smallest id, then one by chance
             rank = F.col("rep") if step == 0 else F.xxhash64("rep", F.lit(step))
             hubs = materialize(here.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "rep", "label")).alias("hub")).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.label").alias("hub_label")), "bucket_hubs")
-            pairs = here.join(hubs, "bucket").where("label <> hub_label").select("a", F.col("rep").alias("b"))
+            pairs = here.join(hubs, "bucket").where("label <> hub_label").select("a", F.col("rep").alias("b")).distinct()
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
+            pairs = materialize(_estimated(pairs, classes), "pairs")
+            found = materialize(_linked(pairs, texts), "links")
+            pairs = pairs.select("a", "b")
+            tried = pairs if tried is None else tried.unionByName(pairs)
         else:  # what is left: sets of one bucket that are still in different components
-            here = _peeled(here, texts)
-            one, two = (here.select("bucket", *[F.col(c).alias(c + side) for c in ("rep", "label", "n", "share")]) for side in "ab")
-            most = F.least("sharea", "shareb")
-            pairs = one.join(two, "bucket").where((F.col("labela") < F.col("labelb")) & (100 * most >= PERCENT * (F.col("na") + F.col("nb") - most))).select(F.col("repa").alias("a"), F.col("repb").alias("b"))
-        pairs = pairs.distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
-        pairs = materialize(_estimated(pairs, classes), "pairs")
-        found = materialize(_linked(pairs, texts), "links")
-        tried = pairs if tried is None else tried.unionByName(pairs)
+            sets = _sets(here.select("rep").distinct(), texts)
+            found = materialize(_tiled(_peeled(here, sets), sets, classes), "links")
         links = found if links is None else links.unionByName(found)
         if found.limit(1).count():
             joined = connected_components(links, "a", "b").toDF("rep", "component")

@@ -91,3 +91,54 @@ def test_the_smallest_table_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
     assert {tuple(r) for r in near_dedup.near_components(docs).collect()} == brute(rows)
+
+
+def family(n, seed, words=170):
+    """Texts that stem from one by four changed words each, 0.6 to 0.75 alike; every tenth is linked to the one before."""
+    r = np.random.default_rng(seed)
+    text = [f"w{x}" for x in r.integers(0, 10**6, words)]
+    out, spots = [], None
+    for i in range(n):
+        if i % 10 or spots is None:
+            spots = 5 + 40 * np.arange(4) + r.integers(0, 36, 4)
+        changed = list(text)
+        for at in spots:
+            changed[at] = f"v{i}x{at}"
+        out.append(" ".join(changed))
+    return out
+
+
+def by_matrix(rows):
+    sets = [frozenset(tuple(w[i : i + 5]) for i in range(len(w) - 4)) for w in (t.split() for _, t in rows)]
+    number = {x: k for k, x in enumerate(set().union(*sets))}
+    has = np.zeros((len(rows), len(number)), dtype=np.float32)
+    for i, s in enumerate(sets):
+        has[i, [number[x] for x in s]] = 1
+    inter = (has @ has.T).astype(int)
+    n = np.array(list(map(len, sets)))
+    alike = inter / (n[:, None] + n - inter)
+    linked = 100 * inter >= 75 * (n[:, None] + n - inter)
+    best = np.array([d for d, _ in rows])
+    while ((new := np.where(linked, best, best.max()).min(axis=1)) != best).any():
+        best = new
+    return {(d, int(k), int(c), d == c) for (d, _), k, c in zip(rows, n, best, strict=True)}, alike
+
+
+def test_a_family_below_the_threshold_equals_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 128)
+    texts = family(1100, 6)
+    rows = [(int(i), t) for i, t in zip(np.random.default_rng(7).permutation(len(texts)), texts, strict=True)]
+    wanted, alike = by_matrix(rows)
+    assert (((alike > 0.6) & (alike < 0.75)).sum(axis=1) > 500).sum() >= 1000
+    assert 10 < len({c for *_, c, _ in wanted}) < 1100
+    assert {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).collect()} == wanted
+
+
+def test_text_ids_and_large_sets_of_one_bucket(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 400)
+    monkeypatch.setattr(near_dedup, "COLUMNS", 64)
+    monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 0)
+    rows = [(10 + i, t) for i, t in enumerate(drifting(30, 8, chain=1) + family(60, 9))]
+    docs = documents(spark, rows)
+    wanted = {(str(a), n, str(b), k) for a, n, b, k in brute(rows)}
+    assert {tuple(r) for r in near_dedup.near_components(docs.withColumn("doc_id", docs.doc_id.cast("string"))).collect()} == wanted
