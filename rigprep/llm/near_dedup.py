@@ -42,6 +42,8 @@ BLOCK = 256
 BLOCK_SHINGLES = 1 << 20
 #: Columns of the matrices of a tile that are multiplied at a time.
 COLUMNS = 1 << 14
+#: A family is compared as a whole if that sends out at most so many times the sets that its buckets do.
+FAMILY_COST = 1.0
 HUB_ROUNDS, PEELS = 3, 2
 
 _ODD = np.random.default_rng(20240501).integers(1, 1 << 63, size=(2, REGISTERS), dtype=np.uint64) | np.uint64(1)
@@ -255,17 +257,17 @@ def _forest(labels: np.ndarray, pairs: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def tile_links(bucket: int, left: np.ndarray, right: np.ndarray, label: np.ndarray, n: np.ndarray, share: np.ndarray, regs: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
-    """Links (i, j) between the sets ``left`` and ``right`` of a bucket that join different labels.
+def tile_links(bucket: int | None, left: np.ndarray, right: np.ndarray, label: np.ndarray, n: np.ndarray, share: np.ndarray, regs: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Links (i, j) between the sets ``left`` and ``right`` of a bucket (or family: null) that join different labels.
 
-    A pair belongs to the first band that it has in common, so that one tile of its up to 32 looks at it.
+    In buckets a pair belongs to the first band that it has in common, so that one tile of its up to 32 looks at it.
     """
-    values = np.ascontiguousarray(regs).view(np.uint64)  # one for each band of four 16-bit registers
-    band = bucket & ((1 << BAND_BITS) - 1)
     most = np.minimum(share[left][:, None], share[right])
     open_ = (label[left][:, None] != label[right]) & (100 * most >= PERCENT * (n[left][:, None] + n[right] - most))
-    for k in range(band):
-        open_ &= values[left, k][:, None] != values[right, k]
+    if bucket is not None:
+        values = np.ascontiguousarray(regs).view(np.uint64)  # one for each band of four 16-bit registers
+        for k in range(bucket & ((1 << BAND_BITS) - 1)):
+            open_ &= values[left, k][:, None] != values[right, k]
     rows, columns = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
     if not len(rows):
         return []
@@ -276,28 +278,50 @@ def tile_links(bucket: int, left: np.ndarray, right: np.ndarray, label: np.ndarr
     return _forest(label, np.stack([left[linked[:, 0]], right[linked[:, 1]]], axis=1))
 
 
+def _cells(here: DataFrame) -> DataFrame:
+    """(family, bucket, blocks, rep, label, n, share): the groups whose sets are compared with each other.
+
+    Sets that buckets connect are a family. A family is compared as a whole (bucket is null) or bucket by bucket,
+    whichever sends its sets to fewer tiles: families of one origin are in many buckets together, while
+    large families that chance buckets connect are best left in their buckets. Both look at every pair.
+    """
+    first = here.groupBy("bucket").agg(F.min("rep").alias("first"))
+    star = materialize(here.select("bucket", "rep").join(first, "bucket").select("rep", "first").distinct(), "star")
+    family = materialize(connected_components(star, "rep", "first").toDF("rep", "family"), "families")
+    known = materialize(here.join(family, "rep"), "family_members")
+    once = materialize(known.select("family", "rep", "label", "n", "share").distinct(), "family_sets")
+    by_bucket = materialize(known.groupBy("family", "bucket").agg(_n_blocks("n"), F.count(F.lit(1)).alias("size")), "bucket_blocks")
+    by_family = once.groupBy("family").agg(_n_blocks("n"), F.count(F.lit(1)).alias("size"))
+    cost = by_bucket.groupBy("family").agg(F.sum(F.col("size") * F.col("blocks")).alias("split"))
+    whole = materialize(by_family.join(cost, "family").where(F.col("size") * F.col("blocks") <= FAMILY_COST * F.col("split")).select("family", "blocks"), "whole")
+    apart = by_bucket.join(whole, "family", "left_anti").select("family", "bucket", "blocks")
+    columns = ["family", "bucket", "blocks", "rep", "label", "n", "share"]
+    return once.join(whole, "family").withColumn("bucket", F.lit(None).cast("long")).select(*columns).unionByName(known.join(apart, ["family", "bucket"]).select(*columns))
+
+
 def _tiled(here: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
     """Links (a, b) that join the components of ``here`` (bucket, rep, label, n, share) as all links of a bucket would.
 
-    A bucket's sets are dealt into blocks by a hash, and each two blocks (and each alone) are one group of
-    bounded size. No row is a pair: a set goes to as many tiles as its bucket has blocks.
+    A group's sets are dealt into blocks by a hash, and each two blocks (and each alone) are one tile of
+    bounded size. No row is a pair: a set goes to as many tiles as its group has blocks.
     """
     kind = dict(here.dtypes)["rep"]
-    counted = materialize(here.groupBy("bucket").agg(_n_blocks("n")), "blocks")
-    dealt = here.join(counted, "bucket").withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+    dealt = _cells(here).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = materialize(dealt.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "label", "n", "share"), "tiles")
+    dealt = materialize(dealt.select("family", "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "label", "n", "share"), "tiles")
     rows = dealt.join(classes.select("rep", "registers"), "rep").join(sets.select("rep", "shingles"), "rep")
 
     def work(x: pd.DataFrame) -> pd.DataFrame:
-        i, j, block = int(x["i"].iloc[0]), int(x["j"].iloc[0]), x["block"].to_numpy()
+        i, j, block, bucket = int(x["i"].iloc[0]), int(x["j"].iloc[0]), x["block"].to_numpy(), x["bucket"].iloc[0]
         regs = np.frombuffer(b"".join(x["registers"]), dtype=np.uint16).reshape(-1, REGISTERS)
         label, n, share = (x[c].to_numpy() for c in ("label", "n", "share"))
-        got = tile_links(int(x["bucket"].iloc[0]), np.flatnonzero(block == i), np.flatnonzero(block == j), label, n, share, regs, list(map(np.asarray, x["shingles"])))
+        band = None if bucket is None else int.from_bytes(bucket, "big")
+        got = tile_links(band, np.flatnonzero(block == i), np.flatnonzero(block == j), label, n, share, regs, list(map(np.asarray, x["shingles"])))
         rep = x["rep"]
         return pd.DataFrame({"a": rep.iloc[[p for p, _ in got]].to_numpy(), "b": rep.iloc[[q for _, q in got]].to_numpy()})
 
-    return rows.select("bucket", "i", "j", "block", "rep", "label", "n", "share", "registers", "shingles").groupBy("bucket", "i", "j").applyInPandas(work, f"a {kind}, b {kind}")
+    band = F.when(F.col("bucket").isNotNull(), F.unhex(F.hex(F.col("bucket").bitwiseAND((1 << BAND_BITS) - 1))))  # binary: pandas would turn a nullable number into a float
+    return rows.select("family", F.col("bucket").alias("cell"), band.alias("bucket"), "i", "j", "block", "rep", "label", "n", "share", "registers", "shingles").groupBy("family", "cell", "i", "j").applyInPandas(work, f"a {kind}, b {kind}")
 
 
 def _peeled(here: DataFrame, sets: DataFrame) -> DataFrame:

@@ -134,7 +134,9 @@ def test_a_family_below_the_threshold_equals_brute_force(spark, monkeypatch):
     assert {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).collect()} == wanted
 
 
-def test_text_ids_and_large_sets_of_one_bucket(spark, monkeypatch):
+@pytest.mark.parametrize("cost", [0, 1])
+def test_text_ids_and_large_sets_of_one_bucket(spark, monkeypatch, cost):
+    monkeypatch.setattr(near_dedup, "FAMILY_COST", cost)
     monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 400)
     monkeypatch.setattr(near_dedup, "COLUMNS", 64)
     monkeypatch.setattr(near_dedup, "HUB_ROUNDS", 0)
