@@ -1,16 +1,22 @@
-"""Repeated 200-byte strings by a depth-limited radix sort of anchored suffixes.
-
-Suffixes are compared through 200 bytes only, most significant digit first, and groups of one
-are dropped after each pass; groups that are equal to the end are exactly the repeated strings.
-
-Not every suffix is sorted by itself. An anchor is a position whose CORE-byte hash is the least
-of some run of WINDOW neighbouring positions, so every 200-byte string holds an anchor, and
-equal strings hold it at the same place. Each pass works on ranges of strings around an anchor:
-those that start lo..hi bytes before it share a core (bytes in all of them) and have a hull
-(bytes in any). A range whose core is unique holds no repeated string; one whose hull occurs
-twice holds only repeated ones; the rest are split. Ranges shrink from all the strings around an
-anchor to tenths and to single strings. One member of each distinct hull stays as a partner for
-the others, so a passage of very many documents is counted, never paired.
+"""Repeated 200-byte strings by a depth-limited radix sort of sampled suffixes.
+
+Strings are compared through 200 bytes only, most significant digit first; after each pass groups of
+one are dropped, and groups that are equal to the end are exactly the repeated strings.
+
+The first digit is the CORE of a string: of its runs of CORE bytes, the one whose hash is the least
+(of equal ones the first). It is found in the string alone, so equal strings have equal cores at equal
+places, and neighbouring strings share theirs: a row is an anchor (a core's position) with the range
+of the strings that it is the core of, fifty on average. The passes:
+
+1. by core: anchors are dealt by it, and groups of one are dropped;
+2. by hull, the bytes of all an anchor's strings (128 bits): rows with equal hulls are repeated
+   throughout, and one of them stays as a partner of the others;
+3. byte by byte outwards from the core, in groups that are still of several hulls: to its left and
+   to its right, each pass refines the classes of equal bytes by one byte and drops classes of one.
+   A string is repeated if two rows agree in its left and its right class.
+
+Groups of very many hulls are not gathered: their strings are dealt out one by one (128 bits), and
+counted. A passage of very many documents is thus counted, never paired.
 """
 
 from __future__ import annotations
@@ -23,13 +29,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rigprep.functions.shared import free_shuffles, materialize
+from rigprep.functions.shared import materialize, superseded
 from rigprep.llm.text import map_texts
 
-LENGTH, CORE, SPLIT = 200, 100, 10
+LENGTH, CORE = 200, 100
 WINDOW = LENGTH - CORE + 1
 #: Texts are hashed in pieces of so many bytes (and an overlap), which bounds a task's memory.
 PIECE = 1 << 20
+#: Hulls of a core that are gathered in one task at most, and rows that are sorted together, about.
+GROUP, ROWS = 4096, 16384
 
 _R = np.random.default_rng(20240502)
 _BYTE = _R.integers(1, 1 << 63, size=256, dtype=np.uint64)
@@ -78,8 +86,8 @@ def _sliding(x: np.ndarray, n: int, op) -> np.ndarray:
     return out if width == n else op(out[: len(out) - (n - width)], out[n - width :])
 
 
-def anchors(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(position, core hash, hull hash) of the anchors, piece by piece; none below LENGTH bytes."""
+def anchors(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(position, core hash, lo, hi), piece by piece: the core of the strings that start lo..hi bytes before it."""
     n = len(text)
     if n < LENGTH:
         return
@@ -92,133 +100,212 @@ def anchors(text: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             continue
         at = np.arange(m - CORE + 1)
         core = h.of(at, at + CORE)
-        least = _sliding(core, WINDOW, np.minimum)
+        least = _sliding(core, WINDOW, np.minimum)  # one for each string
         pad = np.zeros(WINDOW - 1, dtype=np.uint64)
-        best = _sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum)
-        pos = np.flatnonzero(best == core)
-        pos = pos[(pos + low >= first) & (pos + low < first + PIECE)]
-        yield pos + low, core[pos], h.of(np.maximum(pos - WINDOW + 1, 0), np.minimum(pos + LENGTH, m))
-
-
-def ranges(text: bytes, pos: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, ...]:
-    """For strings that start lo..hi before ``pos``: which ranges hold any, core and hull hashes, bytes of the hull."""
-    n = len(text)
-    low, high = np.maximum(lo, LENGTH - (n - pos)), np.minimum(hi, pos)  # those inside the text
-    ok = low <= high
-    pos, lo, hi, low, high = (x[ok] for x in (pos, lo, hi, low, high))
-    h = Hashes(text)
-    start, end = pos - high, pos - low + LENGTH
-    return ok, h.of(pos - lo, pos - hi + LENGTH), h.of(start, end), start, end
+        pos = np.flatnonzero(_sliding(np.concatenate([pad, least, pad]), WINDOW, np.maximum) == core)
+        own = np.zeros(m, dtype=np.int64)
+        own[pos + 1] = 1
+        own = np.cumsum(own)[: len(least)]  # the first anchor at or after the string's start
+        wrong = np.flatnonzero(core[pos[own]] != least)
+        while len(wrong):
+            own[wrong] += 1
+            wrong = wrong[core[pos[own[wrong]]] != least[wrong]]
+        new = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]]))
+        last = np.concatenate([new[1:], [len(own)]]) - 1
+        pos = pos[own[new]]
+        inside = (pos + low >= first) & (pos + low < first + PIECE)
+        yield (pos + low)[inside], core[pos[inside]], (pos - last)[inside], (pos - new)[inside]
 
 
 def _key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """d and t tell documents apart, also where ids are null or repeated."""
+    """d and t (96 bits of id and text) stand for a document; rows that repeat both share them."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
-    return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63))).alias("d"), text).withColumn("t", F.hash("text"))
+    kept = docs.select(F.col(id_col).alias("doc_id"), text)
+    return kept.withColumn("d", F.xxhash64(F.col("doc_id").cast("string"), "text")).withColumn("t", F.hash("text", F.col("doc_id").cast("string")))
+
+
+def _cat(parts: list[np.ndarray], kind) -> np.ndarray:
+    return np.concatenate(parts).astype(kind) if parts else np.empty(0, dtype=kind)
+
+
+def _digests(parts: list[bytes]) -> tuple[pa.Array, pa.Array]:
+    both = np.frombuffer(b"".join(parts), dtype=np.int64).reshape(-1, 2)
+    return pa.array(np.ascontiguousarray(both[:, 0])), pa.array(np.ascontiguousarray(both[:, 1]))
+
+
+def _core_rows(keyed: DataFrame) -> DataFrame:
+    def start():
+        def work(cols, texts):
+            return {"core": pa.array(_cat([x[1] for text in texts for x in anchors(text)], np.uint64).view(np.int64))}
+
+        return work
+
+    return map_texts(keyed, {}, "text", start, "core long")
 
 
-def _anchor_rows(keyed: DataFrame, only_core: bool) -> DataFrame:
+def _anchor_rows(keyed: DataFrame) -> DataFrame:
+    """(d, t, pos, lo, hi, core, h1, h2): h1 and h2 are 128 bits of the hull's bytes and its place."""
+
     def start():
+        import xxhash
+
         def work(cols, texts):
-            which, pos, core, hull, right = [], [], [], [], []
+            which, pos, core, lo, hi, hulls = [], [], [], [], [], []
             for k, text in enumerate(texts):
-                for p, c, u in anchors(text):
+                for p, c, a, b in anchors(text):
                     which.append(np.full(len(p), k))
-                    pos.append(p)
-                    core.append(c)
-                    hull.append(u)
-                    right.append(np.minimum(LENGTH, len(text) - p))
-            cat = lambda x, kind: np.concatenate(x).astype(kind) if x else np.empty(0, dtype=kind)
-            core = pa.array(cat(core, np.uint64).view(np.int64))
-            if only_core:
-                return {"core": core}
-            take = pa.array(cat(which, np.int64))
-            return {"d": cols["d"].take(take), "t": cols["t"].take(take), "pos": pa.array(cat(pos, np.int32)), "core": core, "hull": pa.array(cat(hull, np.uint64).view(np.int64)), "right": pa.array(cat(right, np.int16))}
+                    for out, x in ((pos, p), (core, c), (lo, a), (hi, b)):
+                        out.append(x)
+                    hulls += [xxhash.xxh3_128_digest(text[x - z : x - y + LENGTH], seed=y << 8 | z) for x, y, z in zip(p.tolist(), a.tolist(), b.tolist(), strict=True)]
+            take, (h1, h2) = pa.array(_cat(which, np.int64)), _digests(hulls)
+            numbers = {"pos": pa.array(_cat(pos, np.int64)), "lo": pa.array(_cat(lo, np.int16)), "hi": pa.array(_cat(hi, np.int16)), "core": pa.array(_cat(core, np.uint64).view(np.int64))}
+            return {"d": cols["d"].take(take), "t": cols["t"].take(take), **numbers, "h1": h1, "h2": h2}
 
         return work
 
-    return map_texts(keyed, {"d": "d", "t": "t"}, "text", start, "core long" if only_core else "d long, t int, pos int, core long, hull long, right short")
+    return map_texts(keyed, {"d": "d", "t": "t"}, "text", start, "d long, t int, pos long, lo short, hi short, core long, h1 long, h2 long")
 
 
-def _split_rows(texts: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Ranges of ``width`` strings out of the wanted ones (d, t, parts: array of pos, lo, hi)."""
-    rows = wanted.join(texts, ["d", "t"])
+def _hulls_of(texts: DataFrame, partners: DataFrame) -> DataFrame:
+    """``partners`` with the bytes of their hulls."""
+    lists = partners.groupBy("d", "t").agg(F.collect_list(F.struct("pos", "lo", "hi", "core", "single", "hot")).alias("parts"))
+    rows = texts.where(F.octet_length("text") >= LENGTH).join(lists, ["d", "t"])
 
     def run(batches):
         for batch in batches:
-            out = {c: [] for c in ("pos", "lo", "core", "hull", "start", "end")}
-            which = []
+            which, flat, hulls = [], [], []
             for k, (text, parts) in enumerate(zip(batch.column("text").to_pylist(), batch.column("parts"), strict=True)):
-                flat = parts.values.flatten()
-                pos, lo, hi = (x.to_numpy().astype(np.int64) for x in flat)
-                count = -(-(hi - lo + 1) // width)
-                step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-                pos, first, last = np.repeat(pos, count), np.repeat(lo, count) + step * width, np.repeat(hi, count)
-                last = np.minimum(first + width - 1, last)
-                ok, core, hull, start, end = ranges(text, pos, first, last)
-                which.append(np.full(len(core), k))
-                for c, x in zip(out, (pos[ok], first[ok], core.view(np.int64), hull.view(np.int64), start, end), strict=True):
-                    out[c].append(x)
+                part = parts.values
+                pos, lo, hi = (part.field(c).to_numpy() for c in ("pos", "lo", "hi"))
+                which.append(np.full(len(part), k))
+                flat.append(part)
+                hulls += [text[a:b] for a, b in zip((pos - hi).tolist(), (pos - lo + LENGTH).tolist(), strict=True)]
             if not which:
                 continue
-            take = pa.array(np.concatenate(which))
+            take, part = pa.array(np.concatenate(which)), pa.concat_arrays(flat)
             got = {"d": batch.column("d").take(take), "t": batch.column("t").take(take)}
-            for c, kind in (("pos", np.int32), ("lo", np.int16), ("core", np.int64), ("hull", np.int64), ("start", np.int32), ("end", np.int32)):
-                got[c] = pa.array(np.concatenate(out[c]).astype(kind))
-            yield pa.RecordBatch.from_pydict(got)
+            yield pa.RecordBatch.from_pydict(got | {c: part.field(c) for c in ("pos", "lo", "hi", "core", "single", "hot")} | {"hull": pa.array(hulls, pa.binary())})
 
-    return rows.select("d", "t", "parts", F.col("text").cast("binary").alias("text")).mapInArrow(run, "d long, t int, pos int, lo short, core long, hull long, start int, end int")
+    return rows.select("d", "t", "parts", F.col("text").cast("binary").alias("text")).mapInArrow(run, "d long, t int, pos long, lo short, hi short, core long, single boolean, hot boolean, hull binary")
 
 
-def _sorted_pass(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(covered, partners) of one digit: rows whose hull is at two places, and the rows to split.
+def _refined(classes: np.ndarray, digit: np.ndarray) -> np.ndarray:
+    """One radix pass: classes of equal class and digit, numbered anew; -1 for those of one row."""
+    out = np.full(len(classes), -1, dtype=np.int64)
+    live = np.flatnonzero(classes >= 0)
+    if len(live):
+        _, code, times = np.unique((classes[live] << 8) | digit[live], return_inverse=True, return_counts=True)
+        out[live] = np.where(times[code] > 1, code, -1)
+    return out
 
-    rows: d, t, pos, lo, core, hull, start, end. Counts are combined in each task, so a hull or a
-    core of very many rows is a few records. A hull's place is its document and bytes: several anchors
-    of a short text can have one hull at one place, which shows no repeat of the whole. Such anchors
-    are all split; of any other hull one row is.
+
+def repeated_starts(hulls: list[bytes], lo: np.ndarray, hi: np.ndarray, core: np.ndarray) -> np.ndarray:
+    """Rows x WINDOW booleans: which string, so many bytes before the core, another row of the core also has.
+
+    Hulls are laid out with their cores in one column; a radix pass for each byte outwards from the
+    core, first of the core itself, keeps for each depth the classes of rows that agree so far.
     """
-    seen = F.struct("d", "t", "start", "end", "pos")
-    hulls = rows.groupBy("lo", "core", "hull").agg(F.min(seen).alias("one"), F.max(seen).alias("last"))
-    place = [F.col(f"one.{c}") == F.col(f"last.{c}") for c in ("d", "t", "start", "end")]
-    kind = F.when(~(place[0] & place[1] & place[2] & place[3]), 2).when(F.col("one.pos") != F.col("last.pos"), 1).otherwise(0).cast("byte")
-    hulls = materialize(hulls.select("lo", "core", "hull", F.struct("one.d", "one.t", "one.pos").alias("one"), kind.alias("kind")), name)
-    marked = materialize(rows.join(hulls.where("kind > 0").select("lo", "core", "hull", "kind"), ["lo", "core", "hull"]).select("d", "t", "pos", "lo", "start", "end", "kind"), name)
-    several = materialize(hulls.groupBy("lo", "core").agg(F.count(F.lit(1)).alias("n"), F.max((F.col("kind") == 1).cast("int")).alias("again")).where("n > 1 or again = 1").select("lo", "core"), name)
-    partners = hulls.where("kind <> 1").join(several, ["lo", "core"]).select("one.d", "one.t", "one.pos", "lo")
-    return marked.where("kind = 2").select("d", "t", "start", "end"), partners.unionByName(marked.where("kind = 1").select("d", "t", "pos", "lo").distinct())
+    n, side = len(hulls), LENGTH - CORE
+    field = np.zeros((LENGTH + side, n), dtype=np.uint8)  # transposed: a digit is a run of memory
+    for i, (hull, z) in enumerate(zip(hulls, hi.tolist(), strict=True)):
+        field[side - z : side - z + len(hull), i] = np.frombuffer(hull, dtype=np.uint8)
+    classes = np.unique(core, return_inverse=True)[1].astype(np.int64)
+    # the core's hash has dealt it; its bytes confirm it
+    bytes_ = np.ascontiguousarray(field[side:LENGTH].T).view(f"V{CORE}").ravel()
+    same = np.unique(bytes_, return_inverse=True)[1].astype(np.int64)
+    classes = np.unique(classes * n + same, return_inverse=True)[1].astype(np.int64)
+    left, right = [classes], [classes]
+    for k in range(side):
+        # rows whose strings end here have nothing to add: lo and hi bound what a row asks of each side
+        left.append(_refined(np.where(hi > k, left[-1], -1), field[side - 1 - k]))
+        right.append(_refined(np.where(side - lo > k, right[-1], -1), field[LENGTH + k]))
+    found = np.zeros((n, WINDOW), dtype=bool)
+    for a in range(WINDOW):
+        x, y = left[a], right[side - a]
+        live = np.flatnonzero((x >= 0) & (y >= 0) & (lo <= a) & (a <= hi))
+        if len(live):
+            _, code, times = np.unique(x[live] * n + y[live], return_inverse=True, return_counts=True)
+            found[live, a] = times[code] > 1
+    return found
+
+
+SPANS = "d long, t int, start long, end long"
+
+
+def _gathered(rows: DataFrame) -> DataFrame:
+    """Repeated strings of rows of bounded groups: rows are dealt and sorted by core, and some ROWS are taken at a time."""
+
+    def work(table: pa.Table) -> pa.RecordBatch:
+        lo, hi, core, pos = (table.column(c).to_numpy().astype(np.int64) for c in ("lo", "hi", "core", "pos"))
+        found = repeated_starts(table.column("hull").to_pylist(), lo, hi, core) & table.column("single").to_numpy(zero_copy_only=False)[:, None]
+        edge = np.diff(np.pad(found, ((0, 0), (1, 1))).astype(np.int8), axis=1)
+        row, first = np.nonzero(edge == 1)
+        _, after = np.nonzero(edge == -1)
+        take = pa.array(row)
+        return pa.RecordBatch.from_pydict({"d": table.column("d").take(take).combine_chunks(), "t": table.column("t").take(take).combine_chunks(), "start": pa.array(pos[row] - after + 1), "end": pa.array(pos[row] - first + LENGTH)})
+
+    def run(batches):
+        held: list[pa.Table] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            core = batch.column("core").to_numpy()
+            held.append(pa.Table.from_batches([batch]))
+            if sum(x.num_rows for x in held) >= ROWS and core[0] != core[-1]:
+                cut = int(np.flatnonzero(core != core[-1])[-1]) + 1  # whole groups only
+                rest = held[-1].slice(cut)
+                held[-1] = held[-1].slice(0, cut)
+                yield work(pa.concat_tables(held))
+                held = [rest]
+        if held:
+            yield work(pa.concat_tables(held))
+
+    return rows.repartition("core").sortWithinPartitions("core").select("d", "t", "pos", "lo", "hi", "core", "single", "hull").mapInArrow(run, SPANS)
+
 
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Repeated strings of groups that are too large to gather: every string is a row, counted by 128 bits."""
+
+    def run(batches):
+        import xxhash
+
+        for batch in batches:
+            which, start, digests = [], [], []
+            columns = [batch.column(c).to_pylist() for c in ("hull", "pos", "lo", "hi")]
+            for k, (hull, pos, lo, hi) in enumerate(zip(*columns, strict=True)):
+                for a in range(lo, hi + 1):
+                    which.append(k)
+                    start.append(pos - a)
+                    digests.append(xxhash.xxh3_128_digest(hull[hi - a : hi - a + LENGTH]))
+            take, (h1, h2) = pa.array(which, pa.int64()), _digests(digests)
+            yield pa.RecordBatch.from_pydict({"d": batch.column("d").take(take), "t": batch.column("t").take(take), "start": pa.array(start, pa.int64()), "single": batch.column("single").take(take), "h1": h1, "h2": h2})
 
-def _wanted(partners: DataFrame, width: int) -> DataFrame:
-    part = F.struct("pos", "lo", F.least(F.col("lo") + width - 1, F.lit(WINDOW - 1)).cast("short").alias("hi"))
-    return materialize(partners.groupBy("d", "t").agg(F.collect_list(part).alias("parts")), "wanted")
+    strings = materialize(rows.mapInArrow(run, "d long, t int, start long, single boolean, h1 long, h2 long"), "strings")
+    again = materialize(strings.groupBy("h1", "h2").count().where("count > 1").select("h1", "h2"), "again")
+    return strings.where("single").join(again, ["h1", "h2"]).select("d", "t", "start", (F.col("start") + LENGTH).alias("end"))
 
 
 def covered_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(d, t, start, end): stretches of bytes, which may overlap, that repeated strings cover."""
-    spark = docs.sparkSession
     keyed = _key(docs, id_col, text_col)
-    cores = materialize(_anchor_rows(keyed, True).groupBy("core").count().where("count > 1").select("core"), "cores")
-    free_shuffles(spark)
-    rows = materialize(_anchor_rows(keyed, False).join(cores, "core"), "anchors")
-    free_shuffles(spark)
-    most = F.least(F.lit(WINDOW - 1), F.col("pos"))
-    least = F.greatest(F.lit(0), LENGTH - F.col("right"))
-    rows = rows.select("d", "t", "pos", F.lit(0).cast("short").alias("lo"), "core", "hull", (F.col("pos") - most).cast("int").alias("start"), (F.col("pos") - least + LENGTH).cast("int").alias("end"))
-    covered, partners = _sorted_pass(rows, "pass0")
-    # Rows that repeat an id and a text have their strings at the same places, all of them repeated.
-    size = F.octet_length("text")
-    same = keyed.where(size >= LENGTH).groupBy("d", "t", F.xxhash64("text").alias("h")).agg(F.count(F.lit(1)).alias("n"), F.max(size).alias("end")).where("n > 1")
-    covered = covered.unionByName(materialize(same.select("d", "t", F.lit(0).alias("start"), "end"), "same"))
-    texts, width = keyed.select("d", "t", "text"), WINDOW
-    for k, narrow in enumerate((SPLIT, 1)):
-        wanted = _wanted(partners, width)
-        free_shuffles(spark)
-        rows = materialize(_split_rows(texts, wanted, narrow), f"ranges{k}")
-        free_shuffles(spark)
-        more, partners = _sorted_pass(rows, f"pass{k + 1}")
-        covered, width = covered.unionByName(more), narrow
-    return covered
+    cores = materialize(_core_rows(keyed).groupBy("core").count().where("count > 1").select("core"), "cores")
+    rows = materialize(_anchor_rows(keyed).join(cores, "core"), "anchors")
+    superseded(cores)
+    # counts are combined in each task, so a hull of very many rows is a few records
+    hulls = rows.groupBy("core", "h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("d", "t", "pos", "lo", "hi")).alias("one"))
+    hulls = materialize(hulls, "hulls")
+    several = hulls.groupBy("core").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).where("k > 1 and least = 1").select("core", (F.col("k") > GROUP).alias("hot"))
+    partners = materialize(hulls.join(several, "core").select("core", "one.*", (F.col("n") == 1).alias("single"), "hot"), "partners")
+    covered = rows.join(hulls.where("n > 1").select("core", "h1", "h2"), ["core", "h1", "h2"])
+    covered = materialize(covered.select("d", "t", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + LENGTH).alias("end")), "covered")
+    superseded(rows, hulls)
+    known = materialize(_hulls_of(keyed.select("d", "t", "text"), partners), "partner_hulls")
+    superseded(partners)
+    out = covered.unionByName(materialize(_gathered(known.where("not hot")), "gathered"))
+    if known.where("hot").limit(1).count():
+        out = out.unionByName(materialize(_dealt(known.where("hot")), "dealt"))
+    superseded(known)
+    return out
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -236,10 +323,10 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 starts, ends = start[new], end[np.concatenate([new[1:], [True]])]
                 removed.append(int((ends - starts).sum()))
                 spans.append([{"start": int(a), "end": int(b)} for a, b in zip(starts, ends, strict=True)])
-            kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_pydict({"d": batch.column("d"), "t": batch.column("t"), "n_removed": pa.array(removed, pa.int64()), "spans": pa.array(spans, kind)})
 
-    return materialize(lists.mapInArrow(run, "d long, t int, n_removed long, spans array<struct<start:int,end:int>>"), "spans")
+    return materialize(lists.mapInArrow(run, "d long, t int, n_removed long, spans array<struct<start:long,end:long>>"), "spans")
 
 
 def cut_spans(texts: DataFrame) -> DataFrame:
@@ -265,17 +352,15 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts are UTF-8 bytes; a null text is empty. Every byte is removed that a 200-byte string covers
     which also starts elsewhere, in the same document or another; strings are judged on the input.
     Texts under 200 bytes lose nothing. Rows that repeat a text lose all of it if it has 200 bytes.
-    An empty table gives an empty table.
+    Ids may be of any type, null or repeated. An empty table gives an empty table.
     """
     keyed = _key(docs, id_col, text_col)
     facts = materialize(keyed.select("doc_id", "d", "t", F.octet_length("text").cast("long").alias("n_bytes"), F.sha2("text", 256).alias("sha")), "facts")
     spans = repeated_spans(docs, id_col, text_col)
-    free_shuffles(docs.sparkSession)
     found = materialize(facts.join(spans, ["d", "t"], "left"), "found")
     part = found.where("n_removed < n_bytes").select("d", "t", "spans").dropDuplicates(["d", "t"])
     texts = keyed.select("d", "t", "text").join(materialize(part, "part"), ["d", "t"])
     kept = materialize(cut_spans(texts).select("d", "t", F.sha2("kept", 256).alias("cut_sha")).dropDuplicates(["d", "t"]), "kept")
-    free_shuffles(docs.sparkSession)
     sha = F.when(F.col("n_removed").isNull(), F.col("sha")).when(F.col("n_removed") == F.col("n_bytes"), F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.col("cut_sha"))
     return found.join(kept, ["d", "t"], "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0)).alias("n_removed"), F.coalesce(F.size("spans"), F.lit(0)).cast("long").alias("n_spans"), sha.alias("kept_sha256"), "spans"

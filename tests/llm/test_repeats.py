@@ -90,3 +90,23 @@ def test_random_short_periodic_texts_equal_brute_force(spark):
     assert got(spark, rows) == brute(rows)
     rows = [(i, text(r, int(r.integers(0, 40))) + (chr(0x4E00 + i) * 300)[: int(r.integers(50, 100))] + text(r, int(r.integers(0, 40)))) for i in range(60)]
     assert got(spark, rows) == brute(rows)
+
+
+def test_string_ids_and_a_passage_of_very_many_texts_equal_brute_force(spark, monkeypatch):
+    r = np.random.default_rng(6)
+    p, q = text(r, 230), text(r, 400)
+    rows = [(i, text(r, int(r.integers(90, 130))) + p[: 180 + i % 50] + text(r, 150)) for i in range(40)] + [(50 + i, text(r, 150) + q[i : 390 - i] + text(r, 120)) for i in range(30)]
+    wanted = brute(rows)
+    for group in (4096, 3):  # gathered, and dealt out one by one
+        monkeypatch.setattr(repeats, "GROUP", group)
+        assert got(spark, rows) == wanted
+    docs = documents(spark, rows)
+    named = sorted(tuple(x) for x in repeats.without_repeats(docs.withColumn("doc_id", docs.doc_id.cast("string"))).drop("spans").collect())
+    assert named == sorted((str(d), *rest) for d, *rest in wanted)
+
+
+def test_anchors_own_each_string_once():
+    r = np.random.default_rng(7)
+    for t in (text(r, 900), "a" * 500, "ab" * 300, "y" * 200, "hello world, " * 50 + text(r, 300)):
+        own = sorted(int(p - a) for pos, _, lo, hi in repeats.anchors(t.encode()) for p, x, y in zip(pos, lo, hi, strict=True) for a in range(x, y + 1))
+        assert own == list(range(len(t) - LENGTH + 1))
