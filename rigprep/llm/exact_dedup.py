@@ -1,22 +1,25 @@
 """Exact duplicates by two-pass Bloom filtering, with DataFrame functions only.
 
-Pass one sets bits: each text hash has a slot in each of two filters, and a filter keeps the
-slots that were hit at least twice. Pass two tests every hash: if both of its slots were hit
-twice the text is possibly repeated and its digest goes to an exact grouping; every other
-row passes straight through. A filter can only err towards "possibly", so the result is exact.
+Pass one sets bits: each text hash has a slot in a filter, which keeps the slots that were hit at
+least twice. Pass two tests every hash: if its slot was hit twice the text is possibly repeated and
+its digest goes to an exact grouping; every other row passes straight through. A filter can only err
+towards "possibly", so the result is exact. Filters have a bounded size: hashes that need more are
+taken slice by slice of their values, each with a filter of its own, so no input is too large for it.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rigprep.functions.shared import materialize
+from rigprep.functions.shared import materialize, new_path, shuffles_go
+from rigprep.llm.text import text_hash, without_rows
 
-FILTERS = 2
 BLOCK_BITS = 32768  # of one bitmap of bitmap_construct_agg
-BITS_PER_ROW = 8
-#: Filters up to this size are broadcast; larger ones are joined by block number instead.
+#: With one hash to a filter, one lone row in so many is sent to the grouping by chance.
+BITS_PER_ROW = 16
+#: A filter that is broadcast has so many bytes at most.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -26,22 +29,21 @@ def normalised(text: Column) -> Column:
 
 
 def filter_bits(rows: int) -> int:
-    """Bits of one filter: a power of two, at least BITS_PER_ROW for each row."""
-    bits = BLOCK_BITS
-    while bits < BITS_PER_ROW * rows:
-        bits *= 2
-    return bits
+    """Bits of one filter: whole blocks, at least BITS_PER_ROW for each row."""
+    return BLOCK_BITS * max(1, -(-BITS_PER_ROW * rows // BLOCK_BITS))
 
 
-def slot(hash_col: str, k: int, bits: int) -> Column:
-    return F.pmod(F.xxhash64(F.col(hash_col), F.lit(k)), F.lit(bits)) + 1
+def slot(hash_col: str, bits: int) -> Column:
+    return F.pmod(F.xxhash64(F.col(hash_col), F.lit(0)), F.lit(bits)) + 1
 
 
 def repeated_slots(hashes: DataFrame, hash_col: str, bits: int) -> DataFrame:
-    """The filters as a table ``(filter, block, bitmap)`` of slots that were hit at least twice."""
-    slots = hashes.select(F.explode(F.array(*[F.struct(F.lit(k).alias("filter"), slot(hash_col, k, bits).alias("slot")) for k in range(FILTERS)])).alias("s")).select("s.*")
-    twice = slots.groupBy("filter", "slot").count().where("count > 1")
-    return twice.groupBy("filter", F.bitmap_bucket_number("slot").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
+    """The filter as a table ``(block, bitmap)`` of slots that were hit at least twice.
+
+    Equal slots of a task are one record; a record is two numbers.
+    """
+    twice = hashes.groupBy(slot(hash_col, bits).alias("slot")).count().where("count > 1")
+    return twice.groupBy(F.bitmap_bucket_number("slot").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bitmap"))
 
 
 def bit_is_set(bitmap: Column, position: Column) -> Column:
@@ -49,22 +51,32 @@ def bit_is_set(bitmap: Column, position: Column) -> Column:
     return F.coalesce(F.pmod(F.floor(byte / F.pow(F.lit(2), position % 8)), F.lit(2)), F.lit(0)) == 1
 
 
+def _tested(hashes: DataFrame, hash_col: str, bits: int) -> DataFrame:
+    """``hashes`` with ``maybe``, by a filter that is broadcast: ``bits`` bound its size."""
+    blocks = F.broadcast(materialize(repeated_slots(hashes, hash_col, bits), "bloom").toDF("__block", "__bitmap"))
+    at = slot(hash_col, bits)
+    out = hashes.join(blocks, F.bitmap_bucket_number(at) == F.col("__block"), "left")
+    return out.select(*hashes.columns, bit_is_set(F.col("__bitmap"), F.bitmap_bit_position(at)).alias("maybe"))
+
+
 def with_possibly_repeated(hashes: DataFrame, hash_col: str, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """``hashes`` with a boolean ``maybe``: false means that the hash surely stands alone."""
-    bits = filter_bits(hashes.count())
-    filters = materialize(repeated_slots(hashes, hash_col, bits), "bloom")
-    small = FILTERS * bits // 8 <= broadcast_bytes
-    out, tests = hashes, F.lit(True)
-    for k in range(FILTERS):
-        one = filters.where(F.col("filter") == k).select(F.col("block").alias(f"block_{k}"), F.col("bitmap").alias(f"bitmap_{k}"))
-        out = out.withColumn(f"slot_{k}", slot(hash_col, k, bits)).withColumn(f"block_{k}", F.bitmap_bucket_number(f"slot_{k}"))
-        out = out.join(F.broadcast(one) if small else one, f"block_{k}", "left")
-        tests = tests & bit_is_set(F.col(f"bitmap_{k}"), F.bitmap_bit_position(f"slot_{k}"))
-    return out.withColumn("maybe", tests).select(*hashes.columns, "maybe")
+    """``hashes`` (a written table) with a boolean ``maybe``: false means that the hash surely stands alone."""
+    rows = hashes.count()
+    slices = -(-filter_bits(rows) // (8 * max(broadcast_bytes, BLOCK_BITS // 8)))
+    if slices == 1:
+        return _tested(hashes, hash_col, filter_bits(rows))
+    spark = hashes.sparkSession
+    cut, out = new_path(spark, "slices"), new_path(spark, "tested")
+    with shuffles_go(spark):  # written by slice, so that each slice's rows are read twice and no others
+        hashes.withColumn("__slice", F.pmod(F.xxhash64(F.col(hash_col), F.lit(1)), F.lit(slices))).write.partitionBy("__slice").parquet(cut)
+        for k in range(slices):
+            part = spark.read.schema(T.StructType([*hashes.schema, T.StructField("__slice", T.LongType())])).parquet(cut).where(F.col("__slice") == k).drop("__slice")
+            _tested(part, hash_col, filter_bits(2 * rows // slices)).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256.
+    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
 
     Texts are equal when their normalised forms are. Of equal texts the row with the smallest
     id stays (null ids come last; of rows with the same id and text, one). A null text counts
@@ -76,7 +88,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     task, and the written groups let AQE split its rows when they fetch their group.
     """
     digests = materialize(
-        docs.select(F.col(id_col).alias("doc_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"), F.monotonically_increasing_id().alias("row")),
+        docs.select(F.col(id_col).alias("doc_id"), F.sha2(normalised(F.col(text_col)), 256).alias("text_sha256"), text_hash(text_col).alias("text_hash"), F.monotonically_increasing_id().alias("row")),
         "digests",
     )
     marked = materialize(with_possibly_repeated(digests, "text_sha256", broadcast_bytes), "marked")
@@ -89,16 +101,18 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
         F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"),
         "text_sha256",
+        "text_hash",
     )
-    alone = marked.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256")
+    alone = marked.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "text_hash")
     return alone.unionByName(found)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the documents whose text an earlier id also has; all columns stay.
 
-    Rows that repeat an id and its text count as one document and stay or go together.
+    A row goes by its id and text together: other texts of the same id stay, and null ids go only where an
+    id has their text. Rows that repeat an id and its text count as one document and stay or go together.
     """
-    gone = exact_duplicates(docs, id_col, text_col).where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).select(F.col("doc_id").alias("gone_id"))
-    gone = materialize(gone.where("gone_id is not null").distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    gone = exact_duplicates(docs, id_col, text_col).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    gone = materialize(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "gone")
+    return without_rows(docs, id_col, text_col, gone)

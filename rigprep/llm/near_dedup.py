@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rigprep.functions.graph import connected_components
 from rigprep.functions.shared import materialize
-from rigprep.llm.text import map_texts
+from rigprep.llm.text import map_texts, text_hash, without_rows
 
 WORDS = 5
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -123,7 +123,7 @@ def likeliest_similarity(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.nd
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, n_shingles, set_key, registers); set_key is equal exactly for equal sets (128 bits)."""
+    """(doc_id, text_hash, n_shingles, set_key, registers); set_key is equal exactly for equal sets (128 bits)."""
 
     def start():
         import xxhash
@@ -135,11 +135,12 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 n.append(len(s))
                 key.append(xxhash.xxh3_128_digest(s.tobytes()))
                 regs.append(registers(s).tobytes())
-            return {"doc_id": cols["doc_id"], "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(key, pa.binary()), "registers": pa.array(regs, pa.binary())}
+            return {**cols, "n_shingles": pa.array(n, pa.int64()), "set_key": pa.array(key, pa.binary()), "registers": pa.array(regs, pa.binary())}
 
         return work
 
-    return map_texts(docs, {"doc_id": id_col}, text_col, start, f"doc_id {dict(docs.dtypes)[id_col]}, n_shingles long, set_key binary, registers binary")
+    given = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+    return map_texts(given, {"doc_id": "doc_id", "text_hash": "text_hash"}, "text", start, f"doc_id {dict(docs.dtypes)[id_col]}, text_hash long, n_shingles long, set_key binary, registers binary")
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -345,20 +346,23 @@ def _peeled(here: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, text_hash.
 
     component_id is the smallest doc_id that links reach. Documents with equal sets are one class
-    and take part once. Null and empty texts, and those without words, have no shingles and are
-    linked with nothing. A null id is its own component and is kept; repeated rows of an id share
-    its component. Other columns are not looked at; an empty table gives an empty table.
+    and take part once, under the number of one of its rows, so ids may be of any type and repeated: rows of
+    one id with different texts are different documents. Null and empty texts, and those without words,
+    have no shingles and are linked with nothing. A null id is its own component and is kept. text_hash
+    tells rows of one id apart. Other columns are not looked at; an empty table gives an empty table.
     """
-    sketched = materialize(sketches(docs, id_col, text_col), "sketches")
-    classes = sketched.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n"), F.first("registers").alias("registers"))
+    sketched = materialize(sketches(docs, id_col, text_col).withColumn("row", F.monotonically_increasing_id()), "sketches")
+    live = sketched.where("n_shingles > 0 and doc_id is not null")
+    classes = live.groupBy("set_key").agg(F.min("row").alias("rep"), F.min("doc_id").alias("least_id"), F.max("n_shingles").alias("n"), F.first("registers").alias("registers"))
     classes = materialize(classes, "classes")
     rows = materialize(buckets(classes), "members")
     near = materialize(rows.select("rep").distinct(), "near")
-    texts = docs.select(F.col(id_col).alias("rep"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    texts = materialize(texts.join(near, "rep", "left_semi"), "texts")
+    wanted = materialize(live.select("row", "doc_id", "text_hash").join(near, live.row == near.rep).select("rep", "doc_id", "text_hash"), "near_rows")
+    texts = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
+    texts = materialize(texts.join(wanted, ["doc_id", "text_hash"]).select("rep", "text"), "texts")
 
     labels = materialize(near.select("rep", F.col("rep").alias("label")), "labels")
     links = tried = None
@@ -387,13 +391,22 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             joined = connected_components(links, "a", "b").toDF("rep", "component")
             labels = materialize(near.join(joined, "rep", "left").select("rep", F.coalesce("component", "rep").alias("label")), "labels")
 
-    members = materialize(classes.join(labels, "rep", "left").select("set_key", F.coalesce("label", "rep").alias("component_id")), "components")
-    own = sketched.where("n_shingles > 0 and doc_id is not null").join(members, "set_key").select("doc_id", "n_shingles", "component_id")
-    alone = sketched.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    return own.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    named = labels.join(classes.select("rep", "least_id"), "rep")
+    named = materialize(named, "named")
+    least = materialize(named.groupBy("label").agg(F.min("least_id").alias("component_id")), "least")
+    named = named.join(least, "label").select("rep", "component_id")
+    members = materialize(classes.join(named, "rep", "left").select("set_key", F.coalesce("component_id", "least_id").alias("component_id")), "components")
+    own = live.join(members, "set_key").select("doc_id", "n_shingles", "component_id", "text_hash")
+    alone = sketched.where("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), "text_hash")
+    out = own.unionByName(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return out.select("doc_id", "n_shingles", "component_id", "kept", "text_hash")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one with the smallest id; all columns stay."""
-    gone = materialize(near_components(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct(), "gone")
-    return docs.join(gone, docs[id_col] == gone["gone_id"], "left_anti")
+    """``docs`` with one document of each component, the one with the smallest id; all columns stay.
+
+    A row goes by its id and text together: other texts of the same id, and null ids, stay. Rows that
+    repeat an id and its text stay or go together.
+    """
+    gone = near_components(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
+    return without_rows(docs, id_col, text_col, materialize(gone.distinct(), "gone"))

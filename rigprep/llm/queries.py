@@ -21,7 +21,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents"))
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +29,7 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_components(_table(spark, sf_dir, "documents"))
+    return near_dedup.near_components(_table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: [\x20\x09-\x0D], which bytes.split() and bytes.strip() use.
@@ -36,3 +36,14 @@ def map_texts(docs: DataFrame, cols: dict[str, str], text_col: str, start: Calla
 
 def code_points(text: bytes) -> int:
     return len(text.translate(None, CONTINUATION))
+
+
+def text_hash(text_col: str) -> Column:
+    """64 bits of a text, to tell rows of one id apart; null is empty."""
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+
+def without_rows(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text ``gone`` (gone_id, gone_hash) has; names in ``docs`` do not matter."""
+    other = gone.toDF("__gone_id", "__gone_hash")
+    return docs.join(other, docs[id_col].eqNullSafe(other["__gone_id"]) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == other["__gone_hash"]), "left_anti")

@@ -47,6 +47,22 @@ def test_dropping_keeps_columns_and_empty_tables(spark):
     assert exact_dedup.exact_duplicates(documents(spark, [])).count() == 0
 
 
+def test_only_equal_texts_go_where_ids_repeat(spark):
+    rows = [(3, "same text"), (5, "same  text"), (5, "unique text"), (None, "unique too"), (None, "same text")]
+    left = exact_dedup.drop_exact_duplicates(documents(spark, rows, True)).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == [(0, "unique too"), (3, "same text"), (5, "unique text")]
+
+
+def test_slices_of_the_hashes_give_the_same_marks(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BLOCK_BITS", 32768)
+    rows = [(i, f"text {i % 2900}") for i in range(3000)]
+    got = exact_dedup.exact_duplicates(documents(spark, rows), broadcast_bytes=1).drop("text_hash").collect()
+    assert len(got) == 3000 and sum(not r.kept for r in got) == 100
+    hashes = spark.range(5000).select((F.col("id") % 4900).cast("string").alias("h"))
+    maybe = exact_dedup.with_possibly_repeated(hashes, "h", 1).where("maybe").collect()
+    assert {str(i) for i in range(100)} <= {r.h for r in maybe} and len(maybe) < 200 + 1000
+
+
 def mixed(spark, **options):
     rows = [(i, "w " * (3 + i % 5), "en", "hot" if i < 600 else f"s{i % 4}") for i in range(1000)] + [(2000, "", "en", "hollow"), (2001, "a b", "en", None), (2002, "a b", "en", None)]
     docs = documents(spark, rows)

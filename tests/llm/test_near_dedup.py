@@ -59,7 +59,7 @@ EDGES = [(1, None), (2, ""), (3, " \n\t "), (4, "one two"), (5, "ONE  two"), (6,
 
 @pytest.mark.parametrize("extra", [False, True])
 def test_edges(spark, extra):
-    got = {tuple(r) for r in near_dedup.near_components(documents(spark, EDGES, extra)).collect()}
+    got = {tuple(r) for r in near_dedup.near_components(documents(spark, EDGES, extra)).drop("text_hash").collect()}
     assert got == brute(EDGES)
 
 
@@ -67,7 +67,7 @@ def test_chains_stars_and_hot_groups_equal_brute_force(spark, monkeypatch):
     monkeypatch.setattr(near_dedup, "BLOCK", 8)
     texts = drifting(40, 1, chain=1) + drifting(60, 2, chain=0) + drifting(30, 3, words=25, chain=0) + ["the very same text in many rows here"] * 40 + drifting(1, 4, words=3000)
     rows = [(int(i), t) for i, t in zip(np.random.default_rng(5).permutation(len(texts)), texts, strict=True)]
-    got = {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).collect()}
+    got = {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).drop("text_hash").collect()}
     assert got == brute(rows)
 
 
@@ -90,7 +90,7 @@ def test_the_sketch_merges_and_estimates():
 def test_the_smallest_table_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    assert {tuple(r) for r in near_dedup.near_components(docs).collect()} == brute(rows)
+    assert {tuple(r) for r in near_dedup.near_components(docs).drop("text_hash").collect()} == brute(rows)
 
 
 def family(n, seed, words=170):
@@ -131,7 +131,7 @@ def test_a_family_below_the_threshold_equals_brute_force(spark, monkeypatch):
     wanted, alike = by_matrix(rows)
     assert (((alike > 0.6) & (alike < 0.75)).sum(axis=1) > 500).sum() >= 1000
     assert 10 < len({c for *_, c, _ in wanted}) < 1100
-    assert {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).collect()} == wanted
+    assert {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).drop("text_hash").collect()} == wanted
 
 
 @pytest.mark.parametrize("cost", [0, 1])
@@ -143,4 +143,12 @@ def test_text_ids_and_large_sets_of_one_bucket(spark, monkeypatch, cost):
     rows = [(10 + i, t) for i, t in enumerate(drifting(30, 8, chain=1) + family(60, 9))]
     docs = documents(spark, rows)
     wanted = {(str(a), n, str(b), k) for a, n, b, k in brute(rows)}
-    assert {tuple(r) for r in near_dedup.near_components(docs.withColumn("doc_id", docs.doc_id.cast("string"))).collect()} == wanted
+    assert {tuple(r) for r in near_dedup.near_components(docs.withColumn("doc_id", docs.doc_id.cast("string"))).drop("text_hash").collect()} == wanted
+
+
+def test_rows_of_one_id_or_none_are_dropped_by_their_texts(spark):
+    long = "a b c d e f g h i j k l m n o p q r s t"
+    rows = [(3, long), (5, long + " u"), (5, "quite another text of several words"), (None, long), (None, "no id at all"), (7, "no id at all"), (5, None)]
+    got = near_dedup.drop_near_duplicates(documents(spark, rows, True))
+    assert sorted((r.doc_id or 0, r.text or "") for r in got.collect()) == sorted((d or 0, t or "") for d, t in rows if t != long + " u")
+    assert near_dedup.drop_near_duplicates(documents(spark, [])).count() == 0
