@@ -181,23 +181,17 @@ def judge(text: bytes, words: list[bytes], lang: str | None, vocab: Vocabulary,
     return (*base, failed, why is None, why, script, n_tokens, *measures)
 
 
-def fertility_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bands: dict | None = None,
-                    byte_vocab: str = "byte_bpe_multi_50k.tiktoken", piece_vocab: str = "piece_bpe_32k.model") -> DataFrame:
-    """One row for each document: the base counts, base_failed, the measures, and kept.
+KEPT = NAMES.index("kept")
 
-    Words are runs of bytes outside ASCII white space. base_failed: fewer than 50 words, or over
-    half of the words in three-word windows that repeat. kept is false for these, and for texts
-    whose measures leave the band of their language (or of their script, where the language is
-    null, absent or has no band). A null or empty text has no words, so it fails. Every row is
-    judged by itself: repeated rows get equal verdicts, and one pass needs no shuffle.
-    """
-    bands = bands or BANDS
+
+def _judges(bands: dict, byte_vocab: str, piece_vocab: str):
+    """A function that a task calls once for one that judges texts (bytes) with their languages."""
 
     def start():
         known = vocabulary(byte_vocab, piece_vocab)
 
-        def work(cols, texts):
-            langs, rows, at = cols["lang"].to_pylist(), [], 0
+        def work(texts: list[bytes], langs: list) -> list[tuple]:
+            rows, at = [], 0
             while at < len(texts):
                 end, size = at, 0
                 while end < len(texts) and (end == at or size + len(texts[end]) <= BLOCK_BYTES):
@@ -209,19 +203,57 @@ def fertility_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 known.learn(set().union(*split))
                 rows += [judge(*x, known, bands) for x in zip(texts[at:end], split, langs[at:end], strict=True)]
                 at = end
-            return {"doc_id": cols["doc_id"]} | {n: pa.array(c, type=ARROW[t]) for n, c, t in zip(NAMES, zip(*rows), TYPES, strict=True)}
+            return rows
 
         return work
 
+    return start
+
+
+def fertility_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", bands: dict | None = None,
+                    byte_vocab: str = "byte_bpe_multi_50k.tiktoken", piece_vocab: str = "piece_bpe_32k.model") -> DataFrame:
+    """One row for each document: the base counts, base_failed, the measures, and kept.
+
+    Words are runs of bytes outside ASCII white space. base_failed: fewer than 50 words, or over
+    half of the words in three-word windows that repeat. kept is false for these, and for texts
+    whose measures leave the band of their language (or of their script, where the language is
+    null, absent or has no band). A null or empty text has no words, so it fails. Every row is
+    judged by itself: repeated rows get equal verdicts, and one pass needs no shuffle.
+    """
     given = docs if lang_col in docs.columns else docs.withColumn(lang_col, F.lit(None).cast("string"))
     schema = f"doc_id {dict(docs.dtypes)[id_col]}, " + ", ".join(f"{n} {t}" for n, t in zip(NAMES, TYPES, strict=True))
+    verdicts = _judges(bands or BANDS, byte_vocab, piece_vocab)
+
+    def start():
+        known = verdicts()
+
+        def work(cols, texts):
+            rows = known(texts, cols["lang"].to_pylist())
+            return {"doc_id": cols["doc_id"]} | {n: pa.array(c, type=ARROW[t]) for n, c, t in zip(NAMES, zip(*rows), TYPES, strict=True)}
+
+        return work
+
     return map_texts(given, {"doc_id": id_col, "lang": lang_col}, text_col, start, schema)
 
 
-def drop_rejected(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that the rules reject; all columns stay.
+def drop_rejected(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", bands: dict | None = None,
+                  byte_vocab: str = "byte_bpe_multi_50k.tiktoken", piece_vocab: str = "piece_bpe_32k.model") -> DataFrame:
+    """``docs`` without the rows that the rules reject; all columns stay.
 
-    Rows that repeat an id go if any of them is rejected.
+    Each row is judged by its own text and language and goes or stays by itself, so null and repeated ids need no
+    care. Rows pass through the judging tasks whole; nothing is joined or shuffled. An empty table stays empty.
     """
-    gone = fertility_rules(docs, **options).where("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[options.get("id_col", "doc_id")] == gone["gone_id"], "left_anti")
+    verdicts, number = _judges(bands or BANDS, byte_vocab, piece_vocab), {c: i for i, c in enumerate(docs.columns)}
+    text_at, lang_at = number[text_col], number.get(lang_col)
+
+    def run(batches):
+        known = None
+        for batch in batches:
+            if batch.num_rows:
+                known = known or verdicts()
+                texts = [t or b"" for t in batch.column(text_at).cast(pa.string()).cast(pa.binary()).to_pylist()]
+                langs = [None] * len(texts) if lang_at is None else batch.column(lang_at).cast(pa.string()).to_pylist()
+                kept = pa.array([row[KEPT] for row in known(texts, langs)], pa.bool_())
+                yield batch.filter(kept)
+
+    return docs.mapInArrow(run, docs.schema)
