@@ -28,6 +28,8 @@ CLASS_WIDTH = 8
 #: Rows that are ranked together in one task, about.
 RANK_ROWS = 50_000
 MAX_COLUMNS = 3000
+#: Fixed value: the added token of the vocabulary's tokenizers file, which that library finds in texts by default.
+SPECIAL = {"<|endoftext|>": 50256}
 
 
 # --- tokens ------------------------------------------------------------------------------
@@ -35,20 +37,20 @@ MAX_COLUMNS = 3000
 
 @lru_cache(maxsize=1)
 def encoder(vocab: str):
-    """The byte-level vocabulary; one for each Python worker. Special strings are ordinary text."""
+    """The byte-level vocabulary; one for each Python worker. The special string has its own id in a text too."""
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(vocab), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
 def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, vocab: str = "byte_bpe_50k.tiktoken") -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids)``: each document's ids and a closing 0, cut every ``length``.
 
     ids are little-endian unsigned 32-bit numbers. ``vocab`` is the rank file of the byte-level
-    vocabulary, whose ids equal those of its tokenizers file. A null or empty text is the piece [0];
+    vocabulary, whose ids equal those of its tokenizers file (`<|endoftext|>` in a text is id 50256). A null or empty text is the piece [0];
     repeated rows give repeated pieces; an empty table gives none.
     """
 
@@ -58,7 +60,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         def work(cols, texts):
             doc, begin, size, total, ids = [], [], [], [], []
             for k, text in enumerate(texts):
-                tokens = np.array([*enc.encode_ordinary(text.decode("utf-8", "replace")), 0], dtype="<u4")
+                tokens = np.array([*enc.encode(text.decode("utf-8", "replace"), allowed_special="all"), 0], dtype="<u4")
                 for at in range(0, len(tokens), length):
                     piece = tokens[at : at + length]
                     doc.append(k)

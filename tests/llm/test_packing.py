@@ -10,14 +10,13 @@ from rigprep.llm import packing
 
 from .docs import documents
 
-ROWS = [(1, None), (2, ""), (3, "a few words, <|endoftext|> and more"), (4, "x y'z don't " * 900), (5, "é 漢字 \t\n  end"), (6, "a few words"), (6, "a few words"), (7, "word " * 1023), (8, "word " * 2047)]
+ROWS = [(1, None), (2, ""), (3, "a few words, <|endoftext|> and more"), (4, "x y'z don't " * 900), (5, "é 漢字 \t\n  end"), (6, "a few words"), (6, "a few words"), (7, "word " * 1023), (8, "word " * 2047), (9, "a<|endoftext|>b <|endoftext|>"), (10, "<|endoftext|>" * 3)]
 
 
 @pytest.mark.parametrize("extra", [False, True])
 def test_pieces_are_the_tokenizers_ids_and_fill_sequences(spark, extra):
     rows = packing.packed_digests(documents(spark, ROWS, extra)).collect()
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     expected = []
     for doc, text in ROWS:
         ids = [*tok.encode(text or "", add_special_tokens=False).ids, 0]
