@@ -1,7 +1,10 @@
 """Linear-chain conditional random fields in numpy batches.
 
 Words are reduced to classes of equal features, so that emissions are rows of a small table.
-Sequences are runs of at most BLOCK words, padded and handled together.
+Sequences are handled in blocks of at most BLOCK words, padded and side by side. In training a block is a
+sequence; in decoding blocks of one text are chained, so that a text of any length is one sequence:
+`chained_marginals` hands forward and backward vectors from block to block, and `whole_viterbi`
+decodes the stretches that can hold a label at all.
 """
 
 from __future__ import annotations
@@ -76,6 +79,105 @@ def forward_backward(emission: np.ndarray, filled: np.ndarray, moves: np.ndarray
     return marginal, log_z, expected
 
 
+def chained_marginals(emission: np.ndarray, filled: np.ndarray, moves: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Marginals of padded blocks; blocks of equal ``run``, which stand together and in order, are one sequence.
+
+    Each block's words make a matrix that carries a forward vector over the block (and a backward vector
+    back), so only these matrices are applied one after the other; all else is side by side.
+    """
+    n, size, k = emission.shape
+    local, step = np.exp(emission - emission.max(axis=2, keepdims=True)).astype(np.float64), np.exp(moves - moves.max())
+    local = np.where(filled[:, :, None], local, 1)
+    first = np.concatenate([[True], run[1:] != run[:-1]])
+    last = np.concatenate([first[1:], [True]])
+    place = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))
+    enter, leave = np.ones((n, k)), np.ones((n, k))
+    if place.any():
+        over = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+        for t in range(size):
+            new = (over.reshape(n * k, k) @ step).reshape(n, k, k) * local[:, t, None, :]
+            over = np.where(filled[:, t, None, None], new / new.sum(axis=(1, 2), keepdims=True), over)
+        begin = local[:, 0].copy()  # a first block has no move before its first word
+        for t in range(1, size):
+            begin = np.where(filled[:, t, None], (begin @ step) * local[:, t], begin)
+            begin /= begin.sum(axis=1, keepdims=True)
+        ends = begin.copy()
+        for j in range(1, int(place.max()) + 1):
+            at = np.flatnonzero(place == j)
+            enter[at] = ends[at - 1]
+            ends[at] = np.einsum("nk,nkl->nl", enter[at], over[at])
+            ends[at] /= ends[at].sum(axis=1, keepdims=True)
+        back = place[last][np.cumsum(first) - 1] - place  # blocks that follow in the sequence
+        for j in range(1, int(back.max()) + 1):
+            at = np.flatnonzero(back == j)
+            leave[at] = np.einsum("nkl,nl->nk", over[at + 1], leave[at + 1])
+            leave[at] /= leave[at].sum(axis=1, keepdims=True)
+    alpha = np.empty((n, size, k))
+    a = np.where(first[:, None], 1, enter @ step) * local[:, 0]
+    for t in range(size):
+        if t:
+            a = np.where(filled[:, t, None], (a @ step) * local[:, t], a)
+        a = a / a.sum(axis=1, keepdims=True)
+        alpha[:, t] = a
+    b = leave
+    for t in range(size - 1, -1, -1):
+        alpha[:, t] *= b
+        if t:  # the vector before word t, scaled
+            new = (local[:, t] * b) @ step.T
+            b = np.where(filled[:, t, None], new / new.sum(axis=1, keepdims=True), b)
+    return alpha / alpha.sum(axis=2, keepdims=True)
+
+
+def possible(emission: np.ndarray, count: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Which words of texts of ``count`` words can have another label than the first on a best path.
+
+    A run of other labels wins, in all, no more over a run of first ones than the sum of its words' best
+    gains and of the largest gains of its moves. A word in no run for which that is positive is out.
+    """
+    gain = emission[:, 1:].max(axis=1).astype(np.float64) - emission[:, 0]
+    inner = float(moves[1:, 1:].max() - moves[0, 0])
+    outer = max(0.0, float(moves[0, 1:].max() - moves[0, 0])) + max(0.0, float(moves[1:, 0].max() - moves[0, 0]))
+    worth = np.zeros(len(gain) + len(count))
+    word = np.arange(len(gain)) + np.repeat(np.arange(len(count)), count)  # a wall stands after each text
+    worth[word] = gain + inner
+    wall = np.ones(len(worth), dtype=bool)
+    wall[word] = False
+    worth[wall] = -(np.abs(worth).sum() + 1)
+    total = np.concatenate([[0], np.cumsum(worth)])
+    best = np.maximum.accumulate(total[:0:-1])[::-1] - np.minimum.accumulate(total[:-1])
+    return (best - inner + outer >= -1e-3)[word]
+
+
+def whole_viterbi(emission: np.ndarray, count: np.ndarray, moves: np.ndarray) -> np.ndarray:
+    """Best labels of texts of ``count`` words, each text one sequence.
+
+    Between two stretches of `possible` words all labels are the first, so each stretch is decoded by itself,
+    with a word of the first label on either side unless its text ends there.
+    """
+    labels = np.zeros(len(emission), dtype=np.int64)
+    may = possible(emission, count, moves)
+    text = np.repeat(np.arange(len(count)), count)
+    cut = np.concatenate([[True], text[1:] != text[:-1]]) if len(text) else np.empty(0, dtype=bool)
+    begin = np.flatnonzero(may & (cut | ~np.roll(may, 1)))
+    end = np.flatnonzero(may & np.append(cut[1:] | ~may[1:], True)) + 1
+    low, high = begin - ~cut[begin], end + np.append(~cut, False)[end] if len(begin) else end
+    length = high - low
+    fixed = np.full(emission.shape[1], -1e9)
+    fixed[0] = 0
+    size = 8
+    while len(length):  # stretches of like length together
+        now = np.flatnonzero((length <= size) & (length > size // 2 if size > 8 else True))
+        for at in range(0, len(now), max(1, 200_000 // size)):
+            part = now[at : at + max(1, 200_000 // size)]
+            place = np.repeat(low[part], length[part]) + np.arange(length[part].sum()) - np.repeat(np.cumsum(length[part]) - length[part], length[part])
+            rows, filled = padded(np.where(may[place, None], emission[place], fixed), length[part], size)
+            labels[place] = viterbi(rows, filled, moves)[filled]
+        if size >= length.max():
+            break
+        size *= 2
+    return labels
+
+
 def viterbi(emission: np.ndarray, filled: np.ndarray, moves: np.ndarray) -> np.ndarray:
     """Best labels of padded blocks; of equal scores the earlier label."""
     n, size, k = emission.shape

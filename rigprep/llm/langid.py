@@ -117,7 +117,7 @@ class Reader:
         if count.sum():
             run, length = crf.blocks(count)
             emission, filled = crf.padded(self.table[np.concatenate(ids)], length)
-            marginal, _, _ = crf.forward_backward(emission, filled, self.model.moves)
+            marginal = crf.chained_marginals(emission, filled, self.model.moves, run)
             np.add.at(total, run, (marginal * filled[:, :, None]).sum(axis=1))
         out = []
         for row, n in zip(total, count, strict=True):
@@ -159,7 +159,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
 
     The CRF learns from ``fit_docs`` documents of each language value that are not held out; the
     language column, ids and anything but the text take no part in a prediction. Whole texts are
-    read, in runs of 64 words. Texts that are null, empty or without letters get ``und`` and score
+    read, each as one sequence. Texts that are null, empty or without letters get ``und`` and score
     0, as do all if there is nothing to learn from. A null id is never held out and never learned
     from. Repeated rows get equal results; an empty table gives an empty table.
     """

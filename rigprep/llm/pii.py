@@ -196,8 +196,6 @@ class Tagger:
         self.words: dict[bytes, int] = {}
         self.tables = [np.empty((0, len(LABELS)), dtype=np.float32)] * 3
         self.class_of(EDGE)
-        gain = float((model.moves - model.moves[0, 0]).max())
-        self.slack = 2 * max(gain, 0.0)
 
     def class_of(self, s: tuple) -> int:
         if s not in self.classes:
@@ -214,11 +212,7 @@ class Tagger:
         return np.fromiter(map(self.words.__getitem__, words), dtype=np.int64, count=len(words))
 
     def tag(self, texts: list[bytes]) -> list[list[tuple[int, str]]]:
-        """(word number, label) of the labelled words of each text.
-
-        A labelled run must hold a word whose best label beats O by the model's largest gain from
-        moves; blocks without such a word decode to O throughout and are not decoded.
-        """
+        """(word number, label) of the labelled words of each text, each text decoded as one sequence."""
         split = [x.split() for x in texts]
         count = np.array([len(w) for w in split], dtype=np.int64)
         if not count.sum():
@@ -230,22 +224,11 @@ class Tagger:
         before[starts] = edge
         after[np.append(starts[1:], len(ids)) - 1] = edge
         own, prev, nxt = self.tables
-        emission = own[ids] + prev[before] + nxt[after]
-        hot = (emission[:, 1:].max(axis=1) - emission[:, 0] + self.slack) >= 0
-        run, length = crf.blocks(count)
-        begin = np.cumsum(length) - length
-        found = np.logical_or.reduceat(hot, begin)
+        best = crf.whole_viterbi(own[ids] + prev[before] + nxt[after], count, self.model.moves)
         out: list[list[tuple[int, str]]] = [[] for _ in texts]
-        picked = np.flatnonzero(found)
-        if not len(picked):
-            return out
-        places = np.concatenate([np.arange(begin[b], begin[b] + length[b]) for b in picked])
-        rows, filled = crf.padded(emission[places], length[picked])
-        best = crf.viterbi(rows, filled, self.model.moves)[filled]
-        first = np.cumsum(count) - count
-        text_of = np.repeat(run[picked], length[picked])
-        for p, t, y in zip(places[best > 0], text_of[best > 0], best[best > 0], strict=True):
-            out[t].append((int(p - first[t]), LABELS[y]))
+        first, places = np.cumsum(count) - count, np.flatnonzero(best)
+        for p, t in zip(places.tolist(), np.repeat(np.arange(len(texts)), count)[places].tolist(), strict=True):
+            out[t].append((int(p - first[t]), LABELS[best[p]]))
         return out
 
 
@@ -288,7 +271,7 @@ def added_spans(text: str, tags: list[tuple[int, str]], base: list[tuple[str, in
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", labelled: DataFrame | None = None, max_labelled: int = 5000) -> DataFrame:
     """One row for each row of ``docs``: doc_id and spans (kind, start, end, by_rule), by kind and start.
 
-    Offsets are code points, ends exclusive. Spans of the rules always stay; the CRF adds spans that
+    Offsets are code points, ends exclusive. A text of any length is one sequence of the CRF. Spans of the rules always stay; the CRF adds spans that
     do not touch them. ``labelled`` (words, labels) trains the CRF; at most ``max_labelled`` of its
     rows are used. Null and empty texts have no spans. Every row is judged by itself, without a
     shuffle; an empty table gives an empty table.
