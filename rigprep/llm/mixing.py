@@ -21,6 +21,7 @@ BLOCKS = 1024
 POINTS, ROUNDS = 33, 5
 #: Block tables up to so many rows are broadcast (their rows are under 200 bytes).
 BROADCAST_ROWS = 100_000
+MADE = ("mix_source", "mix_weight", "mix_repeats", "mix_epoch", "mix_block", "mix_rank")
 
 
 @dataclass(frozen=True)
@@ -81,16 +82,18 @@ def mix(docs: DataFrame, target: Target = Target(), budget_tokens: float | None
     mix_repeats is how many epochs a source's budget pays for, mix_rank the place of the block in
     the epoch's permutation. Without ``budget_tokens`` the budget is the least that uses every
     document at least once; with it, a source whose budget is under one epoch is cut. A document is
-    used if the budget is not yet spent when its turn comes. A null source counts as the empty
-    name. Sources without tokens have weight 0 and pass once. Repeated rows are used each; an
-    empty table gives an empty table.
+    used if the budget is not yet spent when its turn comes; rows that repeat an id take the same turn. A null
+    source counts as the empty name. Sources without tokens have weight 0 and pass once. Repeated rows
+    are used each; an empty table gives an empty table. Columns of ``docs`` that have a name of the new ones
+    are replaced.
 
     The hot source is spread over its blocks, and its counts are pre-aggregated in each task.
     """
+    others = [c for c in docs.columns if c not in MADE]
     marked = docs.withColumn("mix_source", F.coalesce(F.col(source_col).cast("string"), F.lit(""))).withColumn("mix_block", block_of(id_col, seed, blocks))
     counts = materialize(marked.groupBy("mix_source", "mix_block").agg(F.sum(n_tokens(F.col(text_col))).alias("tokens")), "blocks")
-    sources = counts.groupBy("mix_source").agg(F.sum("tokens").alias("total"))
-    sources = sources.crossJoin(counts.agg(F.sum("tokens").alias("all_tokens"))).withColumn("share", F.col("total") / F.nullif("all_tokens", F.lit(0)))
+    everything = counts.agg(F.sum("tokens")).first()[0]
+    sources = counts.groupBy("mix_source").agg(F.sum("tokens").alias("total")).withColumn("share", F.col("total") / F.lit(everything or None).cast("double"))
     sources = materialize(sources, "sources")
     live = sources.where("total > 0")
     exponent = fit_exponent(live.select("share"), target)
@@ -105,12 +108,17 @@ def mix(docs: DataFrame, target: Target = Target(), budget_tokens: float | None
     order = Window.partitionBy("mix_source", "mix_epoch").orderBy(F.xxhash64("mix_source", "mix_block", "mix_epoch", F.lit(seed)), "mix_block")
     turn = turn.withColumn("mix_rank", (F.row_number().over(order) - 1).cast("int")).withColumn("before", F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     left = F.when(F.col("mix_epoch") < F.col("whole"), F.col("total") + 1.0).otherwise(F.col("quota")) - F.col("before")
-    turn = turn.withColumn("left", left).where("left > 0").select("mix_source", "mix_block", "mix_weight", "mix_repeats", "mix_epoch", "mix_rank", "left", (F.col("tokens") > F.col("left")).alias("cut"))
+    turn = turn.withColumn("__left", left).where("__left > 0").select("mix_source", "mix_block", "mix_weight", "mix_repeats", "mix_epoch", "mix_rank", "__left", (F.col("tokens") > F.col("__left")).alias("__cut"))
     turn = materialize(turn, "turns")
     if turn.count() <= BROADCAST_ROWS:
         turn = F.broadcast(turn)
-    used = marked.join(turn, ["mix_source", "mix_block"])
-    inside = Window.partitionBy("mix_source", "mix_epoch").orderBy(F.xxhash64(F.col(id_col), "mix_epoch", F.lit(seed)), id_col).rowsBetween(Window.unboundedPreceding, -1)
-    cut = used.where("cut").withColumn("mix_before", F.coalesce(F.sum(n_tokens(F.col(text_col))).over(inside), F.lit(0))).where("mix_before < left").drop("mix_before")
-    out = used.where("not cut").unionByName(cut)
-    return out.select(*docs.columns, "mix_source", "mix_weight", "mix_repeats", "mix_epoch", "mix_block", "mix_rank")
+    used = marked.drop(*[c for c in MADE if c not in ("mix_source", "mix_block")]).join(turn, ["mix_source", "mix_block"])
+    # of the block that the budget cuts, ids and token counts alone are put in order; its last turn is the limit
+    place = F.struct(F.xxhash64(F.col(id_col), "mix_epoch", F.lit(seed)).alias("h"), F.col(id_col).alias("id"))
+    inside = Window.partitionBy("mix_source", "mix_epoch").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
+    small = used.where("__cut").select("mix_source", "mix_epoch", "__left", place.alias("__place"), n_tokens(F.col(text_col)).alias("n"))
+    limit = small.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).where("before < __left").groupBy("mix_source", "mix_epoch").agg(F.max("__place").alias("__limit"))
+    limit = materialize(limit, "limits")
+    cut = used.where("__cut").join(limit, ["mix_source", "mix_epoch"]).where(place <= F.col("__limit"))
+    columns = [*others, *MADE]
+    return used.where("not __cut").select(*columns).unionByName(cut.select(*columns))

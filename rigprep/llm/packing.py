@@ -199,10 +199,13 @@ def pack(pieces: DataFrame, room: int = LENGTH, width: int = CLASS_WIDTH) -> Dat
     Every piece is in one sequence; the lengths of a sequence add up to ``room`` at most, and
     offsets are gapless from 0. Pieces of full length have a sequence of their own. The plan that
     is broadcast has a row for each pattern and class, which ``room`` bounds. Ties are ordered by
-    document, start and position in the table. An empty table gives an empty table.
+    document, start and position in the table. A sequence that ends at a power of two needs no padding; the plan
+    does not aim at that, as most sequences end within a few ids of ``room``. Items are planned by lengths
+    rounded up to ``width``, which costs at most ``width`` - 1 ids an item. An empty table gives an
+    empty table. Other columns stay, whatever their names (but for __pack_row and __pack_class).
     """
     others = [c for c in pieces.columns if c not in ("doc_id", "start", "length")]
-    rows = materialize(pieces.withColumn("__row", F.monotonically_increasing_id()).withColumn("class", F.least(F.ceil(F.col("length") / width) * width, F.lit(room)).cast("long")), "pieces")
+    rows = materialize(pieces.withColumn("__pack_row", F.monotonically_increasing_id()).withColumn("__pack_class", F.least(F.ceil(F.col("length") / width) * width, F.lit(room)).cast("long")), "pieces")
     histogram = {r["length"]: r["count"] for r in rows.where(F.col("length") < room).groupBy("length").count().collect()}  # room entries at most
     total = rows.count()
     taken, uses, base = {}, [], 0
@@ -216,15 +219,15 @@ def pack(pieces: DataFrame, room: int = LENGTH, width: int = CLASS_WIDTH) -> Dat
     fields = [T.StructField(c, T.LongType()) for c in ("class", "first", "last", "each", "base")]
     uses = spark.createDataFrame(uses, T.StructType(fields))
     full = F.col("length") >= room
-    ranked = with_rank(rows.withColumn("class", F.when(full, -1).otherwise(F.col("class"))).select("class", "doc_id", "start", "length", "__row"), "class", ["doc_id", "start", "__row"], total)
-    alone = ranked.where(full).select("doc_id", "start", "length", "__row", (F.col("rank") + base).alias("sequence_id"))
+    ranked = with_rank(rows.select(F.when(full, -1).otherwise(F.col("__pack_class")).alias("class"), "doc_id", "start", "length", "__pack_row"), "class", ["doc_id", "start", "__pack_row"], total)
+    alone = ranked.where(full).select("doc_id", "start", "length", "__pack_row", (F.col("rank") + base).alias("sequence_id"))
     shared = ranked.where(~full).join(F.broadcast(uses), "class").where("rank >= first and rank < last")
-    shared = shared.select("doc_id", "start", "length", "__row", (F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))).cast("long").alias("sequence_id"))
-    together = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", "__row").rowsBetween(Window.unboundedPreceding, -1)
+    shared = shared.select("doc_id", "start", "length", "__pack_row", (F.col("base") + F.floor((F.col("rank") - F.col("first")) / F.col("each"))).cast("long").alias("sequence_id"))
+    together = Window.partitionBy("sequence_id").orderBy(F.desc("length"), "doc_id", "start", "__pack_row").rowsBetween(Window.unboundedPreceding, -1)
     placed = alone.withColumn("offset", F.lit(0).cast("long")).unionByName(shared.withColumn("offset", F.coalesce(F.sum("length").over(together), F.lit(0)).cast("long")))
     if not others:
-        return placed.drop("__row")
-    return placed.join(rows.select("__row", *others), "__row").select("doc_id", "start", "length", *others, "sequence_id", "offset")
+        return placed.drop("__pack_row")
+    return placed.join(rows.select("__pack_row", *others), "__pack_row").select("doc_id", "start", "length", *others, "sequence_id", "offset")
 
 
 def packed_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", room: int = LENGTH) -> DataFrame:

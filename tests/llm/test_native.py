@@ -100,3 +100,12 @@ def test_entropy_target_and_budget(spark):
 
 def test_mixing_an_empty_table(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
+
+
+def test_mixing_replaces_columns_of_its_own_names(spark):
+    docs = documents(spark, [(i, "a b c " * (1 + i % 3), "en", f"s{i % 3}") for i in range(60)])
+    for c in ("mix_source", "mix_rank", "left", "cut", "before", "tokens"):
+        docs = docs.withColumn(c, F.lit("x"))
+    out = mixing.mix(docs, blocks=4)
+    assert len(out.columns) == len(set(out.columns)) and out.where("left <> 'x' or mix_source = 'x'").count() == 0
+    assert {r.doc_id for r in out.collect()} == set(range(60))

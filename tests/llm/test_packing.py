@@ -76,3 +76,8 @@ def test_full_pieces_with_ids_round_trip(spark):
     for r in sorted(rows, key=lambda r: r.start):
         text.setdefault(r.doc_id, []).extend(np.frombuffer(r.ids, "<u4").tolist())
     assert enc.decode(text[5][:-1]) == ROWS[4][1]
+
+
+def test_other_columns_stay(spark):
+    pieces = spark.createDataFrame([(1, 0, 10, "A", 1), (2, 0, 1024, "B", 2)], "doc_id long, start long, length long, class string, part int")
+    assert sorted((r.doc_id, r["class"], r.part) for r in packing.pack(pieces).collect()) == [(1, "A", 1), (2, "B", 2)]
