@@ -5,15 +5,18 @@ inside an article, inside a menu, footer, advert and the like, or neither. Withi
 are paired with their nearest neighbour by URL path. The lines of a pair are aligned by their
 longest common subsequence, and shared lines are deleted: a host's frame is what its pages share.
 
-Two limits keep the article whole. Lines inside an ``article`` or ``main`` element are never
-taken for frame, as two pages can carry the same article. Lines that the markup already marks as
+Three limits keep the article whole. Lines inside an ``article`` or ``main`` element are never
+taken for frame, as two pages can carry the same article. Pages whose other lines are all equal are
+copies, which say nothing of a frame, and keep these lines. Lines that the markup already marks as
 frame go even when no neighbour shares them, as a host may have one page only.
 """
 
 from __future__ import annotations
 
 import html as entities
+import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,7 +28,7 @@ from rigprep.functions.shared import materialize
 from rigprep.llm.text import map_texts
 
 #: Element names of HTML, by what they mean here.
-SKIP = frozenset(["script", "style", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio", "video", "head", "title", "select", "textarea", "button"])
+SKIP = frozenset(["script", "style", "noscript", "template", "svg", "iframe", "object", "canvas", "audio", "video", "head", "title", "select", "textarea", "button"])
 RAW = frozenset(["script", "style", "textarea", "title", "noscript", "iframe"])
 FRAME = frozenset(["nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"])
 MAIN = frozenset(["article", "main"])
@@ -39,7 +42,12 @@ FRAME_WORDS = re.compile(
 )
 ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"])
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)", re.S)
+#: Inside an article, only these as a whole class or id.
+MAIN_FRAME_WORDS = frozenset(["ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "disqus", "replies", "respond"])
+
+_OTHER = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)", re.S)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:\"[^\"]*+\"|'[^']*+'|[^'\">])*+)(?:>|\Z)", re.S)
+_LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"(?i)(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _CLOSES_P = BLOCK - {"br"}
 
@@ -56,8 +64,7 @@ def _marks_frame(name: str, attributes: str, in_main: bool) -> bool:
         if key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
-            words = {w[0].strip(" \t\n_-").lower() for w in FRAME_WORDS.finditer(value)}
-            if words - ({"header", "footer"} if in_main else set()):
+            if MAIN_FRAME_WORDS & set(value.lower().split()) if in_main else FRAME_WORDS.search(value):
                 return True
     return False
 
@@ -65,14 +72,17 @@ def _marks_frame(name: str, attributes: str, in_main: bool) -> bool:
 def lines(page: str) -> Iterator[tuple[str, str]]:
     """(kind, text) of each block with text, in page order; kind: main, frame or open.
 
-    A small scanner in place of a parser: unclosed elements end with their parent, cut markup ends
-    with the page, and an end tag without a start is passed over.
+    A small scanner in place of a parser, linear in the page's length: unclosed elements end with their
+    parent, cut markup ends with the page, an end tag without a start is passed over, and after a tag
+    with a quote that never closes tags end at the next >.
     """
     stack: list[tuple[str, bool, bool, bool]] = []  # name, main, frame, skipped
+    opened: Counter[str] = Counter()  # names in the stack
     parts: list[str] = []
     at = 0
     state = (False, False, False)
     out: list[tuple[str, str]] = []
+    tag = _TAG
 
     def flush():
         if parts:
@@ -81,48 +91,60 @@ def lines(page: str) -> Iterator[tuple[str, str]]:
             if text and not state[2]:
                 out.append(("frame" if state[1] else "main" if state[0] else "open", text))
 
+    def close(k: int) -> tuple[bool, bool, bool]:
+        for name, *_ in stack[k:]:
+            opened[name] -= 1
+        del stack[k:]
+        return stack[-1][1:] if stack else (False, False, False)
+
     while at < len(page):
-        m = _TOKEN.search(page, at)
-        if not m:
-            rest = page[at:]
-            cut = rest.rfind("<")
-            if cut >= 0 and re.match(r"<[/a-zA-Z!?]|<\Z", rest[cut:]):
-                rest = rest[:cut]
-            parts.append(rest)
+        start = page.find("<", at)
+        if start < 0:
+            parts.append(page[at:])
             break
-        parts.append(page[at : m.start()])
-        at = m.end()
-        name = (m[2] or "").lower()
-        if not name:
+        parts.append(page[at:start])
+        after = page[start + 1 : start + 3]
+        if not after or after == "/":  # cut markup
+            break
+        if after[0] in "!?":
+            at = _OTHER.match(page, start).end()
+            continue
+        if not (after[1:2] if after[0] == "/" else after[0]).isascii() or not (after[1:2] if after[0] == "/" else after[0]).isalpha():
+            parts.append("<")
+            at = start + 1
             continue
+        m = tag.match(page, start)
+        if not m:
+            tag = _LOOSE_TAG
+            m = tag.match(page, start)
+        at = m.end()
+        name = m[2].lower()
         if name in BLOCK or name in SKIP:
             flush()
         if m[1]:  # an end tag
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    before = stack[k - 1][1:] if k else (False, False, False)
-                    if before != state:
-                        flush()
-                    del stack[k:]
-                    state = before
-                    break
+            if opened[name]:
+                k = next(k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name)
+                before = stack[k - 1][1:] if k else (False, False, False)
+                if before != state:
+                    flush()
+                state = close(k)
             continue
         if name in VOID:
             continue
-        if name in _CLOSES_P:  # an open paragraph ends where a block begins
+        if name in _CLOSES_P and opened["p"]:  # an open paragraph ends where a block begins
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == "p":
-                    del stack[k:]
-                    state = stack[-1][1:] if stack else (False, False, False)
+                    state = close(k)
                     break
                 if stack[k][0] in _CLOSES_P:
                     break
         main = state[0] or name in MAIN
-        now = (main, state[1] or _marks_frame(name, m[3] or "", state[0]), state[2] or name in SKIP)
+        now = (main, state[1] or _marks_frame(name, m[3], state[0]), state[2] or name in SKIP)
         if now != state:
             flush()
-        if not (m[3] or "").endswith("/"):
+        if not m[3].endswith("/"):
             stack.append((name, *now))
+            opened[name] += 1
             state = now
         if name in RAW:
             end = re.compile(rf"(?i)</{name}\s*>").search(page, at)
@@ -132,28 +154,47 @@ def lines(page: str) -> Iterator[tuple[str, str]]:
 
 
 def common_lines(a: list[str], b: list[str]) -> set[int]:
-    """Places in ``a`` of a longest common subsequence with ``b``, by Hunt and Szymanski's method."""
-    where: dict[str, list[int]] = {}
+    """Places in ``a`` of a longest common subsequence with ``b``, by rows of bits.
+
+    A row has a bit for each line of ``b``, which is 0 where the length grows, and follows from the row before by
+    one addition of long numbers. Equal ends are cut off first. Every so many rows are kept, and those
+    between are made again on the way back, so memory is in proportion to the page.
+    """
+    first, last = 0, 0
+    while first < min(len(a), len(b)) and a[first] == b[first]:
+        first += 1
+    while last < min(len(a), len(b)) - first and a[-1 - last] == b[-1 - last]:
+        last += 1
+    found = {*range(first), *range(len(a) - last, len(a))}
+    a, b = a[first : len(a) - last], b[first : len(b) - last]
+    where: dict[str, int] = {}
     for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    import bisect
-
-    ends: list[int] = []
-    nodes: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
-            k = bisect.bisect_left(ends, j)
-            node = (i, nodes[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                nodes.append(node)
-            else:
-                ends[k] = j
-                nodes[k] = node
-    found, node = set(), nodes[-1] if nodes else None
-    while node:
-        found.add(node[0])
-        node = node[1]
+        where[x] = where.get(x, 0) | 1 << j
+    full, every = (1 << len(b)) - 1, max(1, math.isqrt(len(a)))
+
+    def rows(row: int, low: int, high: int) -> list[int]:
+        out = [row]
+        for x in a[low:high]:
+            same = row & where.get(x, 0)
+            row = (row + same | row - same) & full
+            out.append(row)
+        return out
+
+    kept = [full]
+    for low in range(0, len(a), every):
+        kept.append(rows(kept[-1], low, min(low + every, len(a)))[-1])
+    i, j, low, part = len(a), len(b), len(a) + 1, []
+    while i and j:
+        if i - 1 < low:
+            low = (i - 1) // every * every
+            part = rows(kept[low // every], low, min(low + every, len(a)))
+        if part[i - low] >> (j - 1) & 1:
+            j -= 1
+        else:
+            i -= 1
+            if part[i - low] >> (j - 1) & 1 or not i:
+                j -= 1
+                found.add(first + i)
     return found
 
 
@@ -226,8 +267,10 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     other = F.filter(F.arrays_zip("kinds", "texts"), lambda x: x["kinds"] != "main")
     frames = materialize(parsed.select("page_id", "url", F.transform(other, lambda x: x["texts"]).alias("others")).withColumn("row", F.monotonically_increasing_id()), "frames")
     pairs = nearest(frames).where("mate is not null")
-    mates = pairs.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate").join(frames.select("row", "page_id", "url"), "row")
-    mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts").dropDuplicates(["own_id", "own_url"]), "mates")
+    # rows that repeat an id and a URL share the mate of the first of them
+    chosen = pairs.join(frames.select("row", "page_id", "url"), "row").groupBy("page_id", "url").agg(F.min_by("mate", "row").alias("mate"))
+    mates = chosen.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate")
+    mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts"), "mates")
     # The mates' lines grow with the input, so they are never broadcast.
     both = parsed.join(mates.hint("merge"), parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
 
@@ -237,7 +280,8 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
             for kinds, texts, mate in zip(x["kinds"], x["texts"], x["mate_texts"], strict=True):
                 kinds, texts = list(kinds), list(texts)
                 outside = [i for i, k in enumerate(kinds) if k != "main"]
-                shared = {outside[i] for i in common_lines([texts[i] for i in outside], list(mate))} if mate is not None and len(mate) else set()
+                own, mate = [texts[i] for i in outside], list(mate) if mate is not None else []
+                shared = {outside[i] for i in common_lines(own, mate)} if own != mate else set()
                 frame = {i for i in outside if kinds[i] == "frame"}
                 rows.append(("\n".join(t for i, t in enumerate(texts) if i not in shared and i not in frame), len(shared), len(frame)))
             yield pd.DataFrame({"page_id": x["page_id"], "url": x["url"], "text": [r[0] for r in rows], "n_shared": [r[1] for r in rows], "n_frame": [r[2] for r in rows]})

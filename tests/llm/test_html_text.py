@@ -62,3 +62,42 @@ def test_neighbours_by_path(spark):
 
 def test_empty_table(spark):
     assert run(spark, []) == {}
+
+
+def test_copies_keep_their_text_and_class_names_inside_an_article_do_not_count(spark):
+    twin = "<body><p>One line of a page.</p><p>Another line of it.</p></body>"
+    art = "<article><div class='related work'>A</div><p class='share price'>B</p><section id='search-methods'>C</section><math><mi>x</mi></math><div class='comments'>no</div></article>"
+    rows = [(1, "http://h.org/a", twin), (2, "http://h.org/b", twin), (3, "http://h.org/b", twin), (4, "http://g.org/", art), (5, "http://k.org/x", twin), (5, "http://k.org/x", twin)]
+    got = html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted((p, "A\nB\nC\nx" if p == 4 else "One line of a page.\nAnother line of it.") for p, _, _ in rows)
+
+
+def test_common_lines_are_a_longest_common_subsequence():
+    import random
+
+    def length(a, b):
+        best = [0] * (len(b) + 1)
+        for x in a:
+            before = 0
+            for j, y in enumerate(b):
+                before, best[j + 1] = best[j + 1], before + 1 if x == y else max(best[j], best[j + 1])
+        return best[-1]
+
+    r = random.Random(1)
+    for _ in range(500):
+        a, b = ([r.choice("abcd") for _ in range(r.randint(0, 30))] for _ in "ab")
+        found = html_text.common_lines(a, b)
+        rest = iter(b)
+        assert len(found) == length(a, b) and all(any(y == a[i] for y in rest) for i in sorted(found))
+
+
+def test_hostile_pages_take_time_in_proportion():
+    import time
+
+    for page in ("<a " * 400_000 + '"', '<a "b>c" ' * 150_000 + "'", "<span>" * 150_000 + "</i>" * 150_000, "<p>" + "<span>" * 80_000 + "<div></div>" * 80_000):
+        began = time.process_time()
+        list(html_text.lines(page))
+        assert time.process_time() - began < 10
+    began = time.process_time()
+    html_text.common_lines(["x"] * 20_000 + ["y"], ["x"] * 15_000 + ["z"] + ["x"] * 5_000)
+    assert time.process_time() - began < 10
