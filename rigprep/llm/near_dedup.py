@@ -286,9 +286,13 @@ def _cells(here: DataFrame) -> DataFrame:
     whichever sends its sets to fewer tiles: families of one origin are in many buckets together, while
     large families that chance buckets connect are best left in their buckets. Both look at every pair.
     """
+    # a set stands for its buckets' first sets: it is joined to the least of them, and they to that one
     first = here.groupBy("bucket").agg(F.min("rep").alias("first"))
-    star = materialize(here.select("bucket", "rep").join(first, "bucket").select("rep", "first").distinct(), "star")
-    family = materialize(connected_components(star, "rep", "first").toDF("rep", "family"), "families")
+    in_bucket = materialize(here.select("bucket", "rep").join(first, "bucket").select("rep", "first").distinct(), "firsts")
+    least = materialize(in_bucket.groupBy("rep").agg(F.min("first").alias("least")), "least_firsts")
+    star = least.toDF("a", "b").unionByName(in_bucket.join(least, "rep").select(F.col("first").alias("a"), F.col("least").alias("b")).distinct())
+    family = materialize(connected_components(star, "a", "b").toDF("rep", "family"), "families")
+    family = least.select("rep").join(family, "rep", "left").select("rep", F.coalesce("family", "rep").alias("family"))
     known = materialize(here.join(family, "rep"), "family_members")
     once = materialize(known.select("family", "rep", "label", "n", "share").distinct(), "family_sets")
     by_bucket = materialize(known.groupBy("family", "bucket").agg(_n_blocks("n"), F.count(F.lit(1)).alias("size")), "bucket_blocks")
