@@ -16,6 +16,8 @@ from itertools import chain
 import numpy as np
 
 BLOCK = 64
+#: Vectors are scaled to sum 1 every so many words; a word's best label has the factor 1, so only moves shrink a sum.
+SCALE = 16
 
 
 def feature(name: str, size: int) -> int:
@@ -93,15 +95,21 @@ def chained_marginals(emission: np.ndarray, filled: np.ndarray, moves: np.ndarra
     place = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))
     enter, leave = np.ones((n, k)), np.ones((n, k))
     if place.any():
-        over = np.broadcast_to(np.eye(k), (n, k, k)).copy()
+        rest = np.flatnonzero(~first)
+        over, inside, on = np.zeros((n, k, k)), local[rest], filled[rest]
+        part = np.broadcast_to(np.eye(k), (len(rest), k, k)).copy()
         for t in range(size):
-            new = (over.reshape(n * k, k) @ step).reshape(n, k, k) * local[:, t, None, :]
-            over = np.where(filled[:, t, None, None], new / new.sum(axis=(1, 2), keepdims=True), over)
+            part = np.where(on[:, t, None, None], (part.reshape(-1, k) @ step).reshape(-1, k, k) * inside[:, t, None, :], part)
+            if t % SCALE == 0 or t == size - 1:
+                part /= part.sum(axis=(1, 2), keepdims=True)
+        over[rest] = part
         begin = local[:, 0].copy()  # a first block has no move before its first word
         for t in range(1, size):
             begin = np.where(filled[:, t, None], (begin @ step) * local[:, t], begin)
-            begin /= begin.sum(axis=1, keepdims=True)
-        ends = begin.copy()
+            if t % SCALE == 0:
+                begin /= begin.sum(axis=1, keepdims=True)
+        begin /= begin.sum(axis=1, keepdims=True)
+        ends = begin
         for j in range(1, int(place.max()) + 1):
             at = np.flatnonzero(place == j)
             enter[at] = ends[at - 1]
@@ -117,14 +125,16 @@ def chained_marginals(emission: np.ndarray, filled: np.ndarray, moves: np.ndarra
     for t in range(size):
         if t:
             a = np.where(filled[:, t, None], (a @ step) * local[:, t], a)
-        a = a / a.sum(axis=1, keepdims=True)
+        if t % SCALE == 0:
+            a = a / a.sum(axis=1, keepdims=True)
         alpha[:, t] = a
     b = leave
     for t in range(size - 1, -1, -1):
         alpha[:, t] *= b
-        if t:  # the vector before word t, scaled
-            new = (local[:, t] * b) @ step.T
-            b = np.where(filled[:, t, None], new / new.sum(axis=1, keepdims=True), b)
+        if t:  # the vector before word t
+            b = np.where(filled[:, t, None], (local[:, t] * b) @ step.T, b)
+            if t % SCALE == 0:
+                b = b / b.sum(axis=1, keepdims=True)
     return alpha / alpha.sum(axis=2, keepdims=True)
 
 
