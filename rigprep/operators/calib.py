@@ -119,10 +119,10 @@ def unify_intrinsics(calib: DataFrame) -> DataFrame:
 
 
 def corner_intrinsics(calib: DataFrame) -> DataFrame:
-    """A focal length that covers the distorted corners, and the centre of the image."""
+    """A focal length that covers the distorted corner pixels, and the centre of the image."""
     reach = []
     for u, v in ((0, 0), (1, 0), (0, 1), (1, 1)):
-        reach.append(lens.distort((F.col("width") * u - F.col("cx")) / F.col("fx"), (F.col("height") * v - F.col("cy")) / F.col("fy")))
+        reach.append(lens.distort(((F.col("width") - 1) * u - F.col("cx")) / F.col("fx"), ((F.col("height") - 1) * v - F.col("cy")) / F.col("fy")))
     most = [F.greatest(*[F.abs(r[i]) for r in reach]) for i in range(2)]
     half = [F.col("width") / 2.0, F.col("height") / 2.0]
     return calib.withColumns({"new_fx": half[0] / most[0], "new_fy": half[1] / most[1], "new_cx": half[0], "new_cy": half[1]})
@@ -132,7 +132,8 @@ def inner_rect_intrinsics(calib: DataFrame, n: int = 9, iterations: int = 20) ->
     """Intrinsics of the largest rectangle that undistortion leaves without empty pixels, and its region.
 
     n points on each border are undistorted; the inner rectangle lies inside all of them. Own
-    definition. If it is empty, the full size is used.
+    definition. The region (roi_x, roi_y, roi_w, roi_h) is the rectangle in the new image, whose corner pixels
+    it meets; if it is empty, intrinsics stay and the region is the full size.
     """
     t = F.sequence(F.lit(0), F.lit(n - 1))
     edges = calib.withColumn("i", F.explode(t)).withColumn("edge", F.explode(F.array(*map(F.lit, ("l", "r", "t", "b")))))
@@ -145,7 +146,14 @@ def inner_rect_intrinsics(calib: DataFrame, n: int = 9, iterations: int = 20) ->
     out = calib.join(inner, ["scene_id", "cam_idx"])
     ok = (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
     fx, fy = (F.col("width") - 1.0) / (F.col("x1") - F.col("x0")), (F.col("height") - 1.0) / (F.col("y1") - F.col("y0"))
-    return out.withColumns({"new_fx": F.when(ok, fx).otherwise(F.col("fx")), "new_fy": F.when(ok, fy).otherwise(F.col("fy")), "new_cx": F.when(ok, -fx * F.col("x0")).otherwise(F.col("cx")), "new_cy": F.when(ok, -fy * F.col("y0")).otherwise(F.col("cy")), "has_roi": ok}).drop("x0", "x1", "y0", "y1")
+    return out.withColumns({"new_fx": F.when(ok, fx).otherwise(F.col("fx")), "new_fy": F.when(ok, fy).otherwise(F.col("fy")), "new_cx": F.when(ok, -fx * F.col("x0")).otherwise(F.col("cx")), "new_cy": F.when(ok, -fy * F.col("y0")).otherwise(F.col("cy")), "has_roi": ok, "roi_x": F.lit(0), "roi_y": F.lit(0), "roi_w": F.when(ok, F.col("width") - 1).otherwise(F.col("width")).cast("int"), "roi_h": F.when(ok, F.col("height") - 1).otherwise(F.col("height")).cast("int")}).drop("x0", "x1", "y0", "y1")
+
+
+def crop_intrinsics(calib: DataFrame) -> DataFrame:
+    """The new intrinsics of the cropped image: its size is the region's, whose origin the principal point loses."""
+    whole = (F.col("roi_w") <= 0) | (F.col("roi_h") <= 0)
+    moved = {f"new_{c}": F.col(f"new_{c}") - F.when(whole, 0).otherwise(F.col(o)) for c, o in (("cx", "roi_x"), ("cy", "roi_y"))}
+    return calib.withColumns(moved | {c: F.when(whole, F.col(c)).otherwise(F.col(r)) for c, r in (("width", "roi_w"), ("height", "roi_h"))})
 
 
 def undistortion_quality(calib: DataFrame) -> DataFrame:

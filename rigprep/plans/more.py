@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rigprep.operators import alignment, distortion, pairs, stats, tracks
+from rigprep.operators import alignment, calib, distortion, pairs, stats, tracks
 from rigprep.plans.queries import CAL, FRAMES, INV, UNDIST, _dist, cal, frames, query, r6, whole
 from rigprep.sources import readers, writers
 
@@ -56,6 +56,18 @@ def _(t):
     return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t)), "nearest")
 
 
+# The same cameras with a new camera that covers the distorted corners: grid by the new one, source by the old one.
+NEW = """(SELECT s.*, width / 2e0 / mx AS nfx, height / 2e0 / my AS nfy, width / 2e0 AS ncx, height / 2e0 AS ncy FROM {small} s JOIN (
+    SELECT scene_id AS si, cam_idx AS ci, max(abs({dx})) AS mx, max(abs({dy})) AS my FROM (SELECT *, (63 * a - cx) / fx AS x, (35 * b - cy) / fy AS y FROM {small}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)) GROUP BY scene_id, cam_idx) m ON si = scene_id AND ci = cam_idx)""".replace("{small}", SMALL.replace(" WHERE cam_idx < 4", "")).replace("{dx}", _dist("x", "y", "x")).replace("{dy}", _dist("x", "y", "y"))
+
+
+@query("d3_undistort_new_camera", f"""SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, round(s.x * fx + cx, 7) + 0e0 AS su, round(s.y * fy + cy, 7) + 0e0 AS sv
+    FROM (SELECT *, {UNDIST.replace('{n}', '5')} AS s FROM (SELECT *, (u - ncx) / nfx AS x0, (v - ncy) / nfy AS y0 FROM {NEW}, (SELECT range * 4 AS u FROM range(0, 16)), (SELECT range * 4 AS v FROM range(0, 9))))""")
+def _(t):
+    new = calib.corner_intrinsics(small(t, "true"))
+    return distortion.undistort_lookup(new, 4, "inverse_iter", new_camera=True).withColumns({c: F.round(c, 7) + 0.0 for c in ("su", "sv")})
+
+
 @whole("d3_undistort_lookup_all")
 def _(t):
     return distortion.undistort_lookup(small(t, "true")).withColumns({c: F.round(c, 9) + 0.0 for c in ("su", "sv")})

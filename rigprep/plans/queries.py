@@ -247,7 +247,7 @@ def _dist(x: str, y: str, axis: str) -> str:
 
 
 CORNER = f"""(SELECT scene_id, cam_idx, max(abs({_dist('x', 'y', 'x')})) AS mx, max(abs({_dist('x', 'y', 'y')})) AS my FROM (
-    SELECT *, (width * a - cx) / fx AS x, (height * b - cy) / fy AS y FROM {CAL}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)) GROUP BY ALL)"""
+    SELECT *, ((width - 1) * a - cx) / fx AS x, ((height - 1) * b - cy) / fy AS y FROM {CAL}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)) GROUP BY ALL)"""
 
 
 @query("c9_corner_intrinsics", f"SELECT c.scene_id, c.cam_idx, round(width / 2e0 / mx, 6) AS new_fx, round(height / 2e0 / my, 6) AS new_fy, width / 2e0 AS new_cx, height / 2e0 AS new_cy FROM {{fx_calib}} c JOIN {CORNER} m ON c.scene_id = m.scene_id AND c.cam_idx = m.cam_idx")
