@@ -81,15 +81,19 @@ def forward_backward(emission: np.ndarray, filled: np.ndarray, moves: np.ndarray
     return marginal, log_z, expected
 
 
-def chained_marginals(emission: np.ndarray, filled: np.ndarray, moves: np.ndarray, run: np.ndarray) -> np.ndarray:
-    """Marginals of padded blocks; blocks of equal ``run``, which stand together and in order, are one sequence.
+def factors(emission: np.ndarray) -> np.ndarray:
+    """Emissions as factors, of which the largest of a word is 1."""
+    return np.exp(emission - emission.max(axis=-1, keepdims=True, initial=-np.inf)).astype(np.float64)
+
+
+def chained_marginals(local: np.ndarray, filled: np.ndarray, moves: np.ndarray, run: np.ndarray) -> np.ndarray:
+    """Marginals of padded blocks of `factors`; blocks of equal ``run``, which stand together and in order, are one sequence.
 
     Each block's words make a matrix that carries a forward vector over the block (and a backward vector
     back), so only these matrices are applied one after the other; all else is side by side.
     """
-    n, size, k = emission.shape
-    local, step = np.exp(emission - emission.max(axis=2, keepdims=True)).astype(np.float64), np.exp(moves - moves.max())
-    local = np.where(filled[:, :, None], local, 1)
+    n, size, k = local.shape
+    local, step = np.where(filled[:, :, None], local, 1), np.exp(moves - moves.max())
     first = np.concatenate([[True], run[1:] != run[:-1]])
     last = np.concatenate([first[1:], [True]])
     place = np.arange(n) - np.maximum.accumulate(np.where(first, np.arange(n), 0))

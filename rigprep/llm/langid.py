@@ -87,7 +87,7 @@ class Reader:
         self.number: dict[str, int] = {}
         self.count = np.empty(0, dtype=np.int64)
         self.start = np.empty(0, dtype=np.int64)
-        self.table = np.empty((0, len(self.model.labels)), dtype=np.float32)
+        self.table = np.empty((0, len(self.model.labels)))
 
     def learn(self, words: set[str]) -> None:
         """A word's pieces are ``count`` rows of the table from ``start``; none without letters."""
@@ -96,7 +96,7 @@ class Reader:
         new = [w for w in words if w not in self.number]
         split = [pieces(w) for w in new]
         known = [p for ps in split for p in ps]
-        parts = [self.model.emissions([features(p) for p in known[at : at + CHUNK]]) for at in range(0, len(known), CHUNK)]
+        parts = [crf.factors(self.model.emissions([features(p) for p in known[at : at + CHUNK]])) for at in range(0, len(known), CHUNK)]
         count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         self.start = np.concatenate([self.start, len(self.table) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])
@@ -116,8 +116,8 @@ class Reader:
         total = np.zeros((len(texts), len(self.model.labels)))
         if count.sum():
             run, length = crf.blocks(count)
-            emission, filled = crf.padded(self.table[np.concatenate(ids)], length)
-            marginal = crf.chained_marginals(emission, filled, self.model.moves, run)
+            local, filled = crf.padded(self.table[np.concatenate(ids)], length)
+            marginal = crf.chained_marginals(local, filled, self.model.moves, run)
             np.add.at(total, run, (marginal * filled[:, :, None]).sum(axis=1))
         out = []
         for row, n in zip(total, count, strict=True):
