@@ -35,7 +35,10 @@ class Crf:
         if not features:
             return np.zeros((0, len(self.labels)), dtype=np.float32)
         length = np.fromiter(map(len, features), dtype=np.int64, count=len(features))
-        flat = np.fromiter(chain.from_iterable(features), dtype=np.int64, count=int(length.sum()))
+        return self.sums(np.fromiter(chain.from_iterable(features), dtype=np.int64, count=int(length.sum())), length)
+
+    def sums(self, flat: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The same for feature numbers in one array, ``length`` of them for each row."""
         return np.add.reduceat(self.weights[flat], np.cumsum(length) - length, axis=0)
 
 

@@ -7,7 +7,7 @@ language, and a text's language is the one with the highest mean.
 
 from __future__ import annotations
 
-import zlib
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,11 @@ from pyspark.sql import functions as F
 from rigprep.llm import crf
 from rigprep.llm.text import map_texts
 
-FEATURES = 1 << 16
+FEATURE_BITS = 16
+FEATURES = 1 << FEATURE_BITS
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: What is no letter; other numerals than digits are left to `normal`.
+_OTHER = re.compile(r"[^\w\n]+|[\d_]+")
 CACHE_WORDS = 400_000
 #: Longer runs of letters are cut into pieces of so many, which share their last two letters, so that
 #: each bigram and trigram is in a piece. So many pieces are described at a time.
@@ -38,22 +42,66 @@ def normal(word: str) -> str:
     return "".join(c for c in word if c.isalpha()).lower()
 
 
-def features(word: str) -> list[int]:
-    w = f"<{word}>"
-    names = [f"w{word}" if len(word) <= 4 else "long", *(f"p{word[:k]}" for k in (1, 2, 3)), *(f"s{word[-k:]}" for k in (1, 2, 3))]
-    names += [f"g{w[i : i + n]}" for n in (2, 3) for i in range(len(w) - n + 1)]
-    return [zlib.crc32(x.encode()) % FEATURES for x in names]
+def normals(words: list[str]) -> list[str]:
+    """`normal` of many words, none of which has white space."""
+    letters = _OTHER.sub("", "\n".join(words)).lower().split("\n") if words else []
+    return [n if n.isalpha() or not n else normal(w) for w, n in zip(words, letters, strict=True)]
+
+
+def _number(kind: int, *letters: np.ndarray) -> np.ndarray:
+    """Feature numbers of equal-length strings, given letter by letter; 0 stands for no letter."""
+    h = np.full(len(letters[0]), kind + 1, dtype=np.uint64)
+    for x in letters:
+        h = (h ^ x) * _ODD
+        h ^= h >> np.uint64(29)
+    return ((h * _ODD) >> np.uint64(64 - FEATURE_BITS)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Feature numbers of words of letters, word after word, and how many each word has.
+
+    A word has itself (if it has four letters at most), its first and last one, two and three letters, and
+    all bigrams and trigrams of it between two marks.
+    """
+    size = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    marked = np.frombuffer(("<" + "><".join(words) + ">").encode("utf-32-le"), dtype=np.uint32).astype(np.uint64)
+    marked = np.concatenate([marked, np.zeros(3, dtype=np.uint64)])
+    first = np.cumsum(size + 2) - size - 1  # place of each word's first letter
+
+    def letter(k: int) -> np.ndarray:
+        """Each word's letter k, from its end if k is negative."""
+        at = first + (k if k >= 0 else size + k)
+        return np.where(size >= (k + 1 if k >= 0 else -k), marked[at], 0)
+
+    n = 2 * size + 8
+    begin = np.cumsum(n) - n
+    out = np.empty(int(n.sum()), dtype=np.int64)
+    head, tail = [letter(k) for k in range(4)], [letter(-k) for k in (1, 2, 3)]
+    out[begin] = np.where(size <= 4, _number(0, *head), 0)
+    for k in (1, 2, 3):
+        out[begin + k] = _number(k, *head[:k])
+        out[begin + 3 + k] = _number(3 + k, *tail[:k])
+    for kind, count, skip in ((7, size + 1, 7), (8, size, 8 + size)):
+        place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+        at = np.repeat(first - 1, count) + place
+        out[np.repeat(begin + skip, count) + place] = _number(kind, *(marked[at + k] for k in range(kind - 5)))
+    return out, n
+
+
+def cut(letters: str) -> list[str]:
+    """The letters of a word, or pieces of a long one; none if it has none."""
+    if len(letters) <= PIECE:
+        return [letters] if letters else []
+    return [letters[at : at + PIECE] for at in range(0, len(letters) - 2, PIECE - 2)]
 
 
 def pieces(word: str) -> list[str]:
-    """The letters of a word, or of pieces of a long one; none if it has none."""
-    n = normal(word)
-    return [n[at : at + PIECE] for at in range(0, max(len(n) - 2, 1), PIECE - 2)] if n else []
+    return cut(normal(word))
 
 
 def _words(text: bytes) -> list[str]:
     """Pieces of the words between white space, also of other scripts."""
-    return [p for w in text.decode("utf-8", "replace").split() for p in pieces(w)]
+    return [p for n in normals(text.decode("utf-8", "replace").split()) for p in cut(n)]
 
 
 def fit(rows: list[tuple[str, str]], seed: int = 5) -> crf.Crf:
@@ -74,7 +122,8 @@ def fit(rows: list[tuple[str, str]], seed: int = 5) -> crf.Crf:
             other, z = runs[int(r.integers(len(runs)))]
             cut, cut2 = len(words) // 2, len(other) // 2
             words, marks = words[:cut] + other[cut2:], [y] * cut + [z] * (len(other) - cut2)
-        sequences.append(([features(w) for w in words], marks))
+        flat, size = features(words)
+        sequences.append(([f.tolist() for f in np.split(flat, np.cumsum(size)[:-1])], marks))
     return crf.train(sequences, labels, FEATURES, rounds=40)
 
 
@@ -94,9 +143,9 @@ class Reader:
         if max(len(self.number), len(self.table)) > CACHE_WORDS:
             self.forget()
         new = [w for w in words if w not in self.number]
-        split = [pieces(w) for w in new]
+        split = [cut(n) for n in normals(new)]
         known = [p for ps in split for p in ps]
-        parts = [crf.factors(self.model.emissions([features(p) for p in known[at : at + CHUNK]])) for at in range(0, len(known), CHUNK)]
+        parts = [crf.factors(self.model.sums(*features(known[at : at + CHUNK]))) for at in range(0, len(known), CHUNK)]
         count = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         self.start = np.concatenate([self.start, len(self.table) + np.cumsum(count) - count])
         self.count = np.concatenate([self.count, count])

@@ -34,3 +34,16 @@ def test_every_bigram_and_trigram_is_in_a_piece():
         cut = langid.pieces(word)
         assert all(any(word[i : i + k] in p for p in cut) for k in (1, 2, 3) for i in range(n - k + 1)) and max(map(len, cut)) <= 23
     assert langid.pieces("12 !") == []
+
+
+def test_words_are_described_alike_alone_and_together():
+    words = ["don't", "x", "Straße,", "a1b²c", "İstanbul", "ΟΔΟΣ", "12", "ab", "internationalisierung", "日本語", "été"]
+    letters = langid.normals(words)
+    assert letters == [langid.normal(w) for w in words] and langid.normals([]) == []
+    known = [p for n in letters for p in langid.cut(n)]
+    flat, size = langid.features(known)
+    alone = [langid.features([p]) for p in known]
+    assert flat.tolist() == [x for f, _ in alone for x in f.tolist()] and size.tolist() == [int(n[0]) for _, n in alone]
+    assert size.tolist() == [2 * len(p) + 8 for p in known] and flat.min() >= 0 and flat.max() < langid.FEATURES
+    a, b = (set(langid.features([w])[0].tolist()) for w in ("trinken", "trank"))
+    assert len(a & b) >= 4  # first letter, first two letters and both of their grams
