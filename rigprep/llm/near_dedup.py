@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from rigprep.functions.graph import connected_components
 from rigprep.functions.shared import materialize
-from rigprep.llm.text import map_texts, text_hash, without_rows
+from rigprep.llm.text import keeps, map_texts, text_hash, without_rows
 
 WORDS = 5
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -41,7 +41,9 @@ BLOCK = 256
 #: Shingles, about, of the sets that are compared with one hub's, or that make a block of a tile.
 BLOCK_SHINGLES = 1 << 20
 #: Columns of the matrices of a tile that are multiplied at a time.
-COLUMNS = 1 << 14
+COLUMNS = 1 << 12
+#: Words whose hashes a Python worker remembers.
+CACHE_WORDS = 100_000
 #: A family is compared as a whole if that sends out at most so many times the sets that its buckets do.
 FAMILY_COST = 1.0
 HUB_ROUNDS, PEELS = 3, 2
@@ -61,7 +63,7 @@ class _WordHashes(dict):
         import xxhash
 
         h = xxhash.xxh3_64_intdigest(word)
-        if len(self) < 400_000:
+        if len(self) < CACHE_WORDS:
             self[word] = h
         return h
 
@@ -128,6 +130,8 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def start():
         import xxhash
 
+        keeps("shingles", word_hashes.cache_clear)
+
         def work(cols, texts):
             n, key, regs = [], [], []
             for text in texts:

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rigprep.functions.shared import materialize
-from rigprep.llm.text import map_texts
+from rigprep.llm.text import keeps, map_texts
 
 LENGTH = 1024
 #: Items are planned by their length rounded up to a multiple of this.
@@ -55,6 +55,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
 
     def start():
+        keeps("packing", encoder.cache_clear)
         enc = encoder(vocab)
 
         def work(cols, texts):

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rigprep.llm.text import ASCII_SPACE, CONTINUATION, map_texts
+from rigprep.llm.text import ASCII_SPACE, CONTINUATION, keeps, map_texts, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -188,6 +188,7 @@ def _judges(bands: dict, byte_vocab: str, piece_vocab: str):
     """A function that a task calls once for one that judges texts (bytes) with their languages."""
 
     def start():
+        keeps("quality", vocabulary.cache_clear)
         known = vocabulary(byte_vocab, piece_vocab)
 
         def work(texts: list[bytes], langs: list) -> list[tuple]:
@@ -248,12 +249,11 @@ def drop_rejected(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
 
     def run(batches):
         known = None
-        for batch in batches:
-            if batch.num_rows:
-                known = known or verdicts()
-                texts = [t or b"" for t in batch.column(text_at).cast(pa.string()).cast(pa.binary()).to_pylist()]
-                langs = [None] * len(texts) if lang_at is None else batch.column(lang_at).cast(pa.string()).to_pylist()
-                kept = pa.array([row[KEPT] for row in known(texts, langs)], pa.bool_())
-                yield batch.filter(kept)
+        for batch in slices(batches):
+            known = known or verdicts()
+            texts = [t or b"" for t in batch.column(text_at).cast(pa.string()).cast(pa.binary()).to_pylist()]
+            langs = [None] * len(texts) if lang_at is None else batch.column(lang_at).cast(pa.string()).to_pylist()
+            kept = pa.array([row[KEPT] for row in known(texts, langs)], pa.bool_())
+            yield batch.filter(kept)
 
     return docs.mapInArrow(run, docs.schema)

@@ -11,22 +11,41 @@ from pyspark.sql import functions as F
 #: [\x20\x09-\x0D], which bytes.split() and bytes.strip() use.
 ASCII_SPACE = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
+#: Rows whose texts a task turns into Python bytes at a time.
+SLICE_ROWS = 1000
+
+_kept: dict[str, Callable[[], None]] = {}
+
+
+def keeps(owner: str, forget: Callable[[], None]) -> None:
+    """Say that this Python worker remembers something for ``owner`` from task to task, until ``forget()``.
+
+    Workers serve one operator after the other, so what other owners have kept is forgotten now.
+    """
+    for other in [o for o in _kept if o != owner]:
+        _kept.pop(other)()
+    _kept[owner] = forget
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of the batches, at most SLICE_ROWS at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
 
 
 def map_texts(docs: DataFrame, cols: dict[str, str], text_col: str, start: Callable[[], Callable], schema: str) -> DataFrame:
-    """Run ``start()(ids, texts)`` on each Arrow batch of ``docs``, with texts as UTF-8 bytes.
+    """Run ``start()(ids, texts)`` on slices of the Arrow batches of ``docs``, with texts as UTF-8 bytes.
 
     cols: new name to old name of the columns to pass. ``start`` is called once in each task and
-    gives a function that takes the batch's passed columns (a dict of Arrow arrays) and a list of
+    gives a function that takes the slice's passed columns (a dict of Arrow arrays) and a list of
     bytes, and returns a dict of columns for ``schema``. Null texts are empty.
     """
     picked = docs.select(*[F.col(old).alias(new) for new, old in cols.items()], F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in slices(batches):
             work = work or start()
             got = work({c: batch.column(c) for c in cols}, batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_pydict(got)
