@@ -75,6 +75,19 @@ def with_possibly_repeated(hashes: DataFrame, hash_col: str, broadcast_bytes: in
     return spark.read.parquet(out)
 
 
+def possibly_among(rows: DataFrame, wanted: DataFrame, keys: list[str], broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Those of ``rows`` whose ``keys`` are possibly in ``wanted`` (a written table), by a filter that is broadcast.
+
+    No row of ``wanted``'s keys is lost; a few others stay, as they do where the filter's bound leaves it fewer bits
+    a row. So a join that follows shuffles the rows that it needs and not all.
+    """
+    bits = min(filter_bits(wanted.count()), 8 * max(broadcast_bytes, BLOCK_BITS // 8))
+    at = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+    blocks = wanted.select(at.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("__block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("__bitmap"))
+    found = rows.join(F.broadcast(materialize(blocks, "bloom")), F.bitmap_bucket_number(at) == F.col("__block"))
+    return found.where(bit_is_set(F.col("__bitmap"), F.bitmap_bit_position(at))).select(*rows.columns)
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
 

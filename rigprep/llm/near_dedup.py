@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from rigprep.functions.graph import connected_components
 from rigprep.functions.shared import materialize
+from rigprep.llm.exact_dedup import possibly_among
 from rigprep.llm.text import keeps, map_texts, text_hash, without_rows
 
 WORDS = 5
@@ -370,7 +371,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     near = materialize(rows.select("rep").distinct(), "near")
     wanted = materialize(live.select("row", "doc_id", "text_hash").join(near, live.row == near.rep).select("rep", "doc_id", "text_hash"), "near_rows")
     texts = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("text"))
-    texts = materialize(texts.join(wanted, ["doc_id", "text_hash"]).select("rep", "text"), "texts")
+    keys = ["doc_id", "text_hash"]
+    texts = materialize(possibly_among(texts, wanted, keys).join(wanted, keys).select("rep", "text"), "texts")
+    near_classes = materialize(classes.join(near, "rep", "left_semi"), "near_classes")
 
     labels = materialize(near.select("rep", F.col("rep").alias("label")), "labels")
     links = tried = None
@@ -387,13 +390,13 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             pairs = here.join(hubs, "bucket").where("label <> hub_label").select("a", F.col("rep").alias("b")).distinct()
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
-            pairs = materialize(_estimated(pairs, classes), "pairs")
+            pairs = materialize(_estimated(pairs, near_classes), "pairs")
             found = materialize(_linked(pairs, texts), "links")
             pairs = pairs.select("a", "b")
             tried = pairs if tried is None else tried.unionByName(pairs)
         else:  # what is left: sets of one bucket that are still in different components
             sets = _sets(here.select("rep").distinct(), texts)
-            found = materialize(_tiled(_peeled(here, sets), sets, classes), "links")
+            found = materialize(_tiled(_peeled(here, sets), sets, near_classes), "links")
         links = found if links is None else links.unionByName(found)
         if found.limit(1).count():
             joined = connected_components(links, "a", "b").toDF("rep", "component")
