@@ -24,7 +24,7 @@ from rigprep.llm.text import ASCII_SPACE, CONTINUATION, keeps, map_texts, slices
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
 #: Words that a Python worker remembers, and bytes of text that it takes at a time.
-CACHE_WORDS, BLOCK_BYTES = 700_000, 1 << 20
+CACHE_WORDS, BLOCK_BYTES = 200_000, 1 << 20
 #: Bands by language, or by script where the language is not listed: least and most characters a
 #: token, most byte-fallback share, least token entropy in bits. The bands of the four languages are
 #: fitted on the labelled texts of sf0.1 (3,243 good ones past the base rule): least characters a
