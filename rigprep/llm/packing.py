@@ -46,22 +46,44 @@ def encoder(vocab: str):
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
 
 
-def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, vocab: str = "byte_bpe_50k.tiktoken") -> DataFrame:
+def forget() -> None:
+    encoder.cache_clear()
+    full_tokenizer.cache_clear()
+
+
+@lru_cache(maxsize=1)
+def full_tokenizer(vocab: str):
+    """The tokenizers file of the same vocabulary, which takes any text."""
+    import public_tokenizers
+    import tokenizers
+
+    return tokenizers.Tokenizer.from_file(public_tokenizers.path(vocab))
+
+
+def token_ids(text: str, vocab: str, full_vocab: str) -> list[int]:
+    """The ids of a text. ``encoder`` gives up on runs of about a million white-space characters; the tokenizers file then gives the same ids."""
+    try:
+        return encoder(vocab).encode(text, allowed_special="all")
+    except (ValueError, RuntimeError):
+        return full_tokenizer(full_vocab).encode(text, add_special_tokens=False).ids
+
+
+def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, vocab: str = "byte_bpe_50k.tiktoken", full_vocab: str = "byte_bpe_50k.json") -> DataFrame:
     """``(doc_id, start, length, doc_tokens, ids)``: each document's ids and a closing 0, cut every ``length``.
 
     ids are little-endian unsigned 32-bit numbers. ``vocab`` is the rank file of the byte-level
-    vocabulary, whose ids equal those of its tokenizers file (`<|endoftext|>` in a text is id 50256). A null or empty text is the piece [0];
+    vocabulary, whose ids equal those of its tokenizers file ``full_vocab`` (`<|endoftext|>` in a text is id 50256), which
+    serves texts that the former cannot take. A null or empty text is the piece [0];
     repeated rows give repeated pieces; an empty table gives none.
     """
 
     def start():
-        keeps("packing", encoder.cache_clear)
-        enc = encoder(vocab)
+        keeps("packing", forget)
 
         def work(cols, texts):
             doc, begin, size, total, ids = [], [], [], [], []
             for k, text in enumerate(texts):
-                tokens = np.array([*enc.encode(text.decode("utf-8", "replace"), allowed_special="all"), 0], dtype="<u4")
+                tokens = np.array([*token_ids(text.decode("utf-8", "replace"), vocab, full_vocab), 0], dtype="<u4")
                 for at in range(0, len(tokens), length):
                     piece = tokens[at : at + length]
                     doc.append(k)
@@ -203,9 +225,10 @@ def pack(pieces: DataFrame, room: int = LENGTH, width: int = CLASS_WIDTH) -> Dat
     document, start and position in the table. A sequence that ends at a power of two needs no padding; the plan
     does not aim at that, as most sequences end within a few ids of ``room``. Items are planned by lengths
     rounded up to ``width``, which costs at most ``width`` - 1 ids an item. An empty table gives an
-    empty table. Other columns stay, whatever their names (but for __pack_row and __pack_class).
+    empty table. Other columns stay, whatever their names (but for __pack_row and __pack_class); a sequence_id or
+    offset that is there is replaced.
     """
-    others = [c for c in pieces.columns if c not in ("doc_id", "start", "length")]
+    others = [c for c in pieces.columns if c not in ("doc_id", "start", "length", "sequence_id", "offset")]
     rows = materialize(pieces.withColumn("__pack_row", F.monotonically_increasing_id()).withColumn("__pack_class", F.least(F.ceil(F.col("length") / width) * width, F.lit(room)).cast("long")), "pieces")
     histogram = {r["length"]: r["count"] for r in rows.where(F.col("length") < room).groupBy("length").count().collect()}  # room entries at most
     total = rows.count()
