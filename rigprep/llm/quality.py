@@ -43,6 +43,10 @@ BANDS = {
 }
 
 
+#: Longer words are tokenised in parts of so many code points, which the vocabularies can take.
+WORD_PART = 100_000
+
+
 class Vocabulary:
     """Numbers of the words met so far, and for each its tokens, in flat arrays that grow."""
 
@@ -67,8 +71,11 @@ class Vocabulary:
         if not new:
             return
         texts = [w.decode("utf-8", "replace") for w in new]
-        split = self.sp.encode(texts, num_threads=1)
-        bpe = np.fromiter((len(self.bpe.encode_ordinary(" " + x)) for x in texts), dtype=np.int64, count=len(texts))
+        split = self.sp.encode([x if len(x) <= WORD_PART else "" for x in texts], num_threads=1)
+        for k, x in enumerate(texts):
+            if len(x) > WORD_PART:
+                split[k] = [i for part in parts(x) for i in self.sp.encode(part)]
+        bpe = np.fromiter((sum(len(self.bpe.encode_ordinary(part)) for part in parts(" " + x)) for x in texts), dtype=np.int64, count=len(texts))
         self.byte_tokens = np.concatenate([self.byte_tokens, bpe])
         n = len(self.number)
         self.number.update(zip(new, range(n, n + len(new)), strict=True))
@@ -85,6 +92,10 @@ class Vocabulary:
         return self.pieces[np.repeat(first - (ends - length), length) + np.arange(ends[-1] if len(ends) else 0)]
 
 
+def parts(word: str) -> list[str]:
+    return [word] if len(word) <= WORD_PART else [word[k : k + WORD_PART] for k in range(0, len(word), WORD_PART)]
+
+
 @lru_cache(maxsize=1)
 def vocabulary(byte_vocab: str, piece_vocab: str) -> Vocabulary:
     """One for each Python worker, kept from task to task."""
