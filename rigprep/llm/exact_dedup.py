@@ -89,7 +89,7 @@ def possibly_among(rows: DataFrame, wanted: DataFrame, keys: list[str], broadcas
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash.
+    """One row for each row of ``docs``: doc_id, keep_id, group_size, kept, text_sha256, text_hash, keep_hash (of the row that stays).
 
     Texts are equal when their normalised forms are. Of equal texts the row with the smallest
     id stays (null ids come last; of rows with the same id and text, one). A null text counts
@@ -105,7 +105,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "digests",
     )
     marked = materialize(with_possibly_repeated(digests, "text_sha256", broadcast_bytes), "marked")
-    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"))
+    order = F.struct(F.col("doc_id").isNull().alias("last"), F.col("doc_id").alias("doc_id"), F.col("row").alias("row"), F.col("text_hash").alias("text_hash"))
     maybe = marked.where("maybe")
     groups = materialize(maybe.groupBy("text_sha256").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1"), "groups")
     found = maybe.join(groups, "text_sha256", "left").select(
@@ -115,17 +115,19 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         F.coalesce(F.col("first.row") == F.col("row"), F.lit(True)).alias("kept"),
         "text_sha256",
         "text_hash",
+        F.coalesce("first.text_hash", "text_hash").alias("keep_hash"),
     )
-    alone = marked.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "text_hash")
+    alone = marked.where("not maybe").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "text_sha256", "text_hash", F.col("text_hash").alias("keep_hash"))
     return alone.unionByName(found)
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` without the documents whose text an earlier id also has; all columns stay.
+    """``docs`` with one row of each group of equal texts, that of the smallest id; all columns stay.
 
-    A row goes by its id and text together: other texts of the same id stay, and null ids go only where an
-    id has their text. Rows that repeat an id and its text count as one document and stay or go together.
+    Rows go by id and text together, and of rows that repeat the id and text that stays, one stays: which one is
+    not promised. Null ids come last and are rows like others: of null ids with one text, one row stays.
     """
-    gone = exact_duplicates(docs, id_col, text_col).where(~F.col("doc_id").eqNullSafe(F.col("keep_id")))
-    gone = materialize(gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct(), "gone")
-    return without_rows(docs, id_col, text_col, gone)
+    found = materialize(exact_duplicates(docs, id_col, text_col).where("not kept"), "not_kept")
+    same = F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("text_hash") == F.col("keep_hash"))
+    gone, twice = (materialize(found.where(x).select("doc_id", "text_hash").distinct(), "gone") for x in (~same, same))
+    return without_rows(docs, id_col, text_col, gone, twice)

@@ -416,8 +416,9 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each component, the one with the smallest id; all columns stay.
 
-    A row goes by its id and text together: other texts of the same id, and null ids, stay. Rows that
-    repeat an id and its text stay or go together.
+    A row goes by its id and text together: other texts of the same id stay. Of rows that repeat an id and its text one
+    stays, which one is not promised. Null ids are linked with nothing: each of their texts stays, in one row.
     """
-    gone = near_components(docs, id_col, text_col).where("not kept").select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash"))
-    return without_rows(docs, id_col, text_col, materialize(gone.distinct(), "gone"))
+    found = materialize(near_components(docs, id_col, text_col).groupBy("doc_id", "text_hash", "kept").count(), "near")
+    gone, twice = (materialize(found.where(x).select("doc_id", "text_hash"), "gone") for x in ("not kept", "kept and count > 1"))
+    return without_rows(docs, id_col, text_col, gone, twice)

@@ -21,7 +21,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash")
+    return exact_dedup.exact_duplicates(_table(spark, sf_dir, "documents")).drop("text_hash", "keep_hash")
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -57,12 +57,31 @@ def code_points(text: bytes) -> int:
     return len(text.translate(None, CONTINUATION))
 
 
-def text_hash(text_col: str) -> Column:
+def text_hash_of(text: Column) -> Column:
     """64 bits of a text, to tell rows of one id apart; null is empty."""
-    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    return F.xxhash64(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def text_hash(text_col: str) -> Column:
+    return text_hash_of(F.col(text_col))
 
 
-def without_rows(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose id and text ``gone`` (gone_id, gone_hash) has; names in ``docs`` do not matter."""
-    other = gone.toDF("__gone_id", "__gone_hash")
-    return docs.join(other, docs[id_col].eqNullSafe(other["__gone_id"]) & (F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit(""))) == other["__gone_hash"]), "left_anti")
+def without_rows(docs: DataFrame, id_col: str, text_col: str, gone: DataFrame, twice: DataFrame) -> DataFrame:
+    """``docs`` without the rows whose id and text ``gone`` (gone_id, gone_hash) has, and with one row of those that ``twice`` has.
+
+    Both are written tables of distinct rows; names in ``docs`` do not matter. Rows that repeat an id and its text
+    are few or many: only these are grouped, and their task's first is taken before they are shuffled.
+    """
+
+    def same(other: DataFrame, key: str) -> Column:
+        other_id, other_hash = f"__{key}_id", f"__{key}_hash"
+        return docs[id_col].eqNullSafe(other[other_id]) & (text_hash_of(docs[text_col]) == other[other_hash])
+
+    named = {key: df.toDF(f"__{key}_id", f"__{key}_hash") for key, df in (("gone", gone), ("twice", twice))}
+    if twice.limit(1).count() == 0:
+        return docs.join(named["gone"], same(named["gone"], "gone"), "left_anti")
+    once = docs.join(named["twice"], same(named["twice"], "twice"), "left_anti")
+    once = once.join(named["gone"], same(named["gone"], "gone"), "left_anti")
+    again = docs.join(named["twice"], same(named["twice"], "twice"), "left_semi")
+    rows = again.select(F.struct(*[again[c] for c in docs.columns]).alias("row"), again[id_col].alias("id"), text_hash_of(again[text_col]).alias("hash"))
+    return once.unionByName(rows.groupBy("id", "hash").agg(F.first("row").alias("row")).select("row.*"))
