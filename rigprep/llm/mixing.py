@@ -82,7 +82,8 @@ def mix(docs: DataFrame, target: Target = Target(), budget_tokens: float | None
     mix_repeats is how many epochs a source's budget pays for, mix_rank the place of the block in
     the epoch's permutation. Without ``budget_tokens`` the budget is the least that uses every
     document at least once; with it, a source whose budget is under one epoch is cut. A document is
-    used if the budget is not yet spent when its turn comes; rows that repeat an id take the same turn. A null
+    used if the budget is not yet spent when its turn comes, so each source may exceed its share of the budget by its
+    last document; rows that repeat an id take the same turn. A null
     source counts as the empty name. Sources without tokens have weight 0 and pass once. Repeated rows
     are used each; an empty table gives an empty table. Columns of ``docs`` that have a name of the new ones
     are replaced.
@@ -90,8 +91,9 @@ def mix(docs: DataFrame, target: Target = Target(), budget_tokens: float | None
     The hot source is spread over its blocks, and its counts are pre-aggregated in each task.
     """
     others = [c for c in docs.columns if c not in MADE]
-    marked = docs.withColumn("mix_source", F.coalesce(F.col(source_col).cast("string"), F.lit(""))).withColumn("mix_block", block_of(id_col, seed, blocks))
-    counts = materialize(marked.groupBy("mix_source", "mix_block").agg(F.sum(n_tokens(F.col(text_col))).alias("tokens")), "blocks")
+    doc_id, text = F.col("mix_row")[id_col], F.col("mix_row")[text_col]
+    marked = docs.select(F.struct(*[docs[c] for c in others]).alias("mix_row"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("mix_source"), block_of(id_col, seed, blocks).alias("mix_block"))
+    counts = materialize(marked.groupBy("mix_source", "mix_block").agg(F.sum(n_tokens(text)).alias("tokens")), "blocks")
     everything = counts.agg(F.sum("tokens")).first()[0]
     sources = counts.groupBy("mix_source").agg(F.sum("tokens").alias("total")).withColumn("share", F.col("total") / F.lit(everything or None).cast("double"))
     sources = materialize(sources, "sources")
@@ -112,13 +114,12 @@ def mix(docs: DataFrame, target: Target = Target(), budget_tokens: float | None
     turn = materialize(turn, "turns")
     if turn.count() <= BROADCAST_ROWS:
         turn = F.broadcast(turn)
-    used = marked.drop(*[c for c in MADE if c not in ("mix_source", "mix_block")]).join(turn, ["mix_source", "mix_block"])
+    used = marked.join(turn, ["mix_source", "mix_block"])
     # of the block that the budget cuts, ids and token counts alone are put in order; its last turn is the limit
-    place = F.struct(F.xxhash64(F.col(id_col), "mix_epoch", F.lit(seed)).alias("h"), F.col(id_col).alias("id"))
+    place = F.struct(F.xxhash64(doc_id, "mix_epoch", F.lit(seed)).alias("h"), doc_id.alias("id"))
     inside = Window.partitionBy("mix_source", "mix_epoch").orderBy("__place").rowsBetween(Window.unboundedPreceding, -1)
-    small = used.where("__cut").select("mix_source", "mix_epoch", "__left", place.alias("__place"), n_tokens(F.col(text_col)).alias("n"))
+    small = used.where("__cut").select("mix_source", "mix_epoch", "__left", place.alias("__place"), n_tokens(text).alias("n"))
     limit = small.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0))).where("before < __left").groupBy("mix_source", "mix_epoch").agg(F.max("__place").alias("__limit"))
     limit = materialize(limit, "limits")
     cut = used.where("__cut").join(limit, ["mix_source", "mix_epoch"]).where(place <= F.col("__limit"))
-    columns = [*others, *MADE]
-    return used.where("not __cut").select(*columns).unionByName(cut.select(*columns))
+    return used.where("not __cut").select("mix_row.*", *MADE).unionByName(cut.select("mix_row.*", *MADE))
