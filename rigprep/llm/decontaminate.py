@@ -61,7 +61,7 @@ def positional_index(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id",
     end = F.array(F.lit(""))
     placed = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), F.concat(words_of(F.col(text_col)), end).alias("words"))
     placed = placed.select("row", "id", F.posexplode("words").alias("pos", "word"))
-    ends = terms.sparkSession.createDataFrame([("", 0)], "word string, term long")
+    ends = terms.sparkSession.range(1).select(F.lit("").alias("word"), F.col("id").alias("term"))
     wanted = small(materialize(terms.select("word", "term").unionByName(ends), "terms"))
     return materialize(placed.join(wanted, "word").select("row", "pos", "term", F.when(F.col("word") == "", F.col("id")).alias("doc_id")), "postings")
 
