@@ -7,20 +7,25 @@ from pyspark.sql import functions as F
 
 from rigprep.functions.graph import connected_components
 from rigprep.functions.shared import materialize
+from rigprep.operators.angles import widest_angles
 
 
 def build_tracks(matches: DataFrame) -> DataFrame:
     """(scene_id, image, kp_idx, track): connected components of keypoints over matches.
 
     track is the smallest keypoint name of the component; conflict is true for tracks with two
-    keypoints of one image. Labels spread by joins over written tables.
+    keypoints of one image. Keypoints are numbered first: the rounds over edges carry two numbers a row and no names.
     """
-    node = lambda k: F.concat_ws("|", "scene_id", f"image{k}", F.lpad(F.col(f"kp{k}").cast("string"), 8, "0"))
-    found = connected_components(matches.select(node(0).alias("src"), node(1).alias("dst")))
-    part = F.split("node", r"\|")
-    rows = found.select(part[0].alias("scene_id"), part[1].alias("image"), part[2].cast("int").alias("kp_idx"), F.col("component").alias("track"))
-    sizes = rows.groupBy("track", "image").count().groupBy("track").agg((F.max("count") > 1).alias("conflict"))
-    return rows.join(sizes, "track")
+    end = lambda k: F.struct("scene_id", F.col(f"image{k}").alias("image"), F.col(f"kp{k}").alias("kp_idx"))
+    m = matches.select(end(0).alias("x"), end(1).alias("y"))
+    nodes = materialize(m.select(F.explode(F.array("x", "y")).alias("x")).distinct().select("x", F.monotonically_increasing_id().alias("n")), "nodes")
+    edges = m.join(nodes.toDF("x", "src"), "x").join(nodes.toDF("y", "dst"), "y").select("src", "dst")
+    found = connected_components(edges).join(nodes, F.col("node") == F.col("n"))
+    name = F.concat_ws("|", "x.scene_id", "x.image", F.lpad(F.col("x.kp_idx").cast("string"), 8, "0"))
+    rows = materialize(found.select("x.*", "component", name.alias("name")), "tracks")
+    tracks = rows.groupBy("component").agg(F.min("name").alias("track"))
+    sizes = rows.groupBy("component", "image").count().groupBy("component").agg((F.max("count") > 1).alias("conflict"))
+    return rows.join(tracks.join(sizes, "component"), "component").select("scene_id", "image", "kp_idx", "track", "conflict")
 
 
 def triangulate_tracks(rays: DataFrame, min_angle: float = 1.0, max_error: float = 4.0) -> DataFrame:
@@ -46,7 +51,5 @@ def triangulate_tracks(rays: DataFrame, min_angle: float = 1.0, max_error: float
     along = to[0] * d[0] + to[1] * d[1] + to[2] * d[2]
     off = F.sqrt(F.greatest(to[0] * to[0] + to[1] * to[1] + to[2] * to[2] - along * along, F.lit(0.0)))
     worst = seen.withColumn("e", F.when(along > 0, F.col("f") * off / along).otherwise(F.lit(float("inf")))).groupBy("track").agg(F.max("e").alias("error"))
-    other = rays.select("track", *[F.col(x).alias("o" + x) for x in ("dx", "dy", "dz")])
-    cosine = F.col("dx") * F.col("odx") + F.col("dy") * F.col("ody") + F.col("dz") * F.col("odz")
-    angle = rays.join(other, "track").groupBy("track").agg(F.degrees(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), F.min(cosine))))).alias("angle"))
+    angle = widest_angles(rays.join(points.select("track", "views"), "track"))
     return points.join(worst, "track").join(angle, "track").where((F.col("angle") >= min_angle) & (F.col("error") <= max_error))
