@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rigprep.functions.order import with_rank
+from rigprep.functions.shared import materialize
 from rigprep.operators.names import CAMERA_RULES, number
 
 #: Endings that are tried for a missing file, in this order.
@@ -28,26 +30,32 @@ def align_names(src: DataFrame, ref: DataFrame) -> DataFrame:
     """A3: (scene_id, src_name, ref_name, policy) of each scene's images.
 
     Equal sets map to themselves (``same``); unequal counts are an ``error`` row; unique and equal
-    camera ids map by camera, all others by rank in name order.
+    camera ids map by camera, all others by rank in name order. Sets are compared by how many of their members meet, and
+    ranks go by ranges, so no task holds a scene's names.
     """
     cam = number(F.col("name"), CAMERA_RULES["anywhere"])
 
     def side(df: DataFrame, p: str) -> DataFrame:
-        return df.select("scene_id", F.col("name").alias(f"{p}_name"), cam.alias(f"{p}_cam"), F.row_number().over(Window.partitionBy("scene_id").orderBy("name")).alias("rank"))
+        return with_rank(df.select("scene_id", F.col("name").alias(f"{p}_name"), cam.alias(f"{p}_cam")), ["scene_id"], [f"{p}_name"], f"{p}_rank")
 
     def facts(df: DataFrame, p: str) -> DataFrame:
-        return df.groupBy("scene_id").agg(F.count(F.lit(1)).alias(f"{p}_n"), F.sort_array(F.collect_set(f"{p}_name")).alias(f"{p}_names"), F.sort_array(F.collect_set(f"{p}_cam")).alias(f"{p}_cams"))
+        return df.groupBy("scene_id").agg(F.count(F.lit(1)).alias(f"{p}_n"), F.count_distinct(f"{p}_name").alias(f"{p}_names"), F.count_distinct(f"{p}_cam").alias(f"{p}_cams"))
+
+    def shared(c: str) -> DataFrame:
+        one, two = (df.select("scene_id", F.col(f"{p}_{c}").alias("x")).distinct() for df, p in ((s, "src"), (r, "ref")))
+        return one.join(two, ["scene_id", "x"]).groupBy("scene_id").agg(F.count(F.lit(1)).alias(f"{c}s"))
 
     s, r = side(src, "src"), side(ref, "ref")
-    f = facts(s, "src").join(facts(r, "ref"), "scene_id")
-    unique = (F.size("src_cams") == F.col("src_n")) & (F.size("ref_cams") == F.col("ref_n")) & (F.col("src_cams") == F.col("ref_cams"))
-    policy = F.when(F.col("src_names") == F.col("ref_names"), "same").when(F.col("src_n") != F.col("ref_n"), "error").when(unique, "camera").otherwise("rank")
-    p = f.select("scene_id", policy.alias("policy"))
-    ps, pr = s.join(p, "scene_id"), r.join(p.withColumnRenamed("policy", "rp"), "scene_id").drop("rp")
-    by = lambda pol, on: ps.where(F.col("policy") == pol).join(pr.withColumnRenamed("rank", "ref_rank"), "scene_id").where(on).select("scene_id", "src_name", "ref_name", "policy")
-    same = ps.where("policy = 'same'").select("scene_id", "src_name", F.col("src_name").alias("ref_name"), "policy")
+    f = facts(s, "src").join(facts(r, "ref"), "scene_id").join(shared("name"), "scene_id", "left").join(shared("cam"), "scene_id", "left")
+    same = (F.col("src_names") == F.col("ref_names")) & (F.col("src_names") == F.coalesce("names", F.lit(0)))
+    unique = (F.col("src_cams") == F.col("src_n")) & (F.col("ref_cams") == F.col("ref_n")) & (F.col("src_n") == F.coalesce("cams", F.lit(0)))
+    policy = F.when(same, "same").when(F.col("src_n") != F.col("ref_n"), "error").when(unique, "camera").otherwise("rank")
+    p = materialize(f.select("scene_id", policy.alias("policy")), "policies")
+    ps = s.join(p, "scene_id")
+    by = lambda pol, c: ps.where(F.col("policy") == pol).join(r.withColumn(f"src_{c}", F.col(f"ref_{c}")), ["scene_id", f"src_{c}"]).select("scene_id", "src_name", "ref_name", "policy")
+    equal = ps.where("policy = 'same'").select("scene_id", "src_name", F.col("src_name").alias("ref_name"), "policy")
     errors = p.where("policy = 'error'").select("scene_id", F.lit(None).cast("string").alias("src_name"), F.lit(None).cast("string").alias("ref_name"), "policy")
-    return same.unionByName(by("camera", F.col("src_cam") == F.col("ref_cam"))).unionByName(by("rank", F.col("rank") == F.col("ref_rank"))).unionByName(errors)
+    return equal.unionByName(by("camera", "cam")).unionByName(by("rank", "rank")).unionByName(errors)
 
 
 def rename_images(images: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rigprep.functions import rotation as rot
+from rigprep.functions.order import with_rank
 
 QUAT, TRANS, EULER = ("qw", "qx", "qy", "qz"), ("tx", "ty", "tz"), ("rx", "ry", "rz")
 
@@ -112,10 +113,10 @@ def expand_poses(images: DataFrame, frames: DataFrame) -> DataFrame:
     """Every frame gets its camera's pose and a dense new image id in (folder, name) order.
 
     images: scene_id, cam_num and the pose; frames: scene_id, cam_num, cam_dir, name. Frames of
-    cameras that the model lacks are left out (count them with a left_anti join).
+    cameras that the model lacks are left out (count them with a left_anti join). Many tasks number one scene.
     """
     both = frames.join(images, ["scene_id", "cam_num"])
-    return both.withColumn("new_image_id", F.row_number().over(Window.partitionBy("scene_id").orderBy("cam_dir", "name")))
+    return with_rank(both, ["scene_id"], ["cam_dir", "name"], "new_image_id").withColumn("new_image_id", F.col("new_image_id").cast("int"))
 
 
 def pose_only_model(images: DataFrame) -> DataFrame:

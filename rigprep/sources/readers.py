@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rigprep.functions.order import with_rank
+
 #: Camera models and how many parameters each has.
 MODEL_PARAMS = {"SIMPLE_PINHOLE": 3, "PINHOLE": 4, "SIMPLE_RADIAL": 4, "RADIAL": 5, "OPENCV": 8, "OPENCV_FISHEYE": 8, "FULL_OPENCV": 12, "FOV": 5, "SIMPLE_RADIAL_FISHEYE": 4, "RADIAL_FISHEYE": 5, "THIN_PRISM_FISHEYE": 12}
 PARAMETERS = ("f", "ar", "cx", "cy", "k1", "k2", "k3", "p1", "p2")
@@ -35,9 +37,10 @@ CAMERA = T.StructType(
 
 
 def file_catalog(spark: SparkSession, root: str, exts: tuple[str, ...]) -> DataFrame:
-    """Path, name and length of files below ``root`` with one of the endings, in any case; contents are not read."""
+    """Path, name, length and place (from 0, in order of name, then path) of files below ``root`` with one of the endings, in any case; contents are not read."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", "length", "modificationTime")
-    return files.withColumn("name", F.substring_index("path", "/", -1)).where(F.lower(F.regexp_extract("name", r"\.([^.]*)$", 1)).isin([e.lower().lstrip(".") for e in exts])).distinct()
+    found = files.withColumn("name", F.substring_index("path", "/", -1)).where(F.lower(F.regexp_extract("name", r"\.([^.]*)$", 1)).isin([e.lower().lstrip(".") for e in exts]))
+    return with_rank(found, [], ["name", "path"], "place").withColumn("place", F.col("place") - 1)
 
 
 def whole_files(spark: SparkSession, path: str, scene: Column | None = None) -> DataFrame:
