@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigprep.functions import lens
+from rigprep.functions.order import with_rank
 from rigprep.operators.names import CAMERA_RULES, number
 from rigprep.operators.poses import flat_pose, to_camera_to_world
 
@@ -53,10 +54,10 @@ def align_by_ordinal(calib: DataFrame, images: DataFrame, policy: str = "zip") -
     policy: ``zip`` pairs up to the shorter side; ``number`` names image NNN.png by its ordinal;
     ``broadcast`` gives all images camera 0 where the counts differ.
     """
-    c = calib.withColumn("ord", F.row_number().over(Window.partitionBy("scene_id").orderBy("cam_idx")))
+    c = with_rank(calib, ["scene_id"], ["cam_idx"], "ord")
     if policy == "number":
         return c.withColumn("name", F.format_string("%03d.png", "ord"))
-    i = images.select("scene_id", "name").withColumn("ord", F.row_number().over(Window.partitionBy("scene_id").orderBy("name")))
+    i = with_rank(images.select("scene_id", "name"), ["scene_id"], ["name"], "ord")
     if policy == "zip":
         return c.join(i, ["scene_id", "ord"])
     same = calib.groupBy("scene_id").agg(F.count(F.lit(1)).alias("nc")).join(images.groupBy("scene_id").agg(F.count(F.lit(1)).alias("ni")), "scene_id").select("scene_id", (F.col("nc") == F.col("ni")).alias("same"))
@@ -128,25 +129,45 @@ def corner_intrinsics(calib: DataFrame) -> DataFrame:
     return calib.withColumns({"new_fx": half[0] / most[0], "new_fy": half[1] / most[1], "new_cx": half[0], "new_cy": half[1]})
 
 
-def inner_rect_intrinsics(calib: DataFrame, n: int = 9, iterations: int = 20) -> DataFrame:
-    """Intrinsics of the largest rectangle that undistortion leaves without empty pixels, and its region.
+def inner_rect_intrinsics(calib: DataFrame, n: int = 9, iterations: int = 20, alpha: float = 0.0, refine: int = 16) -> DataFrame:
+    """Intrinsics between those of the largest rectangle without empty pixels (alpha 0) and those that keep every pixel (alpha 1), and the region of whole pixels.
 
-    n points on each border are undistorted; the inner rectangle lies inside all of them. Own
-    definition. The region (roi_x, roi_y, roi_w, roi_h) is the rectangle in the new image, whose corner pixels
-    it meets; if it is empty, intrinsics stay and the region is the full size.
+    n points on each border are undistorted: the inner rectangle lies inside all of them, the outer one around. The
+    region (roi_x, roi_y, roi_w, roi_h) is found on a border with ``refine`` times as many steps: it has the
+    integer pixels of the new image that lie inside every border. Own definition. If the inner rectangle or the region is
+    empty, has_roi is false and the region the full size; without an inner rectangle intrinsics stay.
     """
-    t = F.sequence(F.lit(0), F.lit(n - 1))
+    last = (n - 1) * refine
+    t = F.sequence(F.lit(0), F.lit(last))
     edges = calib.withColumn("i", F.explode(t)).withColumn("edge", F.explode(F.array(*map(F.lit, ("l", "r", "t", "b")))))
-    s = F.col("i") / float(n - 1)
+    s = F.col("i") / float(last)
     u = F.when(F.col("edge") == "l", 0.0).when(F.col("edge") == "r", F.col("width") - 1.0).otherwise(s * (F.col("width") - 1.0))
     v = F.when(F.col("edge") == "t", 0.0).when(F.col("edge") == "b", F.col("height") - 1.0).otherwise(s * (F.col("height") - 1.0))
     xy = edges.withColumn("xy", lens.undistort_iterated((u - F.col("cx")) / F.col("fx"), (v - F.col("cy")) / F.col("fy"), iterations))
-    pick = lambda e, c: F.when(F.col("edge") == e, F.col(f"xy.{c}"))
-    inner = xy.groupBy("scene_id", "cam_idx").agg(F.max(pick("l", "x")).alias("x0"), F.min(pick("r", "x")).alias("x1"), F.max(pick("t", "y")).alias("y0"), F.min(pick("b", "y")).alias("y1"))
-    out = calib.join(inner, ["scene_id", "cam_idx"])
+    coarse = F.col("i") % refine == 0
+    on = lambda e, c, some=F.lit(True): F.when((F.col("edge") == e) & some, F.col(f"xy.{c}"))
+    all_ = lambda c: F.when(coarse, F.col(f"xy.{c}"))
+    inner = [f(on(e, c[0], coarse)).alias(c) for c, e, f in (("x0", "l", F.max), ("x1", "r", F.min), ("y0", "t", F.max), ("y1", "b", F.min))]
+    outer = [f(all_(c[1])).alias(c) for c, f in (("ox0", F.min), ("ox1", F.max), ("oy0", F.min), ("oy1", F.max))]
+    fine = [f(on(e, c[1])).alias(c) for c, e, f in (("rx0", "l", F.max), ("rx1", "r", F.min), ("ry0", "t", F.max), ("ry1", "b", F.min))]
+    out = calib.join(xy.groupBy("scene_id", "cam_idx").agg(*inner, *outer, *fine), ["scene_id", "cam_idx"])
     ok = (F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0"))
-    fx, fy = (F.col("width") - 1.0) / (F.col("x1") - F.col("x0")), (F.col("height") - 1.0) / (F.col("y1") - F.col("y0"))
-    return out.withColumns({"new_fx": F.when(ok, fx).otherwise(F.col("fx")), "new_fy": F.when(ok, fy).otherwise(F.col("fy")), "new_cx": F.when(ok, -fx * F.col("x0")).otherwise(F.col("cx")), "new_cy": F.when(ok, -fy * F.col("y0")).otherwise(F.col("cy")), "has_roi": ok, "roi_x": F.lit(0), "roi_y": F.lit(0), "roi_w": F.when(ok, F.col("width") - 1).otherwise(F.col("width")).cast("int"), "roi_h": F.when(ok, F.col("height") - 1).otherwise(F.col("height")).cast("int")}).drop("x0", "x1", "y0", "y1")
+    made = {}
+    for axis, size in (("x", "width"), ("y", "height")):
+        f_in, f_out = ((F.col(size) - 1.0) / (F.col(f"{o}{axis}1") - F.col(f"{o}{axis}0")) for o in ("", "o"))
+        made[f"new_f{axis}"] = F.when(ok, f_in * (1 - alpha) + f_out * alpha).otherwise(F.col(f"f{axis}"))
+        made[f"new_c{axis}"] = F.when(ok, -f_in * F.col(f"{axis}0") * (1 - alpha) - f_out * F.col(f"o{axis}0") * alpha).otherwise(F.col(f"c{axis}"))
+    out = out.withColumns(made)
+    near = 1e-6  # of a pixel
+    region = {}
+    for axis, size in (("x", "width"), ("y", "height")):
+        at = lambda k, a=axis: F.col(f"r{a}{k}") * F.col(f"new_f{a}") + F.col(f"new_c{a}")
+        first = F.greatest(F.ceil(at(0) - near), F.lit(0))
+        region[f"roi_{axis}"], region[f"roi_{size[0]}"] = first, F.least(F.floor(at(1) + near), F.col(size) - 1) - first + 1
+    some = ok & (region["roi_w"] > 0) & (region["roi_h"] > 0)
+    whole = {"roi_x": F.lit(0), "roi_y": F.lit(0), "roi_w": F.col("width"), "roi_h": F.col("height")}
+    out = out.withColumns({"has_roi": some} | {c: F.when(some, x).otherwise(whole[c]).cast("int") for c, x in region.items()})
+    return out.drop(*[f"{o}{axis}{k}" for o in ("", "o", "r") for axis in "xy" for k in "01"])
 
 
 def crop_intrinsics(calib: DataFrame) -> DataFrame:
