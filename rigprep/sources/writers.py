@@ -50,9 +50,14 @@ def format_ply(points: DataFrame) -> DataFrame:
     return head.unionByName(points.select("scene_id", F.col("point_id").alias("place"), F.concat_ws(" ", *[plain(F.col(c)) for c in ("x", "y", "z", "r", "g", "b")]).alias("line")))
 
 
-def write_lines(lines: DataFrame, path: str) -> None:
-    """Write (scene_id, place, line) as text, in a folder for each scene and in order within its files."""
-    lines.repartition("scene_id").sortWithinPartitions("scene_id", "place").select("scene_id", F.col("line").alias("value")).write.partitionBy("scene_id").text(path)
+def write_lines(lines: DataFrame, path: str, files: int | None = None) -> None:
+    """Write (scene_id, place, line) as text, in a folder for each scene.
+
+    Lines are dealt into sorted ranges (``files`` of them, or as many as Spark deems right), so a large scene is
+    many files by many tasks. Files are numbered by range: a scene's files in name order are its document.
+    """
+    ranges = lines.repartitionByRange(files, "scene_id", "place") if files else lines.repartitionByRange("scene_id", "place")
+    ranges.sortWithinPartitions("scene_id", "place").select("scene_id", F.col("line").alias("value")).write.partitionBy("scene_id").text(path)
 
 
 def assemble_transforms(cameras: DataFrame, images: DataFrame) -> DataFrame:
@@ -77,15 +82,38 @@ def assemble_camera_list(calib: DataFrame) -> DataFrame:
 
 
 def sensor_values(calib: DataFrame) -> DataFrame:
-    """K7: values of the exchange XML: principal point from the image centre, and the camera-to-world matrix as text."""
+    """K7: what the exchange document says of each camera: intrinsics with the principal point from the image centre, distortion, and the 16 numbers of the camera-to-world matrix."""
     posed = pose_matrix(calib.withColumns({"tx": F.col("px"), "ty": F.col("py"), "tz": F.col("pz")}), "rodrigues")
-    text = F.array_join(F.transform("c2w", lambda x: F.format_string("%.6f", F.round(x, 6) + 0.0)), " ")
-    return posed.select("scene_id", F.col("cam_idx").alias("_id"), F.col("img_name").alias("_label"), "width", "height", "f", (F.col("cx") - F.col("width") / 2.0).alias("cx"), (F.col("cy") - F.col("height") / 2.0).alias("cy"), text.alias("transform"))
+    matrix = F.transform("c2w", lambda x: x + 0.0)
+    return posed.select("scene_id", "cam_idx", "width", "height", "f", (F.col("cx") - F.col("width") / 2.0).alias("cx"), (F.col("cy") - F.col("height") / 2.0).alias("cy"), "k1", "k2", "k3", "p1", "p2", matrix.alias("transform"))
+
+
+def exchange_documents(calib: DataFrame, document: str = "2.0.0", chunk: str = "Chunk 1") -> DataFrame:
+    """K7: ``(scene_id, xml)``: one photogrammetry exchange document for each scene.
+
+    A chunk has a sensor for each camera (resolution, adjusted calibration) and a camera that refers to its
+    sensor and carries its transform. Ids count the scene's cameras from 0, labels from 1, in the order of cam_idx. A rig's
+    cameras are one row: their number is that of real devices, as the document itself assumes.
+    """
+    size = F.struct(plain(F.col("width")).alias("_width"), plain(F.col("height")).alias("_height"))
+    row = F.struct("cam_idx", size.alias("resolution"), *("f", "cx", "cy", "k1", "k2", "k3", "p1", "p2"), F.array_join(F.transform("transform", plain), " ").alias("transform"))
+    rigs = sensor_values(calib).groupBy("scene_id").agg(F.sort_array(F.collect_list(row)).alias("c"))
+
+    def sensor(x: Column, i: Column) -> Column:
+        adjusted = F.struct(F.lit("adjusted").alias("_class"), F.lit("frame").alias("_type"), x["resolution"].alias("resolution"), *[x[c].alias(c) for c in ("f", "cx", "cy", "k1", "k2", "k3", "p1", "p2")])
+        return F.struct(i.alias("_id"), F.format_string("sensor_%03d", i + 1).alias("_label"), F.lit("frame").alias("_type"), x["resolution"].alias("resolution"), adjusted.alias("calibration"))
+
+    def camera(x: Column, i: Column) -> Column:
+        return F.struct(i.alias("_id"), F.format_string("%03d", i + 1).alias("_label"), i.alias("_sensor_id"), x["transform"].alias("transform"))
+
+    n = F.size("c").alias("_next_id")
+    body = F.struct(F.lit(chunk).alias("_label"), F.lit("true").alias("_enabled"), F.struct(n, F.transform("c", sensor).alias("sensor")).alias("sensors"), F.struct(n, F.transform("c", camera).alias("camera")).alias("cameras"))
+    return rigs.select("scene_id", F.to_xml(F.struct(F.lit(document).alias("_version"), body.alias("chunk")), {"rowTag": "document"}).alias("xml"))
 
 
-def write_sensor_xml(calib: DataFrame, path: str) -> None:
-    """K7: one sensor element for each camera; columns that begin with _ become attributes."""
-    sensor_values(calib).write.format("xml").option("rootTag", "sensors").option("rowTag", "sensor").save(path)
+def write_exchange(calib: DataFrame, path: str) -> None:
+    """K7: a folder for each scene with its document."""
+    exchange_documents(calib).select("scene_id", F.col("xml").alias("value")).write.partitionBy("scene_id").text(path)
 
 
 def format_pairs(pairs: DataFrame) -> DataFrame:
