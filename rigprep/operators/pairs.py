@@ -1,18 +1,12 @@
-"""Image pairs, matches and keypoint geometry (M1-M9)."""
+"""Image pairs, matches and keypoint geometry (M1-M4, M6-M9)."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigprep.functions import rotation as rot
 
-#: Matcher presets.
-PRESETS = {"NN-mutual": {"ratio": None, "distance": None}, "NN-ratio": {"ratio": 0.8, "distance": None}, "NN-superpoint": {"ratio": None, "distance": 0.7}}
 PAIR = ["scene_id", "image0", "image1"]
 
 
@@ -38,71 +32,6 @@ def pending_images(images: DataFrame, features: DataFrame, overwrite: bool = Fal
     return images if overwrite else images.join(features.select("scene_id", F.col("image").alias("name")).distinct(), ["scene_id", "name"], "left_anti")
 
 
-def mutual_nearest(d0: np.ndarray, d1: np.ndarray, ratio: float | None, distance: float | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(kp0, kp1, score) of mutual nearest descriptors (rows); ties go to the lower index."""
-    none = np.empty(0, dtype=np.int64)
-    if not len(d0) or not len(d1):
-        return none, none, none.astype(float)
-    sim = d0 @ d1.T
-
-    def nearest(s: np.ndarray) -> np.ndarray:
-        best = s.argmax(axis=1)
-        top = s[np.arange(len(s)), best]
-        ok = np.ones(len(s), dtype=bool)
-        if ratio is not None and min(sim.shape) > 1:
-            second = np.partition(s, -2, axis=1)[:, -2]
-            ok &= 2 * (1 - top) <= ratio**2 * 2 * (1 - second)
-        if distance is not None:
-            ok &= 2 * (1 - top) <= distance**2
-        return np.where(ok, best, -1)
-
-    a, b = nearest(sim), nearest(sim.T)
-    i = np.flatnonzero((a >= 0) & (b[np.maximum(a, 0)] == np.arange(len(a))))
-    return i, a[i], (sim[i, a[i]] + 1) / 2
-
-
-def match_descriptors(pairs: DataFrame, features: DataFrame, preset: str = "NN-mutual") -> DataFrame:
-    """M5: matches (kp0, kp1, score) of each pair by mutual nearest descriptors.
-
-    Descriptors are packed once for each image, so a shuffle carries an image and not its rows;
-    each pair is one matrix product. Images without keypoints give no rows.
-    """
-    opt = PRESETS[preset]
-    packed = features.groupBy("scene_id", "image").agg(F.array_sort(F.collect_list(F.struct("kp_idx", F.col("descriptor").cast("array<double>").alias("descriptor")))).alias("f"))
-    packed = packed.select("scene_id", "image", F.transform("f", lambda x: x["kp_idx"]).alias("kp"), F.flatten(F.transform("f", lambda x: x["descriptor"])).alias("d"))
-    both = pairs.select(*PAIR)
-    for k in ("0", "1"):
-        both = both.join(packed.toDF("scene_id", f"image{k}", f"kp_{k}", f"d_{k}"), ["scene_id", f"image{k}"])
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for x in batches:
-            for row in x.itertuples(index=False):
-                ids = [np.asarray(row.kp_0), np.asarray(row.kp_1)]
-                d = [np.asarray(v, dtype=float).reshape(len(k), -1) for v, k in zip((row.d_0, row.d_1), ids, strict=True)]
-                a, b, score = mutual_nearest(*d, opt["ratio"], opt["distance"])
-                yield pd.DataFrame({"scene_id": row.scene_id, "image0": row.image0, "image1": row.image1, "kp0": ids[0][a].astype("int32"), "kp1": ids[1][b].astype("int32"), "score": score})
-
-    return both.mapInPandas(run, "scene_id string, image0 string, image1 string, kp0 int, kp1 int, score double")
-
-
-def match_descriptors_declarative(pairs: DataFrame, features: DataFrame, preset: str = "NN-mutual") -> DataFrame:
-    """M5 with joins and windows only, for small scenes and as a cross-check of the packed form."""
-    opt = PRESETS[preset]
-    side = lambda k: features.select("scene_id", F.col("image").alias(f"image{k}"), F.col("kp_idx").alias(f"kp{k}"), F.col("descriptor").cast("array<double>").alias(f"d{k}"))
-    s = pairs.select(*PAIR).join(side(0), ["scene_id", "image0"]).join(side(1), ["scene_id", "image1"])
-    s = s.withColumn("sim", F.aggregate(F.zip_with("d0", "d1", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)).drop("d0", "d1")
-
-    def nearest(own: str, other: str):
-        w = Window.partitionBy(*PAIR, own).orderBy(F.desc("sim"), other)
-        t = s.withColumn("rank", F.row_number().over(w)).where("rank <= 2").groupBy(*PAIR, own).agg(F.max(F.when(F.col("rank") == 1, F.struct(F.col(other), F.col("sim")))).alias("one"), F.max(F.when(F.col("rank") == 2, F.col("sim"))).alias("second"))
-        t = t.select(*PAIR, own, F.col(f"one.{other}").alias(other), F.col("one.sim").alias("sim"), "second")
-        if opt["ratio"] is not None:
-            t = t.where(F.col("second").isNull() | (2 * (1 - F.col("sim")) <= opt["ratio"] ** 2 * 2 * (1 - F.col("second"))))
-        return t if opt["distance"] is None else t.where(2 * (1 - F.col("sim")) <= opt["distance"] ** 2)
-
-    return nearest("kp0", "kp1").join(nearest("kp1", "kp0").select(*PAIR, "kp0", "kp1"), [*PAIR, "kp0", "kp1"]).select(*PAIR, "kp0", "kp1", ((F.col("sim") + 1) / 2).alias("score"))
-
-
 def sparse_matches(dense: DataFrame, pairs: DataFrame) -> DataFrame:
     """M6: matches of the wanted pairs from dense rows (kp1 = -1: none), in either orientation."""
     flipped = dense.select("scene_id", F.col("image1").alias("image0"), F.col("image0").alias("image1"), F.col("kp1").alias("kp0"), F.col("kp0").alias("kp1"), "score")
@@ -114,11 +43,12 @@ def filter_matches(matches: DataFrame, min_score: float) -> DataFrame:
     return matches.where(F.col("score") > min_score)
 
 
-def rescale_keypoints(features: DataFrame, images: DataFrame, resize_max: int, force: bool = False) -> DataFrame:
-    """M8: keypoints of resized images at full size (ox, oy), with the model's origin (mx, my).
+def rescale_keypoints(features: DataFrame, images: DataFrame, resize_max: int, force: bool = False, detection_noise: float = 1.0) -> DataFrame:
+    """M8: keypoints of resized images at full size (ox, oy), with the model's origin (mx, my) and the uncertainty of their places.
 
     images: scene_id, image, width, height. Images are resized so that the longer side is
-    resize_max, if it is longer or if forced; sizes are rounded half to even.
+    resize_max, if it is longer or if forced; sizes are rounded half to even. ``detection_noise`` is a keypoint's
+    uncertainty in the resized image, in pixels.
     """
     longest = F.greatest("width", "height")
     resized = F.lit(force) | (longest > resize_max)
@@ -126,7 +56,7 @@ def rescale_keypoints(features: DataFrame, images: DataFrame, resize_max: int, f
     j = features.join(images.select("scene_id", "image", "width", "height"), ["scene_id", "image"])
     sx, sy = F.col("width") / new["width"], F.col("height") / new["height"]
     ox, oy = (F.col("x") + 0.5) * sx - 0.5, (F.col("y") + 0.5) * sy - 0.5
-    return j.withColumns({"scale": (sx + sy) / 2, "ox": ox, "oy": oy, "mx": ox + 0.5, "my": oy + 0.5})
+    return j.withColumns({"scale": (sx + sy) / 2, "uncertainty": detection_noise * (sx + sy) / 2, "ox": ox, "oy": oy, "mx": ox + 0.5, "my": oy + 0.5})
 
 
 def epipolar_errors(matches: DataFrame, points: DataFrame, poses: DataFrame) -> DataFrame:

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rigprep.operators import alignment, calib, distortion, pairs, stats, tracks
-from rigprep.plans.queries import CAL, FRAMES, INV, UNDIST, _dist, cal, frames, query, r6, whole
+from rigprep.operators import alignment, calib, distortion, matching, pairs, poses, stats, tracks
+from rigprep.plans.queries import CAL, FRAMES, INV, UNDIST, WHOLE, _dist, cal, frames, query, r6, whole
 from rigprep.sources import readers, writers
 
 # --- distortion -----------------------------------------------------------------------------
@@ -88,6 +88,20 @@ def _(t):
     return distortion.bind_frames(t("fx_frames"), t("fx_calib").where("cam_idx % 4 <> 1"))[0]
 
 
+@query("d5_unused_cameras", "SELECT scene_id, cam_idx AS cam_num FROM {fx_calib} c WHERE NOT EXISTS (SELECT 1 FROM {fx_frames} f WHERE f.scene_id = c.scene_id AND f.cam_num = c.cam_idx AND f.cam_num % 5 <> 2)")
+def _(t):
+    return distortion.bind_frames(t("fx_frames").where("cam_num % 5 <> 2"), t("fx_calib"))[1]
+
+
+@query("d4_crop_pixels", """SELECT scene_id, cam_idx, CAST(u - cam_idx % 5 AS INT) AS u, CAST(v - 2 AS INT) AS v, value FROM {fx_pixels_all} WHERE cam_idx % 6 <> 0 AND u >= cam_idx % 5 AND v >= 2 AND u < cam_idx % 5 + 40 - cam_idx AND v < 32
+    UNION ALL SELECT scene_id, cam_idx, u, v, value FROM {fx_pixels_all} WHERE cam_idx % 6 = 0""")
+def _(t):
+    """Regions of other places and sizes; every sixth camera has an empty one."""
+    wide = F.when(F.col("cam_idx") % 6 == 0, 0).otherwise(40 - F.col("cam_idx"))
+    regions = t("fx_calib").withColumns({"roi_x": F.col("cam_idx") % 5, "roi_y": F.lit(2), "roi_w": wide, "roi_h": F.lit(30)})
+    return distortion.crop_pixels(t("fx_pixels_all"), regions).select("scene_id", "cam_idx", F.col("u").cast("int").alias("u"), F.col("v").cast("int").alias("v"), "value")
+
+
 # --- sources --------------------------------------------------------------------------------
 
 
@@ -97,6 +111,14 @@ def joined(df: DataFrame, line, order: str) -> DataFrame:
     return rows.groupBy("scene_id").agg(F.array_join(F.transform(F.sort_array(F.collect_list("s")), lambda x: x["l"]), "\n").alias("content"))
 
 
+def s1_file_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of the tables themselves; SQL has no listing."""
+    return readers.file_catalog(spark, sf_dir, ("parquet",)).select("name", "length", "place")
+
+
+WHOLE["s1_file_catalog"] = s1_file_catalog
+
+
 @query("s2_flatten_calibration", "SELECT scene_id, CAST(row_number() OVER (PARTITION BY scene_id ORDER BY cam_idx) - 1 AS INT) AS cam_idx, width, height, f, ar, cx, k1, rx, px FROM {fx_calib}")
 def _(t):
     val = lambda c: F.struct(F.col(c).alias("val")).alias(c)
@@ -234,15 +256,65 @@ def _(t):
     return out.select("scene_id", "fx", "cy", F.size("frames").cast("long").alias("n"), (F.round(total, 4) + 0.0).alias("sum_x"))
 
 
+ROD = """(SELECT *, CASE WHEN th < 1e-10 THEN 0e0 ELSE rx / th END AS kx, CASE WHEN th < 1e-10 THEN 0e0 ELSE ry / th END AS ky, CASE WHEN th < 1e-10 THEN 0e0 ELSE rz / th END AS kz, cos(th) AS c, sin(th) AS s, 1 - cos(th) AS v
+    FROM (SELECT *, sqrt(rx * rx + ry * ry + rz * rz) AS th FROM {fx_calib}))"""
+# The transposed rotation and the centre -R'p, row by row.
+C2W = """(SELECT *, [a, d, g, -(a * px + d * py + g * pz), b, e, h, -(b * px + e * py + h * pz), cc, ff, i, -(cc * px + ff * py + i * pz), 0, 0, 0, 1] AS m FROM (SELECT *, c + kx * kx * v AS a, kx * ky * v - kz * s AS b, kx * kz * v + ky * s AS cc, ky * kx * v + kz * s AS d, c + ky * ky * v AS e,
+    ky * kz * v - kx * s AS ff, kz * kx * v - ky * s AS g, kz * ky * v + kx * s AS h, c + kz * kz * v AS i FROM {rod}))""".replace("{rod}", ROD)
+
+
+@query("k5_transforms_of_camera_1", f"""SELECT i.scene_id, b.f AS fx, b.f * b.ar AS fy, b.cx AS cx, b.cy AS cy, count(*) AS n, round(sum(c.f), 4) AS own_fx, round(sum(ix), 4) + 0e0 AS sum_x
+    FROM {INV} i JOIN {{fx_calib}} b ON b.scene_id = i.scene_id AND b.cam_idx = 0 JOIN {{fx_calib}} c ON c.scene_id = i.scene_id AND c.cam_idx + 1 = i.camera_id GROUP BY ALL""")
+def _(t):
+    cams = cal(t).select("scene_id", (F.col("cam_idx") + 1).alias("camera_id"), "fx", "fy", "cx", "cy")
+    out = writers.assemble_transforms(cams, t("fx_model_images"))
+    total = lambda f: F.aggregate("frames", F.lit(0.0), lambda a, x: a + f(x))
+    return out.select("scene_id", "fx", "fy", "cx", "cy", F.size("frames").cast("long").alias("n"), F.round(total(lambda x: x["fx"]), 4).alias("own_fx"), (F.round(total(lambda x: x["transform_matrix"][0][3]), 4) + 0.0).alias("sum_x"))
+
+
+@query("r2_rodrigues_to_world", f"SELECT scene_id, cam_idx, round(m[4], 6) + 0e0 AS out_px, round(m[8], 6) + 0e0 AS out_py, round(m[12], 6) + 0e0 AS out_pz, round(-m[9], 6) + 0e0 AS sin_ry, TRUE AS valid FROM {C2W}")
+def _(t):
+    posed = t("fx_calib").withColumns({"tx": F.col("px"), "ty": F.col("py"), "tz": F.col("pz")})
+    out = poses.to_camera_to_world(posed, "rodrigues", "w2c").withColumn("sin_ry", F.sin("out_ry"))
+    return r6(out.select("scene_id", "cam_idx", "out_px", "out_py", "out_pz", "sin_ry", "valid"), "out_px", "out_py", "out_pz", "sin_ry")
+
+
+@query("r2_euler_to_world", "SELECT scene_id, cam_idx, round(px, 6) + 0e0 AS out_px, round(rx, 6) + 0e0 AS out_rx, round(ry, 6) + 0e0 AS out_ry, round(rz, 6) + 0e0 AS out_rz, TRUE AS valid FROM {fx_calib}")
+def _(t):
+    """Angles of Rz Ry Rx from camera to world come back as they are, as |ry| is under a right angle."""
+    posed = t("fx_calib").withColumns({"tx": F.col("px"), "ty": F.col("py"), "tz": F.col("pz")})
+    out = poses.to_camera_to_world(posed, "euler_zyx", "c2w").select("scene_id", "cam_idx", "out_px", "out_rx", "out_ry", "out_rz", "valid")
+    return r6(out, "out_px", "out_rx", "out_ry", "out_rz")
+
+
 @query("k6_camera_list", f"SELECT scene_id, count(*) AS n, min_by(img_name, cam_idx) AS first_name, round(sum(fx), 4) AS sum_fx FROM {CAL} GROUP BY scene_id")
 def _(t):
     c = writers.assemble_camera_list(cal(t))
     return c.select("scene_id", F.size("cameras").cast("long").alias("n"), F.get("cameras", F.lit(0))["img_name"].alias("first_name"), F.round(F.aggregate("cameras", F.lit(0.0), lambda a, x: a + x["fx"]), 4).alias("sum_fx"))
 
 
-@query("k7_sensor_values", "SELECT scene_id, cam_idx AS _id, img_name AS _label, f, cx - width / 2e0 AS cx, cy - height / 2e0 AS cy FROM {fx_calib}")
+@query("k7_sensor_values", f"SELECT scene_id, cam_idx, f, cx - width / 2e0 AS cx, cy - height / 2e0 AS cy, k1, k2, k3, p1, p2, CAST(n AS INT) AS n, round(m[n], 6) + 0e0 AS value FROM {C2W}, range(1, 17) r(n)")
 def _(t):
-    return writers.sensor_values(t("fx_calib")).select("scene_id", "_id", "_label", "f", "cx", "cy")
+    """Intrinsics, distortion, and each number of the matrix."""
+    v = writers.sensor_values(t("fx_calib")).select("scene_id", "cam_idx", "f", "cx", "cy", "k1", "k2", "k3", "p1", "p2", F.posexplode("transform").alias("n", "value"))
+    return r6(v.withColumn("n", F.col("n") + 1), "value")
+
+
+XML_SENSOR = "struct<_id:int,_label:string,calibration:struct<_class:string,resolution:struct<_width:int,_height:int>,f:double,cx:double,cy:double,k1:double,k2:double,k3:double,p1:double,p2:double>>"
+XML = f"_version string, chunk struct<sensors:struct<_next_id:int,sensor:array<{XML_SENSOR}>>,cameras:struct<_next_id:int,camera:array<struct<_id:int,_sensor_id:int,_label:string,transform:string>>>>"
+
+
+@query("k7_exchange_documents", f"""SELECT scene_id, CAST(row_number() OVER w - 1 AS INT) AS id, 'sensor_' || lpad((row_number() OVER w)::VARCHAR, 3, '0') AS label, CAST(count(*) OVER (PARTITION BY scene_id) AS INT) AS next_id, width, height, f, cy - height / 2e0 AS cy, k1, k2, p1, lpad((row_number() OVER w)::VARCHAR, 3, '0') AS camera, round(m[4], 6) + 0e0 AS tx, round(m[8], 6) + 0e0 AS ty
+    FROM {C2W} WINDOW w AS (PARTITION BY scene_id ORDER BY cam_idx)""")
+def _(t):
+    """Documents are written, read back as XML, and each camera meets its sensor."""
+    doc = writers.exchange_documents(t("fx_calib")).select("scene_id", F.from_xml("xml", XML, {"rowTag": "document"}).alias("d"))
+    sensors = doc.select("scene_id", F.col("d.chunk.sensors._next_id").alias("next_id"), F.explode("d.chunk.sensors.sensor").alias("s"), F.col("d.chunk.cameras.camera").alias("cameras"))
+    cam = sensors.withColumn("c", F.element_at(F.filter("cameras", lambda x: x["_sensor_id"] == F.col("s._id")), 1))
+    at = lambda i: F.split("c.transform", " ")[i].cast("double")
+    size = "s.calibration.resolution"
+    out = cam.select("scene_id", F.col("s._id").alias("id"), F.col("s._label").alias("label"), "next_id", F.col(f"{size}._width").alias("width"), F.col(f"{size}._height").alias("height"), *[F.col(f"s.calibration.{c}").alias(c) for c in ("f", "cy", "k1", "k2", "p1")], F.col("c._label").alias("camera"), at(3).alias("tx"), at(7).alias("ty"))
+    return r6(out, "tx", "ty")
 
 
 @query("k8_format_pairs", f"SELECT scene_id, image0 || ' ' || image1 AS line FROM {PAIRS}")
@@ -291,16 +363,41 @@ def feature_pairs(t) -> DataFrame:
 @query("m5_match_descriptors", f"""WITH s AS MATERIALIZED (SELECT * FROM {SIM}) SELECT 's000' AS scene_id, a.image0, a.image1, a.kp0, a.kp1, round((a.sim + 1) / 2, 6) AS score FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY image0, image1, kp0 ORDER BY sim DESC, kp1) = 1) a
     JOIN (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY image0, image1, kp1 ORDER BY sim DESC, kp0) = 1) b USING (image0, image1, kp0, kp1)""")
 def _(t):
-    return r6(pairs.match_descriptors(feature_pairs(t), t("fx_features")), "score")
+    return r6(matching.match_descriptors(feature_pairs(t), t("fx_features")), "score")
+
 
+# The first image's descriptors, with more and more of the image's own in them.
+TWINS = """(SELECT scene_id, image, kp_idx, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS descriptor FROM (
+    SELECT a.scene_id, a.image, a.kp_idx, list_transform(list_zip(a.descriptor::DOUBLE[], b.descriptor::DOUBLE[]), lambda p: p[1] * ((a.kp_idx % 7) / 5e0) + p[2]) AS v
+    FROM {fx_features} a JOIN {fx_features} b ON b.image = 'cam000frame001.png' AND b.kp_idx = a.kp_idx))"""
 
-@query("m5_match_ratio", f"""WITH s AS MATERIALIZED (SELECT * FROM {SIM}),
+
+def twins(t) -> DataFrame:
+    f = t("fx_features").withColumn("descriptor", F.col("descriptor").cast("array<double>"))
+    first = f.where("image = 'cam000frame001.png'").select("scene_id", "kp_idx", F.col("descriptor").alias("base"))
+    v = F.zip_with("descriptor", "base", lambda a, b: a * ((F.col("kp_idx") % 7) / 5.0) + b)
+    mixed = f.join(first, ["scene_id", "kp_idx"]).withColumn("v", v)
+    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
+    return mixed.select("scene_id", "image", "kp_idx", F.transform("v", lambda x: x / norm).alias("descriptor"))
+
+
+def twin_sql(test: str) -> str:
+    """Mutual nearest twins that pass a test of their similarity and the second one."""
+    return f"""WITH f AS MATERIALIZED (SELECT * FROM {TWINS}), s AS MATERIALIZED (SELECT a.image AS image0, b.image AS image1, a.kp_idx AS kp0, b.kp_idx AS kp1, list_inner_product(a.descriptor, b.descriptor) AS sim FROM f a JOIN f b ON a.image < b.image),
     a AS (SELECT *, lead(sim) OVER w AS second, row_number() OVER w AS k FROM s WINDOW w AS (PARTITION BY image0, image1, kp0 ORDER BY sim DESC, kp1)),
     b AS (SELECT *, lead(sim) OVER w AS second, row_number() OVER w AS k FROM s WINDOW w AS (PARTITION BY image0, image1, kp1 ORDER BY sim DESC, kp0))
-    SELECT 's000' AS scene_id, a.image0, a.image1, a.kp0, a.kp1 FROM a JOIN b USING (image0, image1, kp0, kp1) WHERE a.k = 1 AND b.k = 1
-    AND 2 * (1 - a.sim) <= 0.64::DOUBLE * 2 * (1 - a.second) AND 2 * (1 - b.sim) <= 0.64::DOUBLE * 2 * (1 - b.second)""")
+    SELECT 's000' AS scene_id, a.image0, a.image1, a.kp0, a.kp1, round((a.sim + 1) / 2, 6) AS score FROM a JOIN b USING (image0, image1, kp0, kp1) WHERE a.k = 1 AND b.k = 1 AND {test.format('a')} AND {test.format('b')}"""
+
+
+@query("m5_match_ratio", twin_sql("2 * (1 - {0}.sim) <= 0.64::DOUBLE * 2 * (1 - {0}.second)"))
 def _(t):
-    return pairs.match_descriptors_declarative(feature_pairs(t), t("fx_features"), "NN-ratio").drop("score")
+    """Blocks are small, so that every image spans several and strips are many."""
+    return r6(matching.match_descriptors(feature_pairs(t), twins(t), "NN-ratio", block_keypoints=16, strip_bytes=1 << 16), "score")
+
+
+@query("m5_match_distance", twin_sql("2 * (1 - {0}.sim) <= 0.49::DOUBLE"))
+def _(t):
+    return r6(matching.match_descriptors(feature_pairs(t), twins(t), "NN-superpoint"), "score")
 
 
 def dense(t) -> DataFrame:
@@ -318,10 +415,10 @@ def _(t):
     return pairs.filter_matches(dense(t).where("kp1 >= 0"), 0.5)
 
 
-@query("m8_rescale_keypoints", "SELECT scene_id, image, kp_idx, round(3.6::DOUBLE, 6) AS scale, round((x + 0.5::DOUBLE) * 3.6::DOUBLE - 0.5::DOUBLE, 6) AS ox, round((y + 0.5::DOUBLE) * 3.6::DOUBLE, 6) AS my FROM {fx_features}")
+@query("m8_rescale_keypoints", "SELECT scene_id, image, kp_idx, round(3.6::DOUBLE, 6) AS scale, round((x + 0.5::DOUBLE) * 3.6::DOUBLE - 0.5::DOUBLE, 6) AS ox, round((y + 0.5::DOUBLE) * 3.6::DOUBLE, 6) AS my, round(3.6::DOUBLE * 0.5, 6) AS uncertainty FROM {fx_features}")
 def _(t):
     sizes = t("fx_features").select("scene_id", "image").distinct().withColumns({"width": F.lit(5760), "height": F.lit(3240)})
-    return r6(pairs.rescale_keypoints(t("fx_features"), sizes, 1600).select("scene_id", "image", "kp_idx", "scale", "ox", "my"), "scale", "ox", "my")
+    return r6(pairs.rescale_keypoints(t("fx_features"), sizes, 1600, detection_noise=0.5).select("scene_id", "image", "kp_idx", "scale", "ox", "my", "uncertainty"), "scale", "ox", "my", "uncertainty")
 
 
 SIDEWAYS = "(SELECT image, kp_idx, (x - 2880) / 7000e0 AS x, (y - 1620) / 7000e0 AS y FROM {fx_features})"
@@ -338,31 +435,49 @@ def _(t):
     return r6(pairs.epipolar_errors(m, f, poses), "err0", "err1")
 
 
-@query("m10_build_tracks", """WITH n AS (SELECT scene_id, image_id, name, unnest(range(0, 20)) AS k FROM {fx_model_images}), g AS (SELECT *, image_id - row_number() OVER (PARTITION BY scene_id, k ORDER BY image_id) AS run FROM n WHERE k % 4 <> 0)
-    SELECT scene_id, name AS image, CAST(k AS INT) AS kp_idx, scene_id || '|' || min(name) OVER (PARTITION BY scene_id, k, run) || '|' || lpad(k::VARCHAR, 8, '0') AS track, FALSE AS conflict FROM g QUALIFY count(*) OVER (PARTITION BY scene_id, k, run) > 1""")
-def _(t):
+def chained(t) -> DataFrame:
+    """Keypoints of an image matched with those of the next."""
     i = t("fx_model_images").select("scene_id", "image_id", "name")
     nxt = i.select("scene_id", (F.col("image_id") - 1).alias("image_id"), F.col("name").alias("image1"))
     k = F.explode(F.sequence(F.lit(0), F.lit(19)))
-    m = i.join(nxt, ["scene_id", "image_id"]).select("scene_id", F.col("name").alias("image0"), "image1", k.alias("kp0")).where("kp0 % 4 <> 0").withColumn("kp1", F.col("kp0"))
-    return tracks.build_tracks(m)
+    return i.join(nxt, ["scene_id", "image_id"]).select("scene_id", F.col("name").alias("image0"), "image1", k.alias("kp0")).where("kp0 % 4 <> 0").withColumn("kp1", F.col("kp0"))
+
+
+@query("m10_build_tracks", """WITH n AS (SELECT scene_id, image_id, name, unnest(range(0, 20)) AS k FROM {fx_model_images}), g AS (SELECT *, image_id - row_number() OVER (PARTITION BY scene_id, k ORDER BY image_id) AS run FROM n WHERE k % 4 <> 0)
+    SELECT scene_id, name AS image, CAST(k AS INT) AS kp_idx, scene_id || '|' || min(name) OVER (PARTITION BY scene_id, k, run) || '|' || lpad(k::VARCHAR, 8, '0') AS track, FALSE AS conflict FROM g QUALIFY count(*) OVER (PARTITION BY scene_id, k, run) > 1""")
+def _(t):
+    return tracks.build_tracks(chained(t))
 
 
-@query("m11_triangulate", """SELECT point_id AS track, round(x / 10, 7) + 0e0 AS x, round(y / 10, 7) + 0e0 AS y, round(4 + z, 7) + 0e0 AS z, CAST(track_len AS BIGINT) AS views FROM {fx_points3d} WHERE frame_id = 2 AND scene_id = 's001' QUALIFY count(*) OVER (PARTITION BY point_id) = 1""")
+@query("m10_conflicting_tracks", """WITH n AS (SELECT scene_id, image_id, name, unnest(range(0, 20)) AS k FROM {fx_model_images}), g AS (SELECT *, CASE k WHEN 6 THEN 5 ELSE k END AS kk, image_id - dense_rank() OVER (PARTITION BY scene_id ORDER BY image_id) AS run FROM n WHERE k % 4 <> 0)
+    SELECT scene_id, name AS image, CAST(k AS INT) AS kp_idx, scene_id || '|' || min(name) OVER (PARTITION BY scene_id, kk, run) || '|' || lpad(kk::VARCHAR, 8, '0') AS track, kk = 5 AS conflict FROM g QUALIFY count(*) OVER (PARTITION BY scene_id, k, run) > 1""")
+def _(t):
+    """Keypoints 5 and 6 of neighbouring images are matched too, so their tracks are one that has both in every image."""
+    m = chained(t)
+    return tracks.build_tracks(m.unionByName(m.where("kp0 = 5").withColumn("kp1", F.lit(6))))
+
+
+CENTRES = "(SELECT point_id, x / 10 AS x, y / 10 AS y, 4 + z AS z, track_len, unnest(range(0, track_len)) AS c FROM (SELECT * FROM {fx_points3d} WHERE frame_id = 2 AND scene_id = 's001' QUALIFY count(*) OVER (PARTITION BY point_id) = 1))"
+
+
+@query("m11_triangulate", f"""WITH r AS MATERIALIZED (SELECT *, (x - c) / sqrt((x - c) * (x - c) + y * y + z * z) AS dx, y / sqrt((x - c) * (x - c) + y * y + z * z) AS dy, z / sqrt((x - c) * (x - c) + y * y + z * z) AS dz FROM {CENTRES})
+    SELECT a.point_id AS track, round(any_value(a.x), 6) + 0e0 AS x, round(any_value(a.y), 6) + 0e0 AS y, round(any_value(a.z), 6) + 0e0 AS z, CAST(any_value(a.track_len) AS BIGINT) AS views, 0e0 AS error,
+           round(degrees(2 * asin(sqrt(max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz))) / 2)), 5) + 0e0 AS angle
+    FROM r a JOIN r b ON a.point_id = b.point_id GROUP BY a.point_id HAVING max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz)) >= pow(2 * sin(radians(0.5)), 2)""")
 def _(t):
     p = t("fx_points3d").where("frame_id = 2 and scene_id = 's001'")
     single = p.groupBy("point_id").count().where("count = 1").select("point_id")
-    out = triangulated(p.join(single, "point_id").withColumn("track", F.col("point_id")))
-    return out.select("track", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
+    out = triangulated(p.join(single, "point_id").withColumn("track", F.col("point_id")), 1.0)
+    return out.select("track", *[(F.round(c, 6) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"), (F.round("error", 2) + 0.0).alias("error"), (F.round("angle", 5) + 0.0).alias("angle"))
 
 
-def triangulated(p: DataFrame) -> DataFrame:
+def triangulated(p: DataFrame, min_angle: float = 0.0) -> DataFrame:
     """Points with a key ``track``, seen along rays from their cameras and triangulated again."""
     p = p.select("track", (F.col("x") / 10).alias("X"), (F.col("y") / 10).alias("Y"), (F.col("z") + 4).alias("Z"), F.explode(F.sequence(F.lit(0), F.col("track_len") - 1)).alias("c"))
     d = [F.col("X") - F.col("c"), F.col("Y"), F.col("Z")]
     n = F.sqrt(d[0] * d[0] + d[1] * d[1] + d[2] * d[2])
     rays = p.select("track", F.col("c").cast("double").alias("cx"), F.lit(0.0).alias("cy"), F.lit(0.0).alias("cz"), *[(x / n).alias(c) for x, c in zip(d, ("dx", "dy", "dz"), strict=True)], F.lit(1000.0).alias("f"))
-    return tracks.triangulate_tracks(rays, min_angle=0.0)
+    return tracks.triangulate_tracks(rays, min_angle=min_angle)
 
 
 @whole("m11_triangulate_all")
@@ -474,6 +589,18 @@ def _(t):
     return alignment.align_names(ref.withColumn("name", F.concat(F.lit("x"), "name")), ref)
 
 
+VARIANTS = """(SELECT scene_id || '/' || k AS scene_id, k, image_id, name, CASE k WHEN 2 THEN 'x' || name WHEN 3 THEN replace(name, 'cam', 'c_') ELSE name END AS src FROM {fx_model_images}, range(0, 4) r(k))"""
+
+
+@query("a3_align_policies", f"""SELECT scene_id, src AS src_name, name AS ref_name, ['same', '', 'camera', 'rank'][k + 1] AS policy FROM {VARIANTS} WHERE k <> 1
+    UNION ALL SELECT DISTINCT scene_id, NULL, NULL, 'error' FROM {VARIANTS} WHERE k = 1""")
+def _(t):
+    """Four variants of each scene: equal names, a name too few, other names with the same cameras, names without cameras."""
+    v = t("fx_model_images").withColumn("k", F.explode(F.array(*map(F.lit, range(4))))).withColumn("scene_id", F.concat_ws("/", "scene_id", F.col("k").cast("string")))
+    src = F.when(F.col("k") == 2, F.concat(F.lit("x"), "name")).when(F.col("k") == 3, F.regexp_replace("name", "cam", "c_")).otherwise(F.col("name"))
+    return alignment.align_names(v.withColumn("name", src), v.where("k <> 1 or image_id <> 1"))
+
+
 @query("a4_rename_images", "SELECT scene_id, image_id, CASE WHEN image_id % 2 = 0 THEN 'new_' || name ELSE name END AS name, image_id % 2 = 0 AS replaced FROM {fx_model_images}")
 def _(t):
     i = t("fx_model_images")

@@ -150,6 +150,12 @@ def _(t):
     return sampling.expand_selectors(requests(t))[0].select("scene_id", "frame_id")
 
 
+@query("p6_rejected_selectors", """SELECT scene_id, spec FROM (SELECT DISTINCT scene_id FROM {fx_videos}), (VALUES ('5:1'), ('x'), ('2 0'), ('4-2 7'), ('1-3:2'), ('1:9:0')) v(spec)""")
+def _(t):
+    specs = F.explode(F.array(*map(F.lit, ("5:1", "1-3", "x", "2 0", "4-2 7", "9", "1-3:2", "1:9:0", "1:9:2"))))
+    return sampling.expand_selectors(t("fx_videos").select("scene_id").distinct().withColumn("spec", specs))[1]
+
+
 SELECTED = f"""(SELECT c.scene_id, c.cam_num, CAST(s.frame_id AS INT) AS frame_id, min(f.name) AS name FROM (SELECT DISTINCT scene_id, cam_num FROM {{fx_frames}}) c
     JOIN (SELECT DISTINCT scene_id, unnest(l) AS frame_id FROM {SPEC}) s ON c.scene_id = s.scene_id
     LEFT JOIN (SELECT *, CASE WHEN max(frame_id) OVER (PARTITION BY scene_id, cam_num) IS NULL THEN row_number() OVER (PARTITION BY scene_id, cam_num ORDER BY name) ELSE frame_id END AS k FROM {FRAMES}) f
@@ -202,6 +208,11 @@ def _(t):
     return calib.align_by_ordinal(t("fx_calib"), t("fx_model_images"), "broadcast").select("scene_id", "cam_idx", "name")
 
 
+@query("c3_align_number", "SELECT scene_id, cam_idx, lpad((row_number() OVER (PARTITION BY scene_id ORDER BY cam_idx))::VARCHAR, 3, '0') || '.png' AS name FROM {fx_calib}")
+def _(t):
+    return calib.align_by_ordinal(t("fx_calib"), t("fx_model_images"), "number").select("scene_id", "cam_idx", "name")
+
+
 @query("c4_verify_dimensions", """SELECT c.scene_id, c.cam_idx, coalesce(actual_width, width) AS use_width, coalesce(actual_height, height) AS use_height, actual_width IS NOT NULL AND (actual_width <> width OR actual_height <> height) AS mismatch
     FROM {fx_calib} c LEFT JOIN {fx_image_meta} m ON m.scene_id = c.scene_id AND m.name = c.img_name""")
 def _(t):
@@ -258,13 +269,33 @@ def _(t):
 UNDIST = f"""list_reduce(list_prepend({{'x': x0, 'y': y0}}, [{{'x': 0e0, 'y': 0e0}} for i in range({{n}})]), lambda s, i: {{'x': s.x - ({_dist('s.x', 's.y', 'x')} - x0), 'y': s.y - ({_dist('s.x', 's.y', 'y')} - y0)}})"""
 
 
-@query("c10_inner_rect", f"""SELECT c.scene_id, c.cam_idx, round((width - 1e0) / (x1 - xa), 6) AS new_fx, round((height - 1e0) / (y1 - ya), 6) AS new_fy, round(-(width - 1e0) / (x1 - xa) * xa, 6) AS new_cx, round(-(height - 1e0) / (y1 - ya) * ya, 6) AS new_cy
-    FROM {{fx_calib}} c JOIN (SELECT scene_id, cam_idx, max(s.x) FILTER (e = 'l') AS xa, min(s.x) FILTER (e = 'r') AS x1, max(s.y) FILTER (e = 't') AS ya, min(s.y) FILTER (e = 'b') AS y1 FROM (
-      SELECT *, {UNDIST.replace('{n}', '20')} AS s FROM (
-        SELECT *, (CASE e WHEN 'l' THEN 0e0 WHEN 'r' THEN width - 1e0 ELSE i / 8e0 * (width - 1e0) END - cx) / fx AS x0, (CASE e WHEN 't' THEN 0e0 WHEN 'b' THEN height - 1e0 ELSE i / 8e0 * (height - 1e0) END - cy) / fy AS y0
-        FROM {CAL}, range(0, 9) r(i), (VALUES ('l'), ('r'), ('t'), ('b')) v(e))) GROUP BY ALL) b ON c.scene_id = b.scene_id AND c.cam_idx = b.cam_idx""")
+def border_sql(alpha: str) -> str:
+    """Rectangles of undistorted borders, intrinsics between them, and the region of whole pixels."""
+    agg = ", ".join(f"{f}(s.{c}) FILTER (e = '{e}' AND i % 16 = 0) AS {n}, {f}(s.{c}) FILTER (e = '{e}') AS r{n}" for n, e, c, f in (("xa", "l", "x", "max"), ("xb", "r", "x", "min"), ("ya", "t", "y", "max"), ("yb", "b", "y", "min")))
+    outer = ", ".join(f"{f}(s.{c}) FILTER (i % 16 = 0) AS o{c}{n}" for c in "xy" for n, f in (("a", "min"), ("b", "max")))
+    new = ", ".join(f"({s} - 1e0) / ({c}b - {c}a) * (1 - {alpha}) + ({s} - 1e0) / (o{c}b - o{c}a) * {alpha} AS nf{c}, -({s} - 1e0) / ({c}b - {c}a) * {c}a * (1 - {alpha}) - ({s} - 1e0) / (o{c}b - o{c}a) * o{c}a * {alpha} AS nc{c}" for c, s in (("x", "width"), ("y", "height")))
+    roi = ", ".join(f"CAST(greatest(ceil(r{c}a * nf{c} + nc{c} - 1e-6), 0) AS INT) AS roi_{c}, CAST(least(floor(r{c}b * nf{c} + nc{c} + 1e-6), {s} - 1) - greatest(ceil(r{c}a * nf{c} + nc{c} - 1e-6), 0) + 1 AS INT) AS roi_{s[0]}" for c, s in (("x", "width"), ("y", "height")))
+    return f"""SELECT scene_id, cam_idx, round(nfx, 6) AS new_fx, round(nfy, 6) AS new_fy, round(ncx, 6) AS new_cx, round(ncy, 6) AS new_cy, roi_x, roi_y, roi_w, roi_h, round(ncx - roi_x, 6) AS crop_cx, round(ncy - roi_y, 6) AS crop_cy FROM (SELECT *, {roi} FROM (SELECT *, {new} FROM (
+      SELECT scene_id, cam_idx, any_value(width) AS width, any_value(height) AS height, {agg}, {outer} FROM (SELECT *, {UNDIST.replace('{n}', '20')} AS s FROM (
+        SELECT *, (CASE e WHEN 'l' THEN 0e0 WHEN 'r' THEN width - 1e0 ELSE i / 128e0 * (width - 1e0) END - cx) / fx AS x0, (CASE e WHEN 't' THEN 0e0 WHEN 'b' THEN height - 1e0 ELSE i / 128e0 * (height - 1e0) END - cy) / fy AS y0
+        FROM {CAL}, range(0, 129) r(i), (VALUES ('l'), ('r'), ('t'), ('b')) v(e))) GROUP BY scene_id, cam_idx)))"""
+
+
+def inner_rect(t, alpha: float) -> DataFrame:
+    found = calib.inner_rect_intrinsics(cal(t), alpha=alpha)
+    cut = calib.crop_intrinsics(found).select("scene_id", "cam_idx", F.col("new_cx").alias("crop_cx"), F.col("new_cy").alias("crop_cy"))
+    new = ("new_fx", "new_fy", "new_cx", "new_cy")
+    return r6(found.select("scene_id", "cam_idx", *new, "roi_x", "roi_y", "roi_w", "roi_h").join(cut, ["scene_id", "cam_idx"]), *new, "crop_cx", "crop_cy")
+
+
+@query("c10_inner_rect", border_sql("0e0"))
+def _(t):
+    return inner_rect(t, 0.0)
+
+
+@query("c10_inner_rect_half", border_sql("0.5e0"))
 def _(t):
-    return r6(calib.inner_rect_intrinsics(cal(t)).select("scene_id", "cam_idx", "new_fx", "new_fy", "new_cx", "new_cy"), "new_fx", "new_fy", "new_cx", "new_cy")
+    return inner_rect(t, 0.5)
 
 
 CHANGE = f"""(SELECT c.*, abs(width / 2e0 / mx - fx) / fx * 100 AS d_fx, abs(height / 2e0 / my - fy) / fy * 100 AS d_fy, abs(k1) + abs(k2) AS severity FROM {CAL} c JOIN {CORNER} m ON c.scene_id = m.scene_id AND c.cam_idx = m.cam_idx)"""
@@ -316,6 +347,11 @@ def _(t):
     return r6(calib.calibration_from_model(t("fx_model_cameras"), t("fx_model_images"))[0].select("scene_id", "image_id", "cam_id", "fx", "out_px", "out_py", "out_pz"), "out_px", "out_py", "out_pz")
 
 
+@query("c15_images_without_camera", "SELECT scene_id, image_id, name FROM {fx_model_images} WHERE camera_id % 7 = 3")
+def _(t):
+    return calib.calibration_from_model(t("fx_model_cameras").where("camera_id % 7 <> 3"), t("fx_model_images"))[1].select("scene_id", "image_id", "name")
+
+
 @query("r1_detect_pose_format", "SELECT scene_id, cam_idx, CASE cam_idx % 4 WHEN 0 THEN 'c2w' WHEN 1 THEN 'tcw' WHEN 2 THEN 'w2c' ELSE 'c2w' END AS pose_format FROM {fx_calib}")
 def _(t):
     k = F.col("cam_idx") % 4
