@@ -279,12 +279,12 @@ def _(t):
     return r6(out.select("scene_id", "cam_idx", "out_px", "out_py", "out_pz", "sin_ry", "valid"), "out_px", "out_py", "out_pz", "sin_ry")
 
 
-@query("r2_euler_to_world", "SELECT scene_id, cam_idx, round(px, 6) + 0e0 AS out_px, round(rx, 6) + 0e0 AS out_rx, round(ry, 6) + 0e0 AS out_ry, round(rz, 6) + 0e0 AS out_rz, TRUE AS valid FROM {fx_calib}")
+@query("r2_euler_to_world", "SELECT scene_id, cam_idx, round(px, 7) + 0e0 AS out_px, round(rx, 7) + 0e0 AS out_rx, round(ry, 7) + 0e0 AS out_ry, round(rz, 7) + 0e0 AS out_rz, TRUE AS valid FROM {fx_calib}")
 def _(t):
     """Angles of Rz Ry Rx from camera to world come back as they are, as |ry| is under a right angle."""
     posed = t("fx_calib").withColumns({"tx": F.col("px"), "ty": F.col("py"), "tz": F.col("pz")})
     out = poses.to_camera_to_world(posed, "euler_zyx", "c2w").select("scene_id", "cam_idx", "out_px", "out_rx", "out_ry", "out_rz", "valid")
-    return r6(out, "out_px", "out_rx", "out_ry", "out_rz")
+    return out.withColumns({c: F.round(c, 7) + 0.0 for c in ("out_px", "out_rx", "out_ry", "out_rz")})  # angles are 128ths: no half is rounded
 
 
 @query("k6_camera_list", f"SELECT scene_id, count(*) AS n, min_by(img_name, cam_idx) AS first_name, round(sum(fx), 4) AS sum_fx FROM {CAL} GROUP BY scene_id")
