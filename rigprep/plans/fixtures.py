@@ -80,10 +80,6 @@ FROM (SELECT x.scene_id, x.name AS a, y.name AS b, x.image_id AS ia, y.image_id
 SELECT scene_id, img_name AS name, CASE WHEN cam_idx % 10 = 3 THEN 2880 ELSE width END AS actual_width,
        CASE WHEN cam_idx % 10 = 3 THEN 1620 ELSE height END AS actual_height
 FROM {fx_calib} WHERE cam_idx <> 5""",
-    "fx_pixels": """
-SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, CAST((u * 3 + v * 5 + cam_idx) % 256 AS DOUBLE) AS value
-FROM (SELECT scene_id, cam_idx, u, EXPLODE_(0, 35) AS v
-      FROM (SELECT scene_id, cam_idx, EXPLODE_(0, 63) AS u FROM {fx_calib} WHERE cam_idx < 4) t1) t2""",
     "fx_pixels_all": """
 SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, CAST((u * 3 + v * 5 + cam_idx) % 256 AS DOUBLE) AS value
 FROM (SELECT scene_id, cam_idx, u, EXPLODE_(0, 35) AS v

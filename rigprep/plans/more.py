@@ -30,13 +30,13 @@ def _(t):
 
 
 # A small camera of 64 x 36 pixels with the rig's distortion.
-SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 73e0 AS fx, 73e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib} WHERE cam_idx < 4)"
+SMALL = "(SELECT scene_id, cam_idx, 64 AS width, 36 AS height, 73e0 AS fx, 73e0 AS fy, 32e0 AS cx, 18e0 AS cy, k1, k2, k3, p1, p2 FROM {fx_calib})"
 LOOK = f"""(SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, {_dist('x', 'y', 'x')} * fx + cx AS su, {_dist('x', 'y', 'y')} * fy + cy AS sv FROM (SELECT *, (u - cx) / fx AS x, (v - cy) / fy AS y FROM {SMALL}, range(0, 64) a(u), range(0, 36) b(v)))"""
 
 
-def small(t, cameras: str = "cam_idx < 4") -> DataFrame:
+def small(t) -> DataFrame:
     sized = {"width": F.lit(64), "height": F.lit(36), "fx": F.lit(73.0), "fy": F.lit(73.0), "cx": F.lit(32.0), "cy": F.lit(18.0)}
-    return t("fx_calib").where(cameras).withColumns(sized)
+    return t("fx_calib").withColumns(sized)
 
 
 @query("d3_undistort_lookup", f"SELECT scene_id, cam_idx, u, v, round(su, 9) + 0e0 AS su, round(sv, 9) + 0e0 AS sv FROM {LOOK}")
@@ -46,41 +46,41 @@ def _(t):
 
 @query("d4_remap_bilinear", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, round(sum(coalesce(p.value, 0) * (CASE i WHEN 1 THEN su - floor(su) ELSE 1 - (su - floor(su)) END) * (CASE j WHEN 1 THEN sv - floor(sv) ELSE 1 - (sv - floor(sv)) END)), 8) + 0e0 AS value
     FROM (SELECT *, CAST(floor(su) AS INT) + i AS pu, CAST(floor(sv) AS INT) + j AS pv FROM {LOOK}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) c(i, j)) l
-    LEFT JOIN {{fx_pixels}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = l.pu AND p.v = l.pv GROUP BY l.scene_id, l.cam_idx, l.u, l.v""")
+    LEFT JOIN {{fx_pixels_all}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = l.pu AND p.v = l.pv GROUP BY l.scene_id, l.cam_idx, l.u, l.v""")
 def _(t):
-    return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t))).withColumn("value", F.round("value", 8) + 0.0)
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t))).withColumn("value", F.round("value", 8) + 0.0)
 
 
-@query("d4_remap_nearest", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, coalesce(p.value, 0e0) AS value FROM {LOOK} l LEFT JOIN {{fx_pixels}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = CAST(floor(su + 0.5) AS INT) AND p.v = CAST(floor(sv + 0.5) AS INT)""")
+@query("d4_remap_nearest", f"""SELECT l.scene_id, l.cam_idx, l.u, l.v, coalesce(p.value, 0e0) AS value FROM {LOOK} l LEFT JOIN {{fx_pixels_all}} p ON p.scene_id = l.scene_id AND p.cam_idx = l.cam_idx AND p.u = CAST(floor(su + 0.5) AS INT) AND p.v = CAST(floor(sv + 0.5) AS INT)""")
 def _(t):
-    return distortion.remap_pixels(t("fx_pixels"), distortion.undistort_lookup(small(t)), "nearest")
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t)), "nearest")
 
 
 # The same cameras with a new camera that covers the distorted corners: grid by the new one, source by the old one.
 NEW = """(SELECT s.*, width / 2e0 / mx AS nfx, height / 2e0 / my AS nfy, width / 2e0 AS ncx, height / 2e0 AS ncy FROM {small} s JOIN (
-    SELECT scene_id AS si, cam_idx AS ci, max(abs({dx})) AS mx, max(abs({dy})) AS my FROM (SELECT *, (63 * a - cx) / fx AS x, (35 * b - cy) / fy AS y FROM {small}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)) GROUP BY scene_id, cam_idx) m ON si = scene_id AND ci = cam_idx)""".replace("{small}", SMALL.replace(" WHERE cam_idx < 4", "")).replace("{dx}", _dist("x", "y", "x")).replace("{dy}", _dist("x", "y", "y"))
+    SELECT scene_id AS si, cam_idx AS ci, max(abs({dx})) AS mx, max(abs({dy})) AS my FROM (SELECT *, (63 * a - cx) / fx AS x, (35 * b - cy) / fy AS y FROM {small}, (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) v(a, b)) GROUP BY scene_id, cam_idx) m ON si = scene_id AND ci = cam_idx)""".replace("{small}", SMALL).replace("{dx}", _dist("x", "y", "x")).replace("{dy}", _dist("x", "y", "y"))
 
 
 @query("d3_undistort_new_camera", f"""SELECT scene_id, cam_idx, CAST(u AS INT) AS u, CAST(v AS INT) AS v, round(s.x * fx + cx, 7) + 0e0 AS su, round(s.y * fy + cy, 7) + 0e0 AS sv
     FROM (SELECT *, {UNDIST.replace('{n}', '5')} AS s FROM (SELECT *, (u - ncx) / nfx AS x0, (v - ncy) / nfy AS y0 FROM {NEW}, (SELECT range * 4 AS u FROM range(0, 16)), (SELECT range * 4 AS v FROM range(0, 9))))""")
 def _(t):
-    new = calib.corner_intrinsics(small(t, "true"))
+    new = calib.corner_intrinsics(small(t))
     return distortion.undistort_lookup(new, 4, "inverse_iter", new_camera=True).withColumns({c: F.round(c, 7) + 0.0 for c in ("su", "sv")})
 
 
 @whole("d3_undistort_lookup_all")
 def _(t):
-    return distortion.undistort_lookup(small(t, "true")).withColumns({c: F.round(c, 9) + 0.0 for c in ("su", "sv")})
+    return distortion.undistort_lookup(small(t)).withColumns({c: F.round(c, 9) + 0.0 for c in ("su", "sv")})
 
 
 @whole("d4_remap_bilinear_all")
 def _(t):
-    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t, "true"))).withColumn("value", F.round("value", 8) + 0.0)
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t))).withColumn("value", F.round("value", 8) + 0.0)
 
 
 @whole("d4_remap_nearest_all")
 def _(t):
-    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t, "true")), "nearest")
+    return distortion.remap_pixels(t("fx_pixels_all"), distortion.undistort_lookup(small(t)), "nearest")
 
 
 @query("d5_bind_frames", "SELECT f.scene_id, count(*) AS frames, count(c.cam_idx) AS done, count(*) - count(c.cam_idx) AS failed FROM {fx_frames} f LEFT JOIN (SELECT * FROM {fx_calib} WHERE cam_idx % 4 <> 1) c ON c.scene_id = f.scene_id AND c.cam_idx = f.cam_num GROUP BY f.scene_id")
@@ -155,24 +155,19 @@ def _(t):
     return readers.parse_model_images(docs).select("scene_id", "image_id", F.get("qvec", F.lit(1)).alias("q1"), F.get("tvec", F.lit(0)).alias("t0"), "camera_id", "name", F.size("points2d").alias("n"), F.get("points2d", F.lit(1))["point3d_id"].alias("second"))
 
 
-def tracked(t, frames: str = "frame_id = 3") -> DataFrame:
-    """Points of one frame, or others, with their tracks, at coordinates that print alike everywhere."""
-    p = t("fx_points3d").where(frames).withColumns({"x": F.floor("x") + 0.5, "z": F.floor("z") + 0.25, "error": F.floor("error") + 0.5})
+def models(t) -> DataFrame:
+    """Points with their tracks, at coordinates that print alike everywhere; scene_id names the scene and frame, each of which is a model."""
+    p = t("fx_points3d").withColumn("scene_id", F.concat_ws("/", "scene_id", F.col("frame_id").cast("string"))).withColumns({"x": F.floor("x") + 0.5, "z": F.floor("z") + 0.25, "error": F.floor("error") + 0.5})
     i = F.sequence(F.lit(1), F.col("track_len"))
     return p.withColumn("track", F.transform(i, lambda k: F.struct(((F.col("point_id") + k * 3) % 20 + 1).cast("int").alias("image_id"), k.cast("int").alias("point2d_idx"))))
 
 
-def models(t) -> DataFrame:
-    """Points of all frames; scene_id names the scene and frame, each of which is a model."""
-    return tracked(t, "true").withColumn("scene_id", F.concat_ws("/", "scene_id", F.col("frame_id").cast("string")))
-
-
-TRACKED = "(SELECT *, floor(x) + 0.5::DOUBLE AS px, floor(z) + 0.25::DOUBLE AS pz, floor(error) + 0.5::DOUBLE AS pe FROM {fx_points3d} WHERE frame_id = 3)"
+TRACKED = "(SELECT * REPLACE (scene_id || '/' || frame_id AS scene_id), floor(x) + 0.5::DOUBLE AS px, floor(z) + 0.25::DOUBLE AS pz, floor(error) + 0.5::DOUBLE AS pe FROM {fx_points3d})"
 
 
 @query("s6_parse_model_points", f"SELECT scene_id, point_id, px AS x, y, pz AS z, r, b, pe AS error, track_len AS n, CAST((point_id + track_len * 3) % 20 + 1 AS INT) AS last_image FROM {TRACKED}")
 def _(t):
-    lines = writers.format_model_points(tracked(t)).select("scene_id", F.col("line").alias("value"))
+    lines = writers.format_model_points(models(t)).select("scene_id", F.col("line").alias("value"))
     return readers.parse_model_points(lines).select("scene_id", "point_id", "x", "y", "z", "r", "b", "error", F.size("track").alias("n"), F.element_at("track", -1)["image_id"].alias("last_image"))
 
 
@@ -198,19 +193,19 @@ def _(t):
     return readers.parse_image_list(j.select("scene_id", line.alias("value")), True).select("scene_id", "name", "model", "width", F.get("params", F.lit(1)).alias("p1"))
 
 
-@query("s9_validate_arity", "SELECT scene_id, camera_id, model, CASE model WHEN 'SIMPLE_RADIAL' THEN 4 WHEN 'RADIAL' THEN 5 WHEN 'FOV' THEN 5 ELSE 8 END AS expected, CAST(len(params) - 1 AS INT) AS given FROM {fx_model_cameras} WHERE camera_id % 5 = 0 AND model NOT IN ('PINHOLE', 'SIMPLE_PINHOLE')")
+@query("s9_validate_arity", "SELECT scene_id, camera_id, model, CASE model WHEN 'SIMPLE_PINHOLE' THEN 3 WHEN 'PINHOLE' THEN 4 WHEN 'SIMPLE_RADIAL' THEN 4 WHEN 'RADIAL' THEN 5 WHEN 'FOV' THEN 5 ELSE 8 END AS expected, CAST(len(params) - 1 AS INT) AS given FROM {fx_model_cameras} WHERE camera_id % 5 = 0")
 def _(t):
     cut = t("fx_model_cameras").withColumn("params", F.when(F.col("camera_id") % 5 == 0, F.slice("params", F.lit(1), F.size("params") - 1)).otherwise(F.col("params")))
-    return readers.validate_model_arity(cut).where("model not in ('PINHOLE', 'SIMPLE_PINHOLE')")
+    return readers.validate_model_arity(cut)
 
 
 # --- sinks ----------------------------------------------------------------------------------
 
 
-@query("k1_format_cameras", """SELECT scene_id, CAST(camera_id AS BIGINT) AS place, concat_ws(' ', camera_id, model, width, height, array_to_string(list_transform(params, lambda x: CAST(x AS VARCHAR)), ' ')) AS line FROM {fx_model_cameras} WHERE model = 'SIMPLE_PINHOLE'
-    UNION ALL SELECT scene_id, -1, '# Number of cameras: ' || count(*) FROM {fx_model_cameras} WHERE model = 'SIMPLE_PINHOLE' GROUP BY scene_id""")
+@query("k1_format_cameras", """SELECT scene_id, CAST(camera_id AS BIGINT) AS place, concat_ws(' ', camera_id, model, width, height, array_to_string(list_transform(params, lambda x: CAST(x AS VARCHAR)), ' ')) AS line FROM {fx_model_cameras} 
+    UNION ALL SELECT scene_id, -1, '# Number of cameras: ' || count(*) FROM {fx_model_cameras} GROUP BY scene_id""")
 def _(t):
-    return writers.format_model_cameras(t("fx_model_cameras").where("model = 'SIMPLE_PINHOLE'"))
+    return writers.format_model_cameras(t("fx_model_cameras"))
 
 
 @whole("k1_format_cameras_all")
@@ -228,14 +223,14 @@ def _(t):
 @query("k3_format_points", f"""SELECT scene_id, point_id AS place, concat_ws(' ', point_id, px, y, pz, r, g, b, pe, array_to_string(list_transform(range(1, track_len + 1), lambda k: CAST((point_id + k * 3) % 20 + 1 AS VARCHAR) || ' ' || CAST(k AS VARCHAR)), ' ')) AS line FROM {TRACKED}
     UNION ALL SELECT scene_id, -1, '# Number of points: ' || count(*) || ', mean track length: ' || printf('%.6f', avg(track_len::DOUBLE)) FROM {TRACKED} GROUP BY scene_id""")
 def _(t):
-    return writers.format_model_points(tracked(t))
+    return writers.format_model_points(models(t))
 
 
 @query("k4_format_ply", f"""SELECT scene_id, point_id AS place, concat_ws(' ', px, y, pz, r, g, b) AS line FROM {TRACKED}
     UNION ALL SELECT scene_id, k - 10, CASE k WHEN 0 THEN 'ply' WHEN 1 THEN 'format ascii 1.0' WHEN 2 THEN 'element vertex ' || n WHEN 9 THEN 'end_header' ELSE 'property ' || ['float x', 'float y', 'float z', 'uchar red', 'uchar green', 'uchar blue'][k - 2] END
     FROM (SELECT scene_id, count(*) AS n FROM {TRACKED} GROUP BY scene_id), range(0, 10) r(k)""")
 def _(t):
-    return writers.format_ply(tracked(t))
+    return writers.format_ply(models(t))
 
 
 @whole("k3_format_points_all")
@@ -457,18 +452,25 @@ def _(t):
     return tracks.build_tracks(m.unionByName(m.where("kp0 = 5").withColumn("kp1", F.lit(6))))
 
 
-CENTRES = "(SELECT point_id, x / 10 AS x, y / 10 AS y, 4 + z AS z, track_len, unnest(range(0, track_len)) AS c FROM (SELECT * FROM {fx_points3d} WHERE frame_id = 2 AND scene_id = 's001' QUALIFY count(*) OVER (PARTITION BY point_id) = 1))"
+POINTS = "(SELECT *, row_number() OVER (PARTITION BY scene_id, frame_id, point_id ORDER BY x, y, z, track_len) AS copy FROM {fx_points3d})"
+CENTRES = f"(SELECT scene_id, frame_id, point_id, CAST(copy AS INT) AS copy, x / 10 AS x, y / 10 AS y, 4 + z AS z, track_len, unnest(range(0, track_len)) AS c FROM {POINTS})"
 
 
 @query("m11_triangulate", f"""WITH r AS MATERIALIZED (SELECT *, (x - c) / sqrt((x - c) * (x - c) + y * y + z * z) AS dx, y / sqrt((x - c) * (x - c) + y * y + z * z) AS dy, z / sqrt((x - c) * (x - c) + y * y + z * z) AS dz FROM {CENTRES})
-    SELECT a.point_id AS track, round(any_value(a.x), 6) + 0e0 AS x, round(any_value(a.y), 6) + 0e0 AS y, round(any_value(a.z), 6) + 0e0 AS z, CAST(any_value(a.track_len) AS BIGINT) AS views, 0e0 AS error,
-           round(degrees(2 * asin(sqrt(max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz))) / 2)), 5) + 0e0 AS angle
-    FROM r a JOIN r b ON a.point_id = b.point_id GROUP BY a.point_id HAVING max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz)) >= pow(2 * sin(radians(0.5)), 2)""")
+    SELECT a.scene_id, a.frame_id, a.point_id, a.copy, round(any_value(a.x), 6) + 0e0 AS x, round(any_value(a.y), 6) + 0e0 AS y, round(any_value(a.z), 6) + 0e0 AS z, CAST(any_value(a.track_len) AS BIGINT) AS views, 0e0 AS error,
+           round(degrees(2 * asin(sqrt(max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz))) / 2)), 4) + 0e0 AS angle
+    FROM r a JOIN r b ON a.scene_id = b.scene_id AND a.frame_id = b.frame_id AND a.point_id = b.point_id AND a.copy = b.copy GROUP BY a.scene_id, a.frame_id, a.point_id, a.copy
+    HAVING max((a.dx - b.dx) * (a.dx - b.dx) + (a.dy - b.dy) * (a.dy - b.dy) + (a.dz - b.dz) * (a.dz - b.dz)) >= pow(2 * sin(radians(0.5)), 2)""")
 def _(t):
-    p = t("fx_points3d").where("frame_id = 2 and scene_id = 's001'")
-    single = p.groupBy("point_id").count().where("count = 1").select("point_id")
-    out = triangulated(p.join(single, "point_id").withColumn("track", F.col("point_id")), 1.0)
-    return out.select("track", *[(F.round(c, 6) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"), (F.round("error", 2) + 0.0).alias("error"), (F.round("angle", 5) + 0.0).alias("angle"))
+    """Every point of every scene and frame that is seen at an angle of a degree; copy numbers the points that share an id."""
+    out = triangulated(copies(t), 1.0)
+    return out.select("track.*", *[(F.round(c, 6) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"), (F.round("error", 2) + 0.0).alias("error"), (F.round("angle", 4) + 0.0).alias("angle"))
+
+
+def copies(t) -> DataFrame:
+    key = ["scene_id", "frame_id", "point_id"]
+    copy = F.row_number().over(Window.partitionBy(*key).orderBy("x", "y", "z", "track_len"))
+    return t("fx_points3d").select(*key, copy.alias("copy"), "x", "y", "z", "track_len").withColumn("track", F.struct(*key, "copy"))
 
 
 def triangulated(p: DataFrame, min_angle: float = 0.0) -> DataFrame:
@@ -483,10 +485,7 @@ def triangulated(p: DataFrame, min_angle: float = 0.0) -> DataFrame:
 @whole("m11_triangulate_all")
 def _(t):
     """Every point of every scene and frame; copy numbers the points that share an id."""
-    key = ["scene_id", "frame_id", "point_id"]
-    copy = F.row_number().over(Window.partitionBy(*key).orderBy("x", "y", "z", "track_len"))
-    p = t("fx_points3d").select(*key, copy.alias("copy"), "x", "y", "z", "track_len").withColumn("track", F.struct(*key, "copy"))
-    out = triangulated(p)
+    out = triangulated(copies(t))
     return out.select("track.*", *[(F.round(c, 7) + 0.0).alias(c) for c in "xyz"], F.col("views").cast("long").alias("views"))
 
 
