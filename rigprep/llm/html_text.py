@@ -5,10 +5,11 @@ inside an article, inside a menu, footer, advert and the like, or neither. Withi
 are paired with their nearest neighbour by URL path. The lines of a pair are aligned by their
 longest common subsequence, and shared lines are deleted: a host's frame is what its pages share.
 
-Three limits keep the article whole. Lines inside an ``article`` or ``main`` element are never
+Four limits keep the article whole. Lines inside an ``article`` or ``main`` element are never
 taken for frame, as two pages can carry the same article. Pages whose other lines are all equal are
 copies, which say nothing of a frame, and keep these lines. Lines that the markup already marks as
-frame go even when no neighbour shares them, as a host may have one page only.
+frame go even when no neighbour shares them, as a host may have one page only. A long line goes only if three
+pages of the host have it: two pages of a host may share a paragraph.
 """
 
 from __future__ import annotations
@@ -21,7 +22,8 @@ from collections.abc import Iterator
 
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rigprep.functions.shared import materialize
@@ -36,12 +38,19 @@ VOID = frozenset(["area", "base", "br", "col", "embed", "hr", "img", "input", "l
 BLOCK = frozenset(
     ["address", "article", "aside", "blockquote", "body", "br", "caption", "center", "dd", "details", "dialog", "dir", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "header", "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "option", "p", "pre", "section", "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"]
 )
-#: Words of class, id and role that name a page's frame, and reader comments.
-FRAME_WORDS = re.compile(
-    r"(?i)(?:^|[\s_-])(?:ads?|adverts?|advertisement|banner|promo|sponsor(?:ed)?|sidebar|menu|nav|navbar|navigation|breadcrumbs?|footer|header|masthead|cookies?|consent|notice|popup|modal|newsletter|subscribe|signup|login|share|sharing|social|related|recommended|comments?|disqus|respond|replies|pagination|pager|toolbar|widget|search|skip)(?=$|[\s_-])"
+#: Words that name a page's frame, and reader comments, in a class or id; and words that say nothing beside them. A class or id
+#: marks frame if it has one of the first and nothing but these: `site-footer` does, `share price` does not.
+FRAME_WORDS = frozenset(
+    ["ad", "ads", "advert", "adverts", "advertisement", "banner", "promo", "sponsor", "sponsored", "sidebar", "menu", "nav", "navbar", "navigation", "breadcrumb", "breadcrumbs", "footer", "header", "masthead", "cookie", "cookies", "consent", "notice", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share", "sharing", "social", "related", "recommended", "comment", "comments", "disqus", "respond", "replies", "pagination", "pager", "toolbar", "widget", "search", "skip"]
+)
+PLAIN_WORDS = frozenset(
+    ["site", "page", "global", "top", "bottom", "left", "right", "main", "primary", "secondary", "wrapper", "wrap", "container", "inner", "outer", "box", "bar", "block", "section", "area", "list", "item", "items", "link", "links", "fixed", "sticky", "default", "slot", "unit", "row", "col", "column", "icon", "icons", "button", "buttons", "btn", "form", "field", "posts", "articles", "stories", "content", "panel", "group", "module", "region", "zone", "overlay", "dropdown", "toggle", "mobile", "desktop", "horizontal", "vertical", "small", "large", "clearfix", "to", "the", "and"]
 )
 ROLES = frozenset(["navigation", "banner", "contentinfo", "complementary", "search", "form", "alert", "dialog", "menu", "menubar"])
 
+#: Shared lines of so many code points go only if so many pages of their host have them.
+LONG_LINE, AGREED = 80, 3
+
 #: Inside an article, only these as a whole class or id.
 MAIN_FRAME_WORDS = frozenset(["ad", "ads", "advert", "adverts", "advertisement", "comment", "comments", "disqus", "replies", "respond"])
 
@@ -52,6 +61,11 @@ _ATTRIBUTE = re.compile(r"(?i)(?:^|\s)(class|id|role|hidden|aria-hidden|style)(?
 _CLOSES_P = BLOCK - {"br"}
 
 
+def _all_frame(value: str) -> bool:
+    words = set(re.split(r"[\s_-]+", value.lower())) - {""}
+    return bool(words & FRAME_WORDS) and all(w in FRAME_WORDS or w in PLAIN_WORDS or w.isdigit() for w in words)
+
+
 def _marks_frame(name: str, attributes: str, in_main: bool) -> bool:
     if name in FRAME and not (name == "header" and in_main):
         return True
@@ -64,7 +78,7 @@ def _marks_frame(name: str, attributes: str, in_main: bool) -> bool:
         if key == "role" and value.lower() in ROLES:
             return True
         if key in ("class", "id") and name not in ("body", "html", "article", "main"):
-            if MAIN_FRAME_WORDS & set(value.lower().split()) if in_main else FRAME_WORDS.search(value):
+            if MAIN_FRAME_WORDS & set(value.lower().split()) if in_main else _all_frame(value):
                 return True
     return False
 
@@ -215,6 +229,16 @@ def page_lines(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> Da
     return map_texts(pages, {"page_id": id_col, "url": url_col}, html_col, start, f"page_id {dict(pages.dtypes)[id_col]}, url string, kinds array<string>, texts array<string>")
 
 
+def host_of(url_col: str) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url_col, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
+
+
+def _line_hash(line: str) -> int:
+    """Spark's xxhash64 of a line."""
+    h = xxhash.xxh64_intdigest(line.encode(), 42)
+    return h - (1 << 64) if h >> 63 else h
+
+
 def nearest(pages: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
     """(row, mate): each page's nearest page of the same host by URL path; none for a lone page.
 
@@ -223,9 +247,8 @@ def nearest(pages: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
     so that no task sorts it whole; the first and last page of each range (two small rows a range)
     are written and then find their neighbours in the ranges beside theirs.
     """
-    host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#]*)", 1))
     path = F.regexp_replace(F.coalesce("url", F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", "")
-    keyed = pages.select("row", host.alias("host"), path.alias("path"))
+    keyed = pages.select("row", host_of("url").alias("host"), path.alias("path"))
     parts = max(1, -(-keyed.count() // rows_per_part))
     # range partitions by (host, path) are contiguous, so that neighbours share a partition
     dealt = keyed.repartitionByRange(parts, "host", "path", "row").withColumn("part", F.spark_partition_id())
@@ -237,9 +260,16 @@ def nearest(pages: DataFrame, rows_per_part: int = 20_000) -> DataFrame:
         return F.when(F.col(f"{other}.host") == F.col("host"), F.col(other))
 
     def common(other: str):
-        n = F.least(F.length("path"), F.length(F.col(f"{other}.path")))
-        same = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda k: F.when((k <= n) & (F.substring("path", F.lit(1), k) == F.substring(F.col(f"{other}.path"), F.lit(1), k)), k).otherwise(0))
-        return F.when(F.col(other).isNull(), -1).otherwise(F.array_max(same))
+        """Leading characters in common, by halving: 32 steps for a path of any length."""
+        most = F.least(F.length("path"), F.length(F.col(f"{other}.path")))
+
+        def halve(s, _):
+            k = F.floor((s["low"] + s["high"] + 1) / 2).cast("int")
+            same = F.substring("path", F.lit(1), k) == F.substring(F.col(f"{other}.path"), F.lit(1), k)
+            return F.when(s["low"] >= s["high"], s).otherwise(F.struct(F.when(same, k).otherwise(s["low"]).alias("low"), F.when(same, s["high"]).otherwise(k - 1).alias("high")))
+
+        start = F.struct(F.lit(0).alias("low"), most.alias("high"))
+        return F.when(F.col(other).isNull(), -1).otherwise(F.aggregate(F.sequence(F.lit(1), F.lit(32)), start, halve, lambda s: s["low"]))
 
     def mated(rows: DataFrame) -> DataFrame:
         mate = F.when(common("after") > common("before"), F.col("after.row")).otherwise(F.coalesce("before.row", "after.row"))
@@ -265,25 +295,32 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     parsed = page_lines(pages, id_col, url_col, html_col)
     # A line inside an article is never frame, so only the other lines are written and sent to mates.
     other = F.filter(F.arrays_zip("kinds", "texts"), lambda x: x["kinds"] != "main")
-    frames = materialize(parsed.select("page_id", "url", F.transform(other, lambda x: x["texts"]).alias("others")).withColumn("row", F.monotonically_increasing_id()), "frames")
+    long = F.filter(F.arrays_zip("kinds", "texts"), lambda x: (x["kinds"] == "open") & (F.char_length(x["texts"]) >= LONG_LINE))
+    hashes = F.array_distinct(F.transform(long, lambda x: F.xxhash64(x["texts"])))
+    frames = materialize(parsed.select("page_id", "url", F.transform(other, lambda x: x["texts"]).alias("others"), hashes.alias("long")).withColumn("row", F.monotonically_increasing_id()), "frames")
+    found = frames.select("row", host_of("url").alias("host"), F.explode("long").alias("line"))
+    agreed = found.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREED)
+    agreed = materialize(found.join(agreed, ["host", "line"]).groupBy("row").agg(F.collect_list("line").alias("agreed")), "agreed")  # a page's lines
     pairs = nearest(frames).where("mate is not null")
     # rows that repeat an id and a URL share the mate of the first of them
-    chosen = pairs.join(frames.select("row", "page_id", "url"), "row").groupBy("page_id", "url").agg(F.min_by("mate", "row").alias("mate"))
+    chosen = pairs.join(frames.select("row", "page_id", "url"), "row").groupBy("page_id", "url").agg(F.min_by("mate", "row").alias("mate"), F.min("row").alias("row")).join(agreed, "row", "left")
     mates = chosen.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate")
-    mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts"), "mates")
+    mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts", "agreed"), "mates")
     # The mates' lines grow with the input, so they are never broadcast.
     both = parsed.join(mates.hint("merge"), parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for x in batches:
             rows = []
-            for kinds, texts, mate in zip(x["kinds"], x["texts"], x["mate_texts"], strict=True):
+            for kinds, texts, mate, often in zip(x["kinds"], x["texts"], x["mate_texts"], x["agreed"], strict=True):
                 kinds, texts = list(kinds), list(texts)
                 outside = [i for i, k in enumerate(kinds) if k != "main"]
                 own, mate = [texts[i] for i in outside], list(mate) if mate is not None else []
                 shared = {outside[i] for i in common_lines(own, mate)} if own != mate else set()
+                often = set(often) if often is not None else set()
+                shared = {i for i in shared if kinds[i] == "frame" or len(texts[i]) < LONG_LINE or _line_hash(texts[i]) in often}
                 frame = {i for i in outside if kinds[i] == "frame"}
                 rows.append(("\n".join(t for i, t in enumerate(texts) if i not in shared and i not in frame), len(shared), len(frame)))
             yield pd.DataFrame({"page_id": x["page_id"], "url": x["url"], "text": [r[0] for r in rows], "n_shared": [r[1] for r in rows], "n_frame": [r[2] for r in rows]})
 
-    return both.select("page_id", "url", "kinds", "texts", "mate_texts").mapInPandas(cut, f"page_id {dict(parsed.dtypes)['page_id']}, url string, text string, n_shared long, n_frame long")
+    return both.select("page_id", "url", "kinds", "texts", "mate_texts", "agreed").mapInPandas(cut, f"page_id {dict(parsed.dtypes)['page_id']}, url string, text string, n_shared long, n_frame long")

@@ -101,3 +101,33 @@ def test_hostile_pages_take_time_in_proportion():
     began = time.process_time()
     html_text.common_lines(["x"] * 20_000 + ["y"], ["x"] * 15_000 + ["z"] + ["x"] * 5_000)
     assert time.process_time() - began < 10
+
+
+def test_only_classes_of_frame_words_mark_frame_outside_articles():
+    page = "<p class='share price'>A</p><div class='search methods'>B</div><p class='related-work'>C</p><div class='site-footer'>no</div><div id='related-posts-2'>no</div><div class='share'>no</div>"
+    assert [t for k, t in html_text.lines(page) if k == "open"] == ["A", "B", "C"] and [t for k, t in html_text.lines(page) if k == "frame"] == ["no"] * 3
+
+
+def test_a_paragraph_of_two_pages_stays_and_one_of_three_goes(spark):
+    shared, often = "A long paragraph that two pages of a host may well have in common without being frame, ever.", "Another long line that every page of this host carries at its end, which makes it frame, surely."
+    rows = [(k, f"http://h/{k}", f"<p>own {k}</p><p>short</p>" + (f"<p>{shared}</p>" if k < 2 else "") + f"<p>{often}</p>") for k in range(4)]
+    got = {r.page_id: r.text.split("\n") for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {0: ["own 0", shared], 1: ["own 1", shared], 2: ["own 2"], 3: ["own 3"]}
+
+
+def test_long_urls_are_compared_by_halving(spark):
+    rows = [(k, "http://h/" + "x" * 100_000 + f"/{k:02d}", f"<p>own {k}</p><p>frame</p>") for k in range(40)] + [(40, "http://h/", "<p>home</p><p>frame</p>")]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {k: f"own {k}" for k in range(40)} | {40: "home"}
+
+
+def test_the_nearest_url_has_most_leading_characters_in_common(spark):
+    urls = ["http://h/a", "http://h/ab", "http://h/abc", "http://h/abd", "http://h/b", "http://g/abc", None, "http://h/\u00e9a", "http://h/\u00e9b"]
+    df = spark.createDataFrame(list(enumerate(urls)), "row long, url string")
+    mates = {r.row: r.mate for r in html_text.nearest(df).collect()}
+    lead = lambda x, y: next((k for k, (p, q) in enumerate(zip(x, y)) if p != q), min(len(x), len(y)))  # noqa: E731, B905
+    order = sorted((u.split("/", 3)[3], k) for k, u in enumerate(urls) if u and "//h" in u)
+    for i, (path, k) in enumerate(order):
+        beside = {j: lead(path, order[j][0]) for j in (i - 1, i + 1) if 0 <= j < len(order)}
+        assert mates[k] in {order[j][1] for j, n in beside.items() if n == max(beside.values())}
+    assert mates[5] is None and mates[6] is None
