@@ -87,7 +87,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 # --- the labelled table ---------------------------------------------------------------------
 
 
-def labelled_rows(n: int = 1200, seed: int = 11) -> list[tuple[list[str], list[str]]]:
+def labelled_rows(n: int = 2400, seed: int = 11) -> list[tuple[list[str], list[str]]]:
     """Made-up sentences with a label for each word, from templates and a seed."""
     r = np.random.default_rng(seed)
 
@@ -102,7 +102,7 @@ def labelled_rows(n: int = 1200, seed: int = 11) -> list[tuple[list[str], list[s
         return "".join(map(str, r.integers(0, 10, k)))
 
     def personal():
-        kind = pick("email", "phone", "ip", "card", "secret")
+        kind = pick("email", "email", "email", "phone", "ip", "card", "card", "secret")
         name, host = word(3, 8).lower().strip(",."), word(3, 9).lower().strip(",.")
         if kind == "email":
             form = pick(f"{name}@{host}.com", f"{name} at {host} dot com", f"{name} [at] {host} [dot] org", f"{name}(at){host}.net", f"{name} (at) {host} (dot) de")
@@ -124,13 +124,14 @@ def labelled_rows(n: int = 1200, seed: int = 11) -> list[tuple[list[str], list[s
             for _ in range(int(r.integers(4, 20))):
                 w = word()
                 if r.random() < 0.3:
-                    w = pick("at", "the", "of", "to", "in", "is", "At", "de", "dot", "it")
+                    w = pick("at", "the", "of", "to", "in", "is", "At", "de", "it")
+                    w = "dot" if r.random() < 0.02 else w
                 elif r.random() < 0.12:
                     w = pick(digits(int(r.integers(1, 7))), "19" + digits(2), digits(2) + "%", f"{digits(1)}.{digits(2)}", w.upper(), w + "###", w + "$$$", w.upper() + "!!", "|", f"{digits(1)}.0", "x-" + w, f"v{digits(1)}.{digits(1)}")
                 times = int(r.integers(3, 9)) if r.random() < 0.02 else 1
                 words += [w] * times
                 marks += ["O"] * times
-            if r.random() < 0.4:
+            if r.random() < 0.5:
                 lead, form, kind = personal()
                 words += lead.split()
                 marks += ["O"] * len(lead.split())
@@ -176,13 +177,20 @@ def _features(s: tuple[str, ...], where: str) -> list[int]:
 
 
 EDGE = ("<edge>",)
+#: Of words this far away the CRF knows the cue alone.
+FAR = (-3, -2, 2, 3)
+
+
+def _cue_feature(s: tuple[str, ...], away: int) -> list[int]:
+    return [crf.feature(f"far{away}{s[6] if s != EDGE else s[0]}", FEATURES)]
 
 
 def fit(rows: list[tuple[list[str], list[str]]]) -> crf.Crf:
     sequences = []
     for words, marks in rows:
         s = [EDGE, *map(shape, words), EDGE]
-        feats = [_features(s[i], "w") + _features(s[i - 1], "p") + _features(s[i + 1], "n") for i in range(1, len(s) - 1)]
+        far = [EDGE, EDGE, *s, EDGE, EDGE]
+        feats = [_features(s[i], "w") + _features(s[i - 1], "p") + _features(s[i + 1], "n") + [f for k in FAR for f in _cue_feature(far[i + 2 + k], k)] for i in range(1, len(s) - 1)]
         sequences.append((feats, [LABELS.index(m) for m in marks]))
     return crf.train(sequences, LABELS, FEATURES)
 
@@ -194,13 +202,13 @@ class Tagger:
         self.model = model
         self.classes: dict[tuple, int] = {}
         self.words: dict[bytes, int] = {}
-        self.tables = [np.empty((0, len(LABELS)), dtype=np.float32)] * 3
+        self.tables = [np.empty((0, len(LABELS)), dtype=np.float32)] * (3 + len(FAR))
         self.class_of(EDGE)
 
     def class_of(self, s: tuple) -> int:
         if s not in self.classes:
             self.classes[s] = len(self.classes)
-            new = [self.model.emissions([_features(s, w)]) for w in "wpn"]
+            new = [self.model.emissions([f]) for f in (*(_features(s, w) for w in "wpn"), *(_cue_feature(s, k) for k in FAR))]
             self.tables = [np.concatenate([t, x]) for t, x in zip(self.tables, new, strict=True)]
         return self.classes[s]
 
@@ -219,12 +227,13 @@ class Tagger:
             return [[] for _ in texts]
         edge = self.classes[EDGE]
         ids = np.concatenate([self.ids(w) for w in split])
-        before, after = np.roll(ids, 1), np.roll(ids, -1)
-        starts = (np.cumsum(count) - count)[count > 0]
-        before[starts] = edge
-        after[np.append(starts[1:], len(ids)) - 1] = edge
-        own, prev, nxt = self.tables
-        best = crf.whole_viterbi(own[ids] + prev[before] + nxt[after], count, self.model.moves)
+        after_first = np.arange(len(ids)) - np.repeat(np.cumsum(count) - count, count)
+        to_last = np.repeat(count, count) - 1 - after_first
+        own, *others = self.tables
+        local = own[ids]
+        for away, table in zip((-1, 1, *FAR), others, strict=True):
+            local += table[np.where((after_first if away < 0 else to_last) >= abs(away), np.roll(ids, -away), edge)]
+        best = crf.whole_viterbi(local, count, self.model.moves)
         out: list[list[tuple[int, str]]] = [[] for _ in texts]
         first, places = np.cumsum(count) - count, np.flatnonzero(best)
         for p, t in zip(places.tolist(), np.repeat(np.arange(len(texts)), count)[places].tolist(), strict=True):
@@ -276,7 +285,8 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rows are used. Null and empty texts have no spans. Every row is judged by itself, without a
     shuffle; an empty table gives an empty table.
     """
-    rows = labelled_rows() if labelled is None else [(r["words"], r["labels"]) for r in labelled.select("words", "labels").limit(max_labelled).collect()]
+    labelled = labelled_table(docs.sparkSession) if labelled is None else labelled
+    rows = [(r["words"], r["labels"]) for r in labelled.select("words", "labels").limit(max_labelled).collect()]
     model = fit(rows)
     weights, moves = model.weights.tobytes(), model.moves.tobytes()
     order = {k: i for i, k in enumerate([*KINDS, *(x for x in LABELS[1:] if x not in KINDS)])}
