@@ -8,14 +8,17 @@ language, and a text's language is the one with the highest mean.
 from __future__ import annotations
 
 import re
+import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rigprep.functions.shared import materialize
 from rigprep.llm import crf
-from rigprep.llm.text import map_texts
+from rigprep.llm.text import map_texts, slices
 
 FEATURE_BITS = 16
 FEATURES = 1 << FEATURE_BITS
@@ -27,8 +30,8 @@ CACHE_WORDS = 400_000
 #: each bigram and trigram is in a piece. So many pieces are described at a time.
 PIECE, CHUNK = 23, 20_000
 #: The model is fitted on so many documents of each language, taken by a hash of their id, and on
-#: so many words of each of them, drawn over the whole text.
-FIT_DOCS, FIT_WORDS = 60, 320
+#: so many words of each of them, drawn over the whole text, for so many languages at most.
+FIT_DOCS, FIT_WORDS, MAX_LANGS = 60, 320, 200
 UNKNOWN = "und"
 
 
@@ -104,17 +107,24 @@ def _words(text: bytes) -> list[str]:
     return [p for n in normals(text.decode("utf-8", "replace").split()) for p in cut(n)]
 
 
+def drawn(text: bytes) -> list[list[str]]:
+    """At most about FIT_WORDS words of a text, in blocks drawn over the whole of it by a hash of the text."""
+    words = _words(text)
+    n = -(-len(words) // crf.BLOCK)
+    order = np.random.default_rng(zlib.crc32(text)).permutation(n)
+    return [words[k * crf.BLOCK : (k + 1) * crf.BLOCK] for k in sorted(order[: max(1, FIT_WORDS // crf.BLOCK)])]
+
+
 def fit(rows: list[tuple[str, str]], seed: int = 5) -> crf.Crf:
-    """Train on (text, language) rows; a third of the sequences are spliced from two languages."""
+    """Train on (text, language) rows."""
+    return fit_runs([(run, lang) for text, lang in rows for run in drawn(text.encode())], seed)
+
+
+def fit_runs(found: list[tuple[list[str], str]], seed: int = 5) -> crf.Crf:
+    """Train on (words, language) runs; a third of the sequences are spliced from two languages."""
     r = np.random.default_rng(seed)
-    labels = sorted({lang for _, lang in rows})
-    runs: list[tuple[list[str], int]] = []
-    for text, lang in rows:
-        words = _words(text.encode())
-        n = -(-len(words) // crf.BLOCK)
-        for b in sorted(r.permutation(n)[: max(1, FIT_WORDS // crf.BLOCK)]):
-            if part := words[b * crf.BLOCK : (b + 1) * crf.BLOCK]:
-                runs.append((part, labels.index(lang)))
+    labels = sorted({lang for _, lang in found})
+    runs = [(words, labels.index(lang)) for words, lang in found]
     sequences = []
     for k, (words, y) in enumerate(runs):
         marks = [y] * len(words)
@@ -157,6 +167,18 @@ class Reader:
         count, start = self.count[ids], self.start[ids]
         return np.repeat(start - np.cumsum(count) + count, count) + np.arange(count.sum())
 
+    def label(self, text: bytes) -> list[tuple[str, str, float]]:
+        """(piece of a word, language, probability) along a text that may switch language: forward-backward word by word."""
+        found = _words(text)
+        if not found:
+            return []
+        local = crf.factors(self.model.sums(*features(found)))
+        run, length = crf.blocks(np.array([len(found)]))
+        rows, filled = crf.padded(local, length)
+        marginal = crf.chained_marginals(rows, filled, self.model.moves, run)[filled]
+        best = marginal.argmax(axis=1)
+        return [(w, self.model.labels[k], float(p)) for w, k, p in zip(found, best, marginal.max(axis=1), strict=True)]
+
     def read(self, texts: list[bytes]) -> list[tuple[str, float]]:
         split = [x.decode("utf-8", "replace").split() for x in texts]
         self.learn(set().union(*split))
@@ -187,33 +209,39 @@ def reader(labels: list[str], weights: bytes, moves: bytes) -> Reader:
     return _READERS[moves]
 
 
-def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n: int) -> list[tuple[str, str]]:
-    """(text, language) of n documents of each language that may be learned from.
+def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, n: int, max_langs: int) -> list[tuple[list[str], str]]:
+    """(words, language) runs of n documents of each language that may be learned from, of the ``max_langs`` most frequent ones.
 
     The n smallest hashes of a language are found in each task first, so a hot language sends n
-    rows a task; texts are fetched by id.
+    rows a task. Words are drawn where the texts are: the driver gets FIT_WORDS words of n documents of each language at most.
     """
     may = docs.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col) & (F.length(F.trim(text_col)) > 0))
+    may = may.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+    known = may.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_langs).select("lang")
     order = Window.partitionBy("lang").orderBy("h", "id")
-    ids = may.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("h")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= n)
-    picked = sorted({r["id"] for r in ids.select("id").collect()})
-    if not picked:
-        return []
-    rows = may.where(F.col(id_col).isin(picked)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).collect()
-    return [(r["text"], r["lang"]) for r in sorted(rows, key=lambda r: (r["id"], r["lang"], r["text"]))]
+    ids = may.join(F.broadcast(known), "lang").select("id", "lang", F.xxhash64("id").alias("h")).withColumn("k", F.row_number().over(order)).where(F.col("k") <= n)
+    picked = F.broadcast(materialize(ids.select("id", "lang").distinct(), "picked"))  # n * max_langs rows at most
+
+    def draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            found = [(run, lang) for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True) for run in drawn(text.encode())]
+            yield pa.RecordBatch.from_pydict({"words": pa.array([f[0] for f in found], pa.list_(pa.string())), "lang": pa.array([f[1] for f in found], pa.string())})
+
+    runs = may.join(picked, ["id", "lang"]).select("lang", "text").mapInArrow(draw, "words array<string>, lang string").collect()
+    return sorted((list(r["words"]), r["lang"]) for r in runs if r["words"])
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS) -> DataFrame:
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", fit_docs: int = FIT_DOCS, max_langs: int = MAX_LANGS) -> DataFrame:
     """One row for each row of ``docs``: doc_id, held_out, lang_pred, score.
 
-    The CRF learns from ``fit_docs`` documents of each language value that are not held out; the
+    The CRF learns from ``fit_docs`` documents of each language value that are not held out, of the ``max_langs`` most frequent values; the
     language column, ids and anything but the text take no part in a prediction. Whole texts are
     read, each as one sequence. Texts that are null, empty or without letters get ``und`` and score
     0, as do all if there is nothing to learn from. A null id is never held out and never learned
     from. Repeated rows get equal results; an empty table gives an empty table.
     """
-    rows = sample(docs, id_col, text_col, lang_col, fit_docs)
-    model = fit(rows) if any(_words(t.encode()) for t, _ in rows) else None
+    runs = sample(docs, id_col, text_col, lang_col, fit_docs, max_langs)
+    model = fit_runs(runs) if runs else None
     labels, weights, moves = (model.labels, model.weights.tobytes(), model.moves.tobytes()) if model else ([], b"", b"")
 
     def start():

@@ -47,3 +47,34 @@ def test_words_are_described_alike_alone_and_together():
     assert size.tolist() == [2 * len(p) + 8 for p in known] and flat.min() >= 0 and flat.max() < langid.FEATURES
     a, b = (set(langid.features([w])[0].tolist()) for w in ("trinken", "trank"))
     assert len(a & b) >= 4  # first letter, first two letters and both of their grams
+
+
+def test_words_of_switched_text_have_the_labels_that_enumeration_gives(reader):
+    from itertools import product
+
+    from rigprep.llm import crf
+
+    for text in ("the of and nicht eine werden", "der und that with there", "which", "über the durch would und"):
+        words = text.split()
+        local = np.log(crf.factors(reader.model.sums(*langid.features(words))))
+        moves = np.asarray(reader.model.moves)
+        total = np.zeros((len(words), len(reader.model.labels)))
+        for path in product(range(total.shape[1]), repeat=len(words)):
+            weight = np.exp(sum(local[t, y] for t, y in enumerate(path)) + sum(moves[a, b] for a, b in zip(path, path[1:], strict=False)))
+            for t, y in enumerate(path):
+                total[t, y] += weight
+        total /= total.sum(axis=1, keepdims=True)
+        got = reader.label(text.encode())
+        assert [(w, lang) for w, lang, _ in got] == [(w, reader.model.labels[k]) for w, k in zip(words, total.argmax(axis=1), strict=True)]
+        assert np.allclose([p for _, _, p in got], total.max(axis=1), atol=1e-5)
+    assert [lang for _, lang, _ in reader.label(b"the of and that with der und nicht eine werden")] == ["en"] * 5 + ["de"] * 5
+    assert reader.label(b"12 !") == []
+
+
+def test_the_driver_gets_a_bounded_sample(spark):
+    from tests.llm.docs import documents
+
+    rows = [(k, f"{EN} " * 4000, f"l{k % 5}", "s") for k in range(60)] + [(k, DE, "rare", "s") for k in range(60, 63)] + [(100, DE, None, "s"), (None, DE, "l0", "s"), (101, "", "l0", "s")]
+    runs = langid.sample(documents(spark, rows), "doc_id", "text", "lang", 3, 5)
+    assert {lang for _, lang in runs} == {f"l{k}" for k in range(5)} and sum(len(w) for w, _ in runs) <= 5 * 3 * langid.FIT_WORDS
+    assert langid.sample(documents(spark, []), "doc_id", "text", "lang", 3, 5) == []
