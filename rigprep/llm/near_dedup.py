@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from rigprep.functions.graph import connected_components
 from rigprep.functions.shared import materialize
 from rigprep.llm.exact_dedup import possibly_among
-from rigprep.llm.text import keeps, map_texts, text_hash, without_rows
+from rigprep.llm.text import give_back, keeps, map_texts, text_hash, without_rows
 
 WORDS = 5
 #: Linked when 100 * intersection >= PERCENT * union.
@@ -145,7 +145,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         return work
 
     given = docs.select(F.col(id_col).alias("doc_id"), text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
-    return map_texts(given, {"doc_id": "doc_id", "text_hash": "text_hash"}, "text", start, f"doc_id {dict(docs.dtypes)[id_col]}, text_hash long, n_shingles long, set_key binary, registers binary")
+    return map_texts(given, {"doc_id": "doc_id", "text_hash": "text_hash"}, "text", start, f"doc_id {dict(docs.dtypes)[id_col]}, text_hash long, n_shingles long, set_key binary, registers binary", give_back)
 
 
 def buckets(classes: DataFrame) -> DataFrame:
@@ -168,6 +168,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
                 j = likeliest_similarity(ra, rb, x.na.to_numpy(float), x.nb.to_numpy(float))
                 x = x[j >= LEAST_ESTIMATE]
             yield x[["a", "b", "nb"]]
+        give_back()
 
     return both.mapInPandas(estimate, f"a {kind}, b {kind}, nb long")
 
@@ -223,7 +224,7 @@ def _sets(reps: DataFrame, texts: DataFrame) -> DataFrame:
 
         return work
 
-    return materialize(map_texts(texts.join(reps, "rep", "left_semi"), {"rep": "rep"}, "text", start, f"rep {dict(texts.dtypes)['rep']}, n long, shingles array<long>"), "sets")
+    return materialize(map_texts(texts.join(reps, "rep", "left_semi"), {"rep": "rep"}, "text", start, f"rep {dict(texts.dtypes)['rep']}, n long, shingles array<long>", give_back), "sets")
 
 
 def intersections(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:

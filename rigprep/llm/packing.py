@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rigprep.functions.shared import materialize
-from rigprep.llm.text import keeps, map_texts
+from rigprep.llm.text import give_back, keeps, map_texts
 
 LENGTH = 1024
 #: Items are planned by their length rounded up to a multiple of this.
@@ -95,7 +95,7 @@ def token_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
         return work
 
-    return map_texts(docs, {"doc_id": id_col}, text_col, start, f"doc_id {dict(docs.dtypes)[id_col]}, start long, length long, doc_tokens long, ids binary")
+    return map_texts(docs, {"doc_id": id_col}, text_col, start, f"doc_id {dict(docs.dtypes)[id_col]}, start long, length long, doc_tokens long, ids binary", give_back)
 
 
 # --- the plan, on a histogram ---------------------------------------------------------------

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rigprep.llm.text import ASCII_SPACE, CONTINUATION, keeps, map_texts, slices
+from rigprep.llm.text import ASCII_SPACE, CONTINUATION, give_back, keeps, map_texts, slices
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -266,5 +266,6 @@ def drop_rejected(docs: DataFrame, text_col: str = "text", lang_col: str = "lang
             langs = [None] * len(texts) if lang_at is None else batch.column(lang_at).cast(pa.string()).to_pylist()
             kept = pa.array([row[KEPT] for row in known(texts, langs)], pa.bool_())
             yield batch.filter(kept)
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)

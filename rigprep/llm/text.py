@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+import sys
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,6 +31,15 @@ def keeps(owner: str, forget: Callable[[], None]) -> None:
     _kept[owner] = forget
 
 
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system: workers wait for their next task with what they hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        with suppress(OSError, AttributeError):  # other C libraries have no such call
+            ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The rows of the batches, at most SLICE_ROWS at a time."""
     for batch in batches:
@@ -34,12 +47,12 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(at, SLICE_ROWS)
 
 
-def map_texts(docs: DataFrame, cols: dict[str, str], text_col: str, start: Callable[[], Callable], schema: str) -> DataFrame:
+def map_texts(docs: DataFrame, cols: dict[str, str], text_col: str, start: Callable[[], Callable], schema: str, then: Callable[[], None] | None = None) -> DataFrame:
     """Run ``start()(ids, texts)`` on slices of the Arrow batches of ``docs``, with texts as UTF-8 bytes.
 
     cols: new name to old name of the columns to pass. ``start`` is called once in each task and
     gives a function that takes the slice's passed columns (a dict of Arrow arrays) and a list of
-    bytes, and returns a dict of columns for ``schema``. Null texts are empty.
+    bytes, and returns a dict of columns for ``schema``; ``then`` is called at the end of each task. Null texts are empty.
     """
     picked = docs.select(*[F.col(old).alias(new) for new, old in cols.items()], F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary").alias("__text"))
 
@@ -49,6 +62,8 @@ def map_texts(docs: DataFrame, cols: dict[str, str], text_col: str, start: Calla
             work = work or start()
             got = work({c: batch.column(c) for c in cols}, batch.column("__text").to_pylist())
             yield pa.RecordBatch.from_pydict(got)
+        if then is not None:
+            then()
 
     return picked.mapInArrow(run, schema)
 
