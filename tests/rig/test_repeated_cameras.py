@@ -38,6 +38,15 @@ def test_repeated_cameras_are_remapped_as_joins_say(spark, repeated, name):
     assert equals_sql(spark, repeated, name)
 
 
+JOINED = ["d4_crop_pixels", "d1_distort_points", "d2_undistort_points", "c9_corner_intrinsics", "c10_inner_rect", "c10_inner_rect_half", "c11_undistortion_quality", "c12_quality_distribution", "d3_undistort_new_camera"]
+LISTED = ["s5_parse_model_images", "a3_align_names", "a3_align_policies", "a4_rename_images", "a6_verify_images", "g4_camera_usage", "m3_new_pairs", "m10_conflicting_tracks"]
+
+
+@pytest.mark.parametrize("name", JOINED + LISTED)
+def test_repeated_cameras_equal_the_sql(spark, repeated, name):
+    assert equals_sql(spark, repeated, name)
+
+
 @pytest.mark.parametrize("name", ["d4_remap_bilinear_all", "d4_remap_nearest_all"])
 def test_tiles_are_never_broadcast(spark, repeated, name):
     assert "BroadcastHashJoin" not in WHOLE[name](spark, repeated)._jdf.queryExecution().executedPlan().toString()
@@ -50,3 +59,10 @@ def test_every_repeated_pixel_counts(spark):
     assert rows("nearest", repeated="all") == [(0, 0.0), (0, 5.0), (0, 7.0), (1, 0.0), (2, 0.0)]
     assert rows("bilinear", repeated="all") == [(0, 18.0), (1, 0.0), (2, 0.0)]
     assert rows("bilinear") == [(0, 3.5), (0, 7.0), (1, 0.0), (2, 0.0)]
+
+
+def test_pixels_are_never_broadcast(spark, repeated, monkeypatch):
+    plan = lambda: QUERIES["d4_crop_pixels"](spark, repeated)._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan() and "BuildLeft" not in plan()
+    monkeypatch.setattr(distortion, "BROADCAST_REGIONS", 0)
+    assert "BroadcastHashJoin" not in plan()
