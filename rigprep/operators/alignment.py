@@ -30,7 +30,8 @@ def align_names(src: DataFrame, ref: DataFrame) -> DataFrame:
     """A3: (scene_id, src_name, ref_name, policy) of each scene's images.
 
     Equal sets map to themselves (``same``); unequal counts are an ``error`` row; unique and equal
-    camera ids map by camera, all others by rank in name order. Sets are compared by how many of their members meet, and
+    camera ids map by camera, all others by rank in name order. A name that a list has more than once is one image, and each
+    of its rows is mapped. Sets are compared by how many of their members meet, and
     ranks go by ranges, so no task holds a scene's names.
     """
     cam = number(F.col("name"), CAMERA_RULES["anywhere"])
@@ -39,7 +40,7 @@ def align_names(src: DataFrame, ref: DataFrame) -> DataFrame:
         return with_rank(df.select("scene_id", F.col("name").alias(f"{p}_name"), cam.alias(f"{p}_cam")), ["scene_id"], [f"{p}_name"], f"{p}_rank")
 
     def facts(df: DataFrame, p: str) -> DataFrame:
-        return df.groupBy("scene_id").agg(F.count(F.lit(1)).alias(f"{p}_n"), F.count_distinct(f"{p}_name").alias(f"{p}_names"), F.count_distinct(f"{p}_cam").alias(f"{p}_cams"))
+        return df.groupBy("scene_id").agg(F.count(F.lit(1)).alias(f"{p}_n"), F.count_distinct(f"{p}_name").alias(f"{p}_names"), F.count_distinct(f"{p}_cam").alias(f"{p}_cams"), F.count(f"{p}_cam").alias(f"{p}_have"))
 
     def shared(c: str) -> DataFrame:
         one, two = (df.select("scene_id", F.col(f"{p}_{c}").alias("x")).distinct() for df, p in ((s, "src"), (r, "ref")))
@@ -48,11 +49,12 @@ def align_names(src: DataFrame, ref: DataFrame) -> DataFrame:
     s, r = side(src, "src"), side(ref, "ref")
     f = facts(s, "src").join(facts(r, "ref"), "scene_id").join(shared("name"), "scene_id", "left").join(shared("cam"), "scene_id", "left")
     same = (F.col("src_names") == F.col("ref_names")) & (F.col("src_names") == F.coalesce("names", F.lit(0)))
-    unique = (F.col("src_cams") == F.col("src_n")) & (F.col("ref_cams") == F.col("ref_n")) & (F.col("src_n") == F.coalesce("cams", F.lit(0)))
+    one = [(F.col(f"{p}_cams") == F.col(f"{p}_names")) & (F.col(f"{p}_have") == F.col(f"{p}_n")) for p in ("src", "ref")]
+    unique = one[0] & one[1] & (F.col("src_cams") == F.col("ref_cams")) & (F.col("src_cams") == F.coalesce("cams", F.lit(0)))
     policy = F.when(same, "same").when(F.col("src_n") != F.col("ref_n"), "error").when(unique, "camera").otherwise("rank")
     p = materialize(f.select("scene_id", policy.alias("policy")), "policies")
     ps = s.join(p, "scene_id")
-    by = lambda pol, c: ps.where(F.col("policy") == pol).join(r.withColumn(f"src_{c}", F.col(f"ref_{c}")), ["scene_id", f"src_{c}"]).select("scene_id", "src_name", "ref_name", "policy")
+    by = lambda pol, c: ps.where(F.col("policy") == pol).join(r.select("scene_id", "ref_name", F.col(f"ref_{c}").alias(f"src_{c}")).distinct(), ["scene_id", f"src_{c}"]).select("scene_id", "src_name", "ref_name", "policy")
     equal = ps.where("policy = 'same'").select("scene_id", "src_name", F.col("src_name").alias("ref_name"), "policy")
     errors = p.where("policy = 'error'").select("scene_id", F.lit(None).cast("string").alias("src_name"), F.lit(None).cast("string").alias("ref_name"), "policy")
     return equal.unionByName(by("camera", "cam")).unionByName(by("rank", "rank")).unionByName(errors)
