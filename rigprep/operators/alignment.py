@@ -61,8 +61,8 @@ def align_names(src: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def rename_images(images: DataFrame, mapping: DataFrame) -> DataFrame:
-    """A4: names by a mapping (scene_id, src_name, ref_name); replaced tells which changed."""
-    m = mapping.where("src_name <> ref_name").select("scene_id", F.col("src_name").alias("name"), "ref_name")
+    """A4: names by a mapping (scene_id, src_name, ref_name), whose repeated rows count once; replaced tells which changed."""
+    m = mapping.where("src_name <> ref_name").select("scene_id", F.col("src_name").alias("name"), "ref_name").distinct()
     j = images.join(m, ["scene_id", "name"], "left")
     return j.withColumn("replaced", F.col("ref_name").isNotNull()).withColumn("name", F.coalesce("ref_name", "name")).drop("ref_name")
 
