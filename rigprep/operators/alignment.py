@@ -73,15 +73,16 @@ def frame_image_plan(frames: DataFrame, ref: DataFrame) -> DataFrame:
 
 
 def verify_images(calib: DataFrame, files: DataFrame) -> DataFrame:
-    """The file of each referenced image, as named or with another ending, null if there is none."""
+    """The file of each referenced image, as named or with another ending, null if there is none; a row for each reference."""
     ending = F.regexp_extract("file", r"(\.[^.]*)$", 1)
-    have = files.select("scene_id", F.col("name").alias("file")).withColumn("stem", F.regexp_replace("file", r"\.[^.]*$", "")).withColumn("ending", ending)
-    want = calib.select("scene_id", "img_name").withColumn("stem", F.regexp_replace("img_name", r"\.[^.]*$", ""))
+    have = files.select("scene_id", F.col("name").alias("file")).distinct().withColumn("stem", F.regexp_replace("file", r"\.[^.]*$", "")).withColumn("ending", ending)
+    want = calib.select("scene_id", "img_name").distinct().withColumn("stem", F.regexp_replace("img_name", r"\.[^.]*$", ""))
     j = want.join(have, ["scene_id", "stem"], "left")
     place = F.array_position(F.array(*map(F.lit, ENDINGS)), F.col("ending"))
     rank = F.when(F.col("file") == F.col("img_name"), 0).when(place > 0, place)
     j = j.withColumn("rank", rank)
-    return j.groupBy("scene_id", "img_name").agg(F.min_by(F.when(F.col("rank").isNotNull(), F.col("file")), "rank").alias("file"))
+    found = j.groupBy("scene_id", "img_name").agg(F.min_by(F.when(F.col("rank").isNotNull(), F.col("file")), "rank").alias("file"))
+    return calib.select("scene_id", "img_name").join(found, ["scene_id", "img_name"], "left")
 
 
 def integrity_report(images: DataFrame, cameras: DataFrame, points: DataFrame, scenes: DataFrame) -> DataFrame:
