@@ -21,13 +21,26 @@ def format_model_cameras(cameras: DataFrame) -> DataFrame:
 
 def format_model_images(images: DataFrame) -> DataFrame:
     """K2: a header with count and mean observations; a pose line and an observation line for each image."""
+    body = _image_lines(images).select("scene_id", F.posexplode("lines").alias("k", "line"), "image_id")
+    return _images_head(images).unionByName(body.select("scene_id", (F.col("image_id").cast("long") * 2 + F.col("k")).alias("place"), "line"))
+
+
+def model_image_records(images: DataFrame) -> DataFrame:
+    """K2 by records: (scene_id, place, record), an image's two lines in one row, so that images which share an id stay whole in any order."""
+    body = _image_lines(images).select("scene_id", (F.col("image_id").cast("long") * 2).alias("place"), F.array_join("lines", "\n").alias("record"))
+    return _images_head(images).withColumnRenamed("line", "record").unionByName(body)
+
+
+def _images_head(images: DataFrame) -> DataFrame:
     head = images.groupBy("scene_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("points2d")).alias("m"))
-    head = head.select("scene_id", F.lit(-1).cast("long").alias("place"), F.concat(F.lit("# Number of images: "), plain(F.col("n")), F.lit(", mean observations per image: "), F.format_string("%.6f", "m")).alias("line"))
+    return head.select("scene_id", F.lit(-1).cast("long").alias("place"), F.concat(F.lit("# Number of images: "), plain(F.col("n")), F.lit(", mean observations per image: "), F.format_string("%.6f", "m")).alias("line"))
+
+
+def _image_lines(images: DataFrame) -> DataFrame:
     seven = [F.format_string("%.10f", F.get(c, F.lit(i))) for c, n in (("qvec", 4), ("tvec", 3)) for i in range(n)]
     pose = F.concat_ws(" ", plain(F.col("image_id")), *seven, plain(F.col("camera_id")), "name")
     obs = F.array_join(F.transform("points2d", lambda o: F.concat_ws(" ", plain(o["x"]), plain(o["y"]), plain(o["point3d_id"]))), " ")
-    body = images.select("scene_id", F.posexplode(F.array(pose, obs)).alias("k", "line"), "image_id")
-    return head.unionByName(body.select("scene_id", (F.col("image_id").cast("long") * 2 + F.col("k")).alias("place"), "line"))
+    return images.select("scene_id", "image_id", F.array(pose, obs).alias("lines"))
 
 
 def format_model_points(points: DataFrame, scenes: DataFrame | None = None) -> DataFrame:
