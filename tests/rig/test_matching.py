@@ -82,3 +82,14 @@ def test_nothing_to_match(spark):
     assert matching.match_descriptors(pairs, none).count() == 0
     some = spark.createDataFrame([("s", "a", 1, [1.0, 0.0])], SCHEMA)
     assert matching.match_descriptors(pairs, some).count() == 0
+
+
+def test_rows_grow_with_strips_and_strips_are_few(spark):
+    """Blocks of two keypoints and strips of a byte: a keypoint has a row for each strip of the other image, not for each block."""
+    rng = np.random.default_rng(5)
+    rows = [("s", i, k, [float(x) for x in rng.normal(size=4)]) for i in "ab" for k in range(400)]
+    feats = spark.createDataFrame(rows, "scene_id string, image string, kp_idx int, descriptor array<double>")
+    pair = spark.createDataFrame([("s", "a", "b")], "scene_id string, image0 string, image1 string")
+    blocks = matching.descriptor_blocks(feats, 2).cache()
+    assert blocks.count() == 400
+    assert 800 <= matching.tile_nearest(blocks, pair, 1).count() <= 800 * (matching.MAX_STRIPS // 2 + 2)
