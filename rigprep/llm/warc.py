@@ -187,8 +187,8 @@ RECORD_SCHEMA = """path string, kind string, first_byte long, n_bytes long, page
 def read_archives(manifest: DataFrame, with_payload: bool = True, member_bytes: int | None = None) -> DataFrame:
     """Records and quarantined gaps of the archives in ``manifest`` (column path), a task a few archives.
 
-    payload_bytes is what the HTTP header says for revisits and what was read for responses. An
-    archive that cannot be read is one gap of unknown length (-1). No archives give no rows. A member is
+    payload_bytes is what the HTTP header says for revisits and what was read for responses. An archive
+    that cannot be opened or read is an error of its task, which Spark tries again, and never a row. No archives give no rows. A member is
     read whole, whatever its size, unless ``member_bytes`` bounds it.
     """
 
@@ -198,13 +198,9 @@ def read_archives(manifest: DataFrame, with_payload: bool = True, member_bytes:
         for batch in batches:
             for path in batch.column("path").to_pylist():
                 fs, inner = pyarrow.fs.FileSystem.from_uri(path)
-                rows = []
-                try:
-                    with fs.open_input_stream(inner, compression=None) as f:
-                        data = f.read()
-                except OSError:
-                    data, rows = b"", [(path, "gap", 0, -1, None, None, None, None, None, None, None)]
-                size = 0
+                with fs.open_input_stream(inner, compression=None) as f:
+                    data = f.read()
+                rows, size = [], 0
                 for kind, first, n, h, block in salvage(data, member_bytes):
                     if kind == "gap":
                         rows.append((path, kind, first, n, None, None, None, None, None, None, None))
@@ -290,9 +286,14 @@ def write_archives(pages: DataFrame, id_col: str = "page_id", url_col: str = "ur
 
 
 def round_trip(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """Write the archives, read them back, and describe every record that was recovered."""
+    """Write the archives, read them back, and describe every record; a gap in what was just written is an error."""
     manifest = write_archives(pages, id_col, url_col, html_col)
     spread = manifest.repartition(max(1, min(manifest.count(), 4000)), F.xxhash64("path"))
-    records = read_archives(spread, with_payload=False).where("kind = 'record'")
-    kind = dict(pages.dtypes)[id_col]
+    return described(read_archives(spread, with_payload=False), dict(pages.dtypes)[id_col])
+
+
+def described(rows: DataFrame, kind: str) -> DataFrame:
+    """What was read of archives that must be whole: a record in a row, or an error where bytes could not be read."""
+    lost = F.raise_error(F.concat(F.lit("gap in "), "path", F.lit(" at byte "), F.col("first_byte").cast("string")))
+    records = rows.withColumn("payload_bytes", F.when(F.col("kind") == "gap", lost.cast("long")).otherwise(F.col("payload_bytes")))
     return records.select(F.col("page_id").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"))

@@ -91,3 +91,15 @@ def test_reading_takes_time_in_proportion():
         assert sum(kind == "record" for kind, *_ in warc.salvage(data)) == n
         took.append(time.process_time() - began)
     assert took[1] < 10 * took[0]
+
+
+def test_lost_bytes_are_an_error(spark, tmp_path):
+    pages = spark.createDataFrame([(k, f"http://a/{k}", f"<p>{k}</p>" * 50) for k in range(20)], "page_id long, url string, html string")
+    made = warc.write_archives(pages).first()
+    whole = made.path
+    assert warc.described(warc.read_archives(spark.createDataFrame([(whole,)], "path string")), "long").count() == made.records
+    data = open(whole.removeprefix("file://"), "rb").read()
+    (tmp_path / "cut.warc.gz").write_bytes(data[:-20])
+    for bad in ("cut.warc.gz", "missing.warc.gz"):
+        with pytest.raises(Exception, match="gap in|missing.warc.gz"):
+            warc.described(warc.read_archives(spark.createDataFrame([(f"file://{tmp_path}/{bad}",)], "path string"), with_payload=False), "long").collect()
