@@ -66,3 +66,9 @@ def test_pixels_are_never_broadcast(spark, repeated, monkeypatch):
     assert "BuildRight" in plan() and "BuildLeft" not in plan()
     monkeypatch.setattr(distortion, "BROADCAST_REGIONS", 0)
     assert "BroadcastHashJoin" not in plan()
+
+
+def test_cameras_are_dealt_to_tasks_that_are_not_put_together(spark):
+    camera = spark.createDataFrame([("s", k, 4, 3, 5.0, 5.0, 2.0, 1.0, *[0.0] * 5) for k in range(40)], "scene_id string, cam_idx int, width int, height int, fx double, fy double, cx double, cy double, k1 double, k2 double, k3 double, p1 double, p2 double")
+    lookup = distortion.undistort_lookup(camera)
+    assert lookup.count() == 480 and lookup.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
