@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rigprep.functions import rotation as rot
+from rigprep.functions.shared import materialize
 
 PAIR = ["scene_id", "image0", "image1"]
+#: Wanted pairs (each in both orientations) that are broadcast, at most; more are joined by shuffles.
+BROADCAST_PAIRS = 1_000_000
 
 
 def exhaustive_pairs(images: DataFrame, keys: tuple[str, ...] = ("scene_id",), name: str = "name") -> DataFrame:
@@ -33,9 +36,18 @@ def pending_images(images: DataFrame, features: DataFrame, overwrite: bool = Fal
 
 
 def sparse_matches(dense: DataFrame, pairs: DataFrame) -> DataFrame:
-    """M6: matches of the wanted pairs from dense rows (kp1 = -1: none), in either orientation."""
-    flipped = dense.select("scene_id", F.col("image1").alias("image0"), F.col("image0").alias("image1"), F.col("kp1").alias("kp0"), F.col("kp0").alias("kp1"), "score")
-    return dense.select(*PAIR, "kp0", "kp1", "score").unionByName(flipped).where("kp0 >= 0 and kp1 >= 0").join(pairs.select(*PAIR), PAIR)
+    """M6: matches of the wanted pairs from dense rows (kp1 = -1: none), in either orientation.
+
+    Pairs are few and dense rows many: each pair asks in both orientations, so dense rows are read once and, unless
+    pairs are too many to be broadcast, neither shuffled nor sorted.
+    """
+    end = lambda a, b, flip: F.struct(F.col(a).alias("image0"), F.col(b).alias("image1"), F.lit(flip).alias("flip"))
+    both = F.explode(F.array(end("image0", "image1", False), end("image1", "image0", True))).alias("p")
+    asked = materialize(pairs.select("scene_id", both).select("scene_id", "p.*"), "wanted")
+    asked = F.broadcast(asked) if asked.count() <= BROADCAST_PAIRS else asked.hint("merge")
+    found = dense.where("kp0 >= 0 and kp1 >= 0").join(asked, PAIR)
+    turned = lambda a, b: F.when(F.col("flip"), F.col(b)).otherwise(F.col(a)).alias(a)
+    return found.select("scene_id", turned("image0", "image1"), turned("image1", "image0"), turned("kp0", "kp1"), turned("kp1", "kp0"), "score")
 
 
 def filter_matches(matches: DataFrame, min_score: float) -> DataFrame:

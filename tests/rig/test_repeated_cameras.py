@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rigprep.operators import distortion
+from rigprep.operators import distortion, pairs
 from rigprep.plans import more  # noqa: F401
 from rigprep.plans.queries import ORACLES, QUERIES, WHOLE
 from tests.rig.test_entry import TABLES, plain
@@ -72,3 +72,19 @@ def test_cameras_are_dealt_to_tasks_that_are_not_put_together(spark):
     camera = spark.createDataFrame([("s", k, 4, 3, 5.0, 5.0, 2.0, 1.0, *[0.0] * 5) for k in range(40)], "scene_id string, cam_idx int, width int, height int, fx double, fy double, cx double, cy double, k1 double, k2 double, k3 double, p1 double, p2 double")
     lookup = distortion.undistort_lookup(camera)
     assert lookup.count() == 480 and lookup.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+
+
+def test_dense_matches_are_neither_shuffled_nor_sorted(spark, repeated, monkeypatch):
+    plan = QUERIES["m6_sparse_matches"](spark, repeated)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert equals_sql(spark, repeated, "m6_sparse_matches")
+    monkeypatch.setattr(pairs, "BROADCAST_PAIRS", 0)
+    assert equals_sql(spark, repeated, "m6_sparse_matches")
+
+
+@pytest.mark.parametrize("few", [0, 100])
+def test_wanted_pairs_ask_in_both_orientations(spark, monkeypatch, few):
+    monkeypatch.setattr(pairs, "BROADCAST_PAIRS", few)
+    dense = spark.createDataFrame([("s", "a", "b", 1, 2, 0.5), ("s", "a", "a", 3, 4, 0.5), ("s", "b", "c", 5, -1, 0.5), ("s", "c", "a", 6, 7, 0.5)], "scene_id string, image0 string, image1 string, kp0 int, kp1 int, score double")
+    wanted = spark.createDataFrame([("s", "b", "a"), ("s", "b", "a"), ("s", "a", "a"), ("s", "b", "c"), ("t", "c", "a")], "scene_id string, image0 string, image1 string")
+    assert sorted((r.image0, r.image1, r.kp0, r.kp1) for r in pairs.sparse_matches(dense, wanted).collect()) == [("a", "a", 3, 4), ("a", "a", 4, 3), ("b", "a", 2, 1), ("b", "a", 2, 1)]
