@@ -31,20 +31,30 @@ def farthest(points: np.ndarray) -> np.ndarray:
     return most
 
 
+def chords(values: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The largest squared distance inside each set: n points from place ``starts`` of the flat ``values`` on; sets of equal size are one array operation."""
+    out = np.zeros(len(n))
+    for size in np.unique(n):
+        at = np.flatnonzero(n == size)
+        for some in np.array_split(at, max(1, len(at) * int(size) // 200_000)):
+            out[some] = farthest(values[starts[some][:, None] + np.arange(size * 3)].reshape(len(some), size, 3))
+    return out
+
+
+def angle_of(chord2: str) -> Column:
+    """The angle, in degrees, of a squared distance of unit directions."""
+    return F.degrees(2 * F.asin(F.least(F.sqrt(chord2) / 2, F.lit(1.0))))
+
+
 def _packed(rays: DataFrame) -> DataFrame:
-    """``(track, chord2)`` of short tracks: tracks of equal length are one array operation."""
+    """``(track, chord2)`` of short tracks."""
     sets = rays.groupBy("track").agg(F.collect_list(F.array(*AXES)).alias("d"))
     flat = sets.select("track", F.size("d").alias("n"), F.flatten("d").alias("d"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, d = batch.column("n").to_numpy(), batch.column("d")
-            starts, values = d.offsets.to_numpy(), d.values.to_numpy()
-            out = np.zeros(len(n))
-            for size in np.unique(n):
-                at = np.flatnonzero(n == size)
-                for some in np.array_split(at, max(1, len(at) * int(size) // 200_000)):
-                    out[some] = farthest(values[starts[some][:, None] + np.arange(size * 3)].reshape(len(some), size, 3))
+            out = chords(d.values.to_numpy(), d.offsets.to_numpy()[:-1], n)
             yield pa.RecordBatch.from_arrays([batch.column("track"), pa.array(out)], names=["track", "chord2"])
 
     return flat.mapInArrow(run, f"track {dict(rays.dtypes)['track']}, chord2 double")
@@ -117,4 +127,4 @@ def widest_angles(rays: DataFrame) -> DataFrame:
     long = materialize(rays.where(F.col("views") > PACKED_VIEWS).select("track", *AXES), "long")
     if long.limit(1).count():
         found = found.unionByName(_by_cells(long))
-    return found.select("track", F.degrees(2 * F.asin(F.least(F.sqrt("chord2") / 2, F.lit(1.0)))).alias("angle"))
+    return found.select("track", angle_of("chord2").alias("angle"))

@@ -6,9 +6,12 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rigprep.functions.order import exact_median, with_rank
-from rigprep.operators import angles, distortion, pairs, stats
+from rigprep.operators import angles, distortion, pairs, stats, tracks
+from rigprep.plans import more  # noqa: F401
+from rigprep.plans.queries import QUERIES, WHOLE
 
 
 @pytest.fixture
@@ -124,3 +127,30 @@ def test_uncertainty_grows_with_the_mean_scale(spark):
     sizes = spark.createDataFrame([("s", "i", 3000, 1001)], "scene_id string, image string, width int, height int")
     r = pairs.rescale_keypoints(feats, sizes, 1000, detection_noise=2.0).first()
     assert r.scale == pytest.approx((3000 / 1000 + 1001 / 334) / 2) and r.uncertainty == pytest.approx(2 * r.scale)
+
+
+def test_a_points_rays_go_to_tasks_once(spark):
+    """One exchange, of points, by which copies are numbered; none of rays."""
+    for run in (QUERIES["m11_triangulate"], WHOLE["m11_triangulate_all"]):
+        plan = run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+@pytest.mark.parametrize("packed", [1, 4, 256])
+def test_tracks_are_triangulated_alike_flat_in_rows_and_long(spark, monkeypatch, packed):
+    monkeypatch.setattr(tracks, "PACKED_VIEWS", packed)
+    rng, flat = np.random.default_rng(9), []
+    for k, views in enumerate([1, 2, 3, 4, 5, 9, 300]):
+        point, c = np.array([0.5 * k, 1.0, 6.0]), rng.normal(size=(views, 3))
+        d = point - c
+        flat += [(k, *map(float, (*x, *y)), 1000.0) for x, y in zip(c, d / np.linalg.norm(d, axis=1, keepdims=True), strict=True)]
+    flat += [(2, None, *[0.0] * 6), (0, 1.0, *[0.0] * 4, 1.0, None), (None, *[0.0] * 5, 1.0, 1.0)]
+    rays = spark.createDataFrame(flat, "track int, cx double, cy double, cz double, dx double, dy double, dz double, f double")
+    bundled = rays.groupBy("track").agg(F.count(F.lit(1)).alias("views"), F.collect_list(F.struct("f", *tracks.RAY[:-1])).alias("rays"))
+    for form in (rays, bundled):
+        got = {r.track: r for r in tracks.triangulate_tracks(form).collect()}
+        assert {k: r.views for k, r in got.items()} == {1: 2, 2: 3, 3: 4, 4: 5, 5: 9, 6: 300}
+        for k, r in got.items():
+            d = np.array([x[4:7] for x in flat if x[0] == k and None not in x])
+            widest = max(float(np.linalg.norm(d - y, axis=1).max()) for y in d)
+            assert (r.x, r.y, r.z, r.error) == pytest.approx((0.5 * k, 1.0, 6.0, 0.0), abs=1e-4) and r.angle == pytest.approx(math.degrees(2 * math.asin(widest / 2)))
