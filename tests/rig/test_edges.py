@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from rigprep.functions import lens
 from rigprep.functions.graph import connected_components
 from rigprep.operators import names, poses, sampling, tracks
+from rigprep.plans import more  # noqa: F401
+from rigprep.plans.queries import QUERIES, WHOLE
 from rigprep.sources import readers, writers
 
 DRAW = random.Random(17)
@@ -125,3 +127,12 @@ def test_an_exchange_document_is_written_for_each_scene(spark, tmp_path):
             assert s.find("calibration").attrib == {"class": "adjusted", "type": "frame"}
             assert [float(s.find(f"calibration/{x}").text) for x in ("f", "cx", "cy", "k1", "k2", "k3", "p1", "p2")] == [v.f, v.cx, v.cy, v.k1, v.k2, v.k3, v.p1, v.p2]
             assert [float(x) for x in c.find("transform").text.split()] == list(v.transform)
+
+
+def test_lines_of_points_have_any_white_space_and_are_made_once(spark):
+    values = ["1 2.5 3 4 5 6 7 0.5 8 9 10 11", "\t2  2.5 3\t4 5 6 7 0.5 8 9 10 ", " 3 1 1 1 1 1 1 1", "4 1 1 1 1 1 1 1 8", "# 5 a", "\t# 6", " \t ", "", None]
+    got = {r.point_id: [tuple(x) for x in r.track] for r in readers.parse_model_points(spark.createDataFrame([("s", v) for v in values], "scene_id string, value string")).collect()}
+    assert got == {1: [(8, 9), (10, 11)], 2: [(8, 9)], 3: [], 4: []}
+    for run in (QUERIES["s6_parse_model_points"], WHOLE["s6_parse_model_points_all"]):
+        plan = run(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("array_join") == 1
