@@ -47,7 +47,9 @@ COLUMNS = 1 << 12
 CACHE_WORDS = 100_000
 #: A family is compared as a whole if that sends out at most so many times the sets that its buckets do.
 FAMILY_COST = 1.0
-HUB_ROUNDS, PEELS = 3, 2
+#: Rounds of comparing with hubs, and hubs of a bucket in each round but the first, which has one.
+HUB_ROUNDS, HUBS = 2, 2
+PEELS = 2
 
 _ODD = np.random.default_rng(20240501).integers(1, 1 << 63, size=(2, REGISTERS), dtype=np.uint64) | np.uint64(1)
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -149,11 +151,21 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def buckets(classes: DataFrame) -> DataFrame:
-    """(bucket, rep) for each band; buckets of one set are left out. The last bits of a bucket are its band."""
+    """(bucket, rep, hub) for each band; buckets of one set are left out. The last bits of a bucket are its band, its hub is the smallest rep."""
     bands = F.transform(F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)), lambda i: F.shiftleft(F.xxhash64(F.substring(F.col("registers"), i * (2 * BAND) + 1, F.lit(2 * BAND))), BAND_BITS).bitwiseOR(i.cast("long")))
     rows = classes.select("rep", F.explode(bands).alias("bucket"))
-    several = materialize(rows.groupBy("bucket").count().where("count > 1").select("bucket"), "buckets")
-    return rows.join(several, "bucket").select("bucket", "rep")
+    several = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("size"), F.min("rep").alias("hub")).where("size > 1").select("bucket", "hub")
+    return rows.join(materialize(several, "buckets"), "bucket").select("bucket", "rep", "hub")
+
+
+def _to_hubs(here: DataFrame, step: int) -> DataFrame:
+    """Pairs (a, b) of a hub and a set of its bucket in ``here`` (bucket, rep, label) whose labels differ; hubs are taken by chance."""
+    first = [F.min(F.struct(F.xxhash64("rep", F.lit(HUBS * step + i)).alias("rank"), "rep", "label")) for i in range(HUBS)]
+    mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.array(*first).alias("hubs"))
+    hubs = materialize(mixed.where("low < high").select("bucket", "hubs"), "bucket_hubs")
+    pairs = here.join(hubs, "bucket").select("rep", "label", F.col("hubs")[0]["rep"].alias("before"), F.posexplode("hubs").alias("place", "hub"))
+    # two hubs of a bucket are one pair, not two
+    return pairs.where("label <> hub.label and (place = 0 or rep <> before)").select(F.col("hub.rep").alias("a"), F.col("rep").alias("b"))
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -292,22 +304,20 @@ def _cells(here: DataFrame) -> DataFrame:
     whichever sends its sets to fewer tiles: families of one origin are in many buckets together, while
     large families that chance buckets connect are best left in their buckets. Both look at every pair.
     """
-    # a set stands for its buckets' first sets: it is joined to the least of them, and they to that one
-    first = here.groupBy("bucket").agg(F.min("rep").alias("first"))
-    in_bucket = materialize(here.select("bucket", "rep").join(first, "bucket").select("rep", "first").distinct(), "firsts")
-    least = materialize(in_bucket.groupBy("rep").agg(F.min("first").alias("least")), "least_firsts")
-    star = least.toDF("a", "b").unionByName(in_bucket.join(least, "rep").select(F.col("first").alias("a"), F.col("least").alias("b")).distinct())
-    family = materialize(connected_components(star, "a", "b").toDF("rep", "family"), "families")
-    family = least.select("rep").join(family, "rep", "left").select("rep", F.coalesce("family", "rep").alias("family"))
-    known = materialize(here.join(family, "rep"), "family_members")
-    once = materialize(known.select("family", "rep", "label", "n", "share").distinct(), "family_sets")
-    by_bucket = materialize(known.groupBy("family", "bucket").agg(_n_blocks("n"), F.count(F.lit(1)).alias("size")), "bucket_blocks")
+    by_bucket = here.groupBy("bucket").agg(F.min("rep").alias("first"), _n_blocks("n"), F.count(F.lit(1)).alias("size"))
+    by_bucket = materialize(by_bucket, "bucket_blocks")
+    # a set is connected with the first sets of its buckets
+    star = here.select("bucket", "rep").join(by_bucket.select("bucket", "first"), "bucket")
+    family = materialize(connected_components(star, "rep", "first").toDF("rep", "family"), "families")
+    once = materialize(here.select("rep", "label", "n", "share").distinct().join(family, "rep"), "family_sets")
+    by_bucket = by_bucket.join(family.toDF("first", "family"), "first").select("family", "bucket", "blocks", "size")
+    by_bucket = materialize(by_bucket, "family_buckets")
     by_family = once.groupBy("family").agg(_n_blocks("n"), F.count(F.lit(1)).alias("size"))
     cost = by_bucket.groupBy("family").agg(F.sum(F.col("size") * F.col("blocks")).alias("split"))
     whole = materialize(by_family.join(cost, "family").where(F.col("size") * F.col("blocks") <= FAMILY_COST * F.col("split")).select("family", "blocks"), "whole")
     apart = by_bucket.join(whole, "family", "left_anti").select("family", "bucket", "blocks")
     columns = ["family", "bucket", "blocks", "rep", "label", "n", "share"]
-    return once.join(whole, "family").withColumn("bucket", F.lit(None).cast("long")).select(*columns).unionByName(known.join(apart, ["family", "bucket"]).select(*columns))
+    return once.join(whole, "family").withColumn("bucket", F.lit(None).cast("long")).select(*columns).unionByName(here.join(apart, "bucket").select(*columns))
 
 
 def _tiled(here: DataFrame, sets: DataFrame, classes: DataFrame) -> DataFrame:
@@ -376,32 +386,31 @@ def near_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     texts = materialize(possibly_among(texts, wanted, keys).join(wanted, keys).select("rep", "text"), "texts")
     near_classes = materialize(classes.join(near, "rep", "left_semi"), "near_classes")
 
-    labels = materialize(near.select("rep", F.col("rep").alias("label")), "labels")
-    links = tried = None
+    labels, here = near.select("rep", F.col("rep").alias("label")), rows.select("bucket", "rep", F.col("rep").alias("label"))
+    tried = None
     for step in range(HUB_ROUNDS + 1):
-        here = rows.join(labels, "rep")
-        mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
-        mixed = materialize(mixed, "mixed")
-        if mixed.limit(1).count() == 0:
-            break
-        here = materialize(here.join(mixed, "bucket"), "mixed_members")
-        if step < HUB_ROUNDS:  # one hub for each bucket: first the smallest id, then one by chance
-            rank = F.col("rep") if step == 0 else F.xxhash64("rep", F.lit(step))
-            hubs = materialize(here.groupBy("bucket").agg(F.min(F.struct(rank.alias("rank"), "rep", "label")).alias("hub")).select("bucket", F.col("hub.rep").alias("a"), F.col("hub.label").alias("hub_label")), "bucket_hubs")
-            pairs = here.join(hubs, "bucket").where("label <> hub_label").select("a", F.col("rep").alias("b")).distinct()
+        if step < HUB_ROUNDS:  # hubs for each bucket: first the smallest id, then some by chance
+            pairs = (rows.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")) if step == 0 else _to_hubs(here, step)).distinct()
             if tried is not None:
-                pairs = pairs.join(tried, ["a", "b"], "left_anti").join(tried.toDF("b", "a"), ["a", "b"], "left_anti")
+                pairs = pairs.join(tried.unionByName(tried.toDF("b", "a")), ["a", "b"], "left_anti")
             pairs = materialize(_estimated(pairs, near_classes), "pairs")
             found = materialize(_linked(pairs, texts), "links")
             pairs = pairs.select("a", "b")
             tried = pairs if tried is None else tried.unionByName(pairs)
         else:  # what is left: sets of one bucket that are still in different components
+            mixed = here.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("bucket")
+            mixed = materialize(mixed, "mixed")
+            if mixed.limit(1).count() == 0:
+                break
+            here = materialize(here.join(mixed, "bucket"), "mixed_members")
             sets = _sets(here.select("rep").distinct(), texts)
             found = materialize(_tiled(_peeled(here, sets), sets, near_classes), "links")
-        links = found if links is None else links.unionByName(found)
-        if found.limit(1).count():
-            joined = connected_components(links, "a", "b").toDF("rep", "component")
-            labels = materialize(near.join(joined, "rep", "left").select("rep", F.coalesce("component", "rep").alias("label")), "labels")
+        if found.limit(1).count():  # components of before are the nodes now, so only new links are gone through
+            joins = found.join(labels.toDF("a", "la"), "a").join(labels.toDF("b", "lb"), "b")
+            joined = materialize(connected_components(joins, "la", "lb").toDF("label", "component"), "joined")
+            labels = materialize(labels.join(joined, "label", "left").select("rep", F.coalesce("component", "label").alias("label")), "labels")
+            if step < HUB_ROUNDS:
+                here = materialize(rows.select("bucket", "rep").join(labels, "rep"), "labelled_members")
 
     named = labels.join(classes.select("rep", "least_id"), "rep")
     named = materialize(named, "named")

@@ -3,6 +3,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+from rigprep.functions import graph
+from rigprep.functions.shared import materialize
 from rigprep.llm import near_dedup
 
 from .docs import documents
@@ -71,6 +73,16 @@ def test_chains_stars_and_hot_groups_equal_brute_force(spark, monkeypatch):
     assert got == brute(rows)
 
 
+def test_few_tables_are_written(spark, monkeypatch):
+    written = []
+    for module in (near_dedup, graph):
+        monkeypatch.setattr(module, "materialize", lambda df, name: (written.append(name), materialize(df, name))[1])
+    texts = drifting(300, 1, chain=1) + drifting(500, 2, words=25, chain=0) + family(60, 9)
+    rows = [(int(i), t) for i, t in zip(np.random.default_rng(5).permutation(len(texts)), texts, strict=True)]
+    assert {tuple(r) for r in near_dedup.near_components(documents(spark, rows)).drop("text_hash").collect()} == by_matrix(rows)[0]
+    assert len(written) <= 100
+
+
 def test_empty_table_and_repeated_ids(spark):
     assert near_dedup.near_components(documents(spark, [])).count() == 0
     rows = near_dedup.near_components(documents(spark, [(1, "a b c d e f"), (1, "a b c d e f"), (None, "a b c d e f")])).collect()

@@ -4,8 +4,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rigprep.functions import lens
+from rigprep.functions import graph, lens
 from rigprep.functions.graph import connected_components
+from rigprep.functions.shared import materialize
 from rigprep.operators import names, poses, sampling, tracks
 from rigprep.plans import more  # noqa: F401
 from rigprep.plans.queries import QUERIES, WHOLE
@@ -80,6 +81,14 @@ def test_components_of_chains_stars_and_nothing(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_a_star_is_settled_in_two_rounds(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(graph, "materialize", lambda df, name: (written.append(name), materialize(df, name))[1])
+    got = connected_components(spark.range(1, 1001).selectExpr("id AS src", "0L AS dst")).groupBy("component").count().collect()
+    assert [tuple(r) for r in got] == [(0, 1001)]
+    assert written.count("edges") <= 3  # the given ones, and those that two rounds leave over
+
+
 def test_undistortion_undoes_distortion(spark):
     df = spark.createDataFrame([(0.2, -0.1, 0.05, -0.01, 0.0, 0.001, 0.002)], "x double, y double, k1 double, k2 double, k3 double, p1 double, p2 double")
     dx, dy = lens.distort(F.col("x"), F.col("y"))
