@@ -292,6 +292,7 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     the markup marks. Null and odd URLs form a host of their own; repeated rows are judged each. An
     empty table gives an empty table. Other columns are not looked at.
     """
+    # Every table here has rows for pages and grows with the input; their files are much smaller than their rows, so none is broadcast.
     parsed = page_lines(pages, id_col, url_col, html_col)
     # A line inside an article is never frame, so only the other lines are written and sent to mates.
     other = F.filter(F.arrays_zip("kinds", "texts"), lambda x: x["kinds"] != "main")
@@ -300,13 +301,12 @@ def main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", h
     frames = materialize(parsed.select("page_id", "url", F.transform(other, lambda x: x["texts"]).alias("others"), hashes.alias("long")).withColumn("row", F.monotonically_increasing_id()), "frames")
     found = frames.select("row", host_of("url").alias("host"), F.explode("long").alias("line"))
     agreed = found.groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= AGREED)
-    agreed = materialize(found.join(agreed, ["host", "line"]).groupBy("row").agg(F.collect_list("line").alias("agreed")), "agreed")  # a page's lines
+    agreed = materialize(found.join(agreed.hint("merge"), ["host", "line"]).groupBy("row").agg(F.collect_list("line").alias("agreed")), "agreed")  # a page's lines
     pairs = nearest(frames).where("mate is not null")
     # rows that repeat an id and a URL share the mate of the first of them
-    chosen = pairs.join(frames.select("row", "page_id", "url"), "row").groupBy("page_id", "url").agg(F.min_by("mate", "row").alias("mate"), F.min("row").alias("row")).join(agreed, "row", "left")
-    mates = chosen.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")), "mate")
+    chosen = pairs.join(frames.select("row", "page_id", "url").hint("merge"), "row").groupBy("page_id", "url").agg(F.min_by("mate", "row").alias("mate"), F.min("row").alias("row")).join(agreed.hint("merge"), "row", "left")
+    mates = chosen.join(frames.select(F.col("row").alias("mate"), F.col("others").alias("mate_texts")).hint("merge"), "mate")
     mates = materialize(mates.select(F.col("page_id").alias("own_id"), F.col("url").alias("own_url"), "mate_texts", "agreed"), "mates")
-    # The mates' lines grow with the input, so they are never broadcast.
     both = parsed.join(mates.hint("merge"), parsed.page_id.eqNullSafe(mates.own_id) & parsed.url.eqNullSafe(mates.own_url), "left")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -131,3 +131,16 @@ def test_the_nearest_url_has_most_leading_characters_in_common(spark):
         beside = {j: lead(path, order[j][0]) for j in (i - 1, i + 1) if 0 <= j < len(order)}
         assert mates[k] in {order[j][1] for j, n in beside.items() if n == max(beside.values())}
     assert mates[5] is None and mates[6] is None
+
+
+def test_no_table_of_pages_is_broadcast(spark, monkeypatch):
+    plans = []
+    plan = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    keep = html_text.materialize
+    monkeypatch.setattr(html_text, "materialize", lambda df, name: plan(df) or keep(df, name))
+    often = "A long line that every page of this host carries at its end, which makes it frame, surely, everywhere."
+    rows = [(k, f"http://h/{k}", f"<p>own {k}</p><p>frame</p><p>{often}</p>") for k in range(9)]
+    found = html_text.main_text(spark.createDataFrame(rows, SCHEMA))
+    plan(found)
+    assert {r.page_id: r.text for r in found.collect()} == {k: f"own {k}" for k in range(9)}
+    assert sum("SortMergeJoin" in p for p in plans) == 3 and not any("Broadcast" in p for p in plans)
