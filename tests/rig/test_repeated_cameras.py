@@ -61,6 +61,29 @@ def test_every_repeated_pixel_counts(spark):
     assert rows("bilinear") == [(0, 3.5), (0, 7.0), (1, 0.0), (2, 0.0)]
 
 
+def test_places_and_repeated_pixels_are_paired_by_spark(spark):
+    pixels = spark.range(300).selectExpr("'s' as scene_id", "0 as cam_idx", "cast(id % 3 as int) as u", "1 as v", "cast(id as double) as value")
+    lookup = spark.range(400).selectExpr("'s' as scene_id", "0 as cam_idx", "cast(id % 200 as int) as u", "cast(id as int) as v", "cast(id % 4 as double) as su", "1.0D as sv")
+    out = distortion.remap_pixels(pixels, lookup, "nearest", repeated="all")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate explode(value") < plan.index("Generate explode(arrays_zip") < plan.index("FlatMapCoGroups")
+    want = sorted((k % 200, k, x) for k in range(400) for x in ([float(i) for i in range(300) if i % 3 == k % 4] or [0.0]))
+    assert sorted((r.u, r.v, r.value) for r in out.collect()) == want
+
+
+def test_tiles_are_made_of_arrays_that_tasks_pack(spark, monkeypatch):
+    monkeypatch.setattr(distortion, "PACKED_ROWS", 100)
+    pixels = spark.range(2000).selectExpr("'s' as scene_id", "0 as cam_idx", "cast(id % 100 as int) as u", "cast(id div 100 as int) as v", "cast(if(id % 7 = 0, null, id) as double) as value")
+    tiles = distortion.pixel_tiles(pixels.repartition(3), distortion.CAMERA)
+    plan = tiles._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("ObjectHashAggregate") < plan.index("MapInArrow")
+    found = {(r.tu, r.tv): dict(zip(r.at, r.value, strict=True)) for r in tiles.collect()}
+    want = {k: {} for k in [(0, 0), (1, 0)]}
+    for k in range(2000):
+        want[k % 100 // 64, 0][k // 100 * 64 + k % 100 % 64] = 0.0 if k % 7 == 0 else float(k)
+    assert found == want
+
+
 def test_pixels_are_never_broadcast(spark, repeated, monkeypatch):
     plan = lambda: QUERIES["d4_crop_pixels"](spark, repeated)._jdf.queryExecution().executedPlan().toString()
     assert "BuildRight" in plan() and "BuildLeft" not in plan()
