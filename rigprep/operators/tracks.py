@@ -23,8 +23,10 @@ def build_tracks(matches: DataFrame) -> DataFrame:
 
     track is the smallest keypoint name of the component; conflict is true for tracks with two
     keypoints of one image. Keypoints are numbered first: the rounds over edges carry two numbers a row and no names.
+    ``copy0`` and ``copy1``, if there, tell images of one name apart, which then have keypoints of their own.
     """
-    end = lambda k: F.struct("scene_id", F.col(f"image{k}").alias("image"), F.col(f"kp{k}").alias("kp_idx"))
+    copy = ["copy"] if "copy0" in matches.columns else []
+    end = lambda k: F.struct("scene_id", F.col(f"image{k}").alias("image"), F.col(f"kp{k}").alias("kp_idx"), *[F.col(f"{c}{k}").alias(c) for c in copy])
     m = matches.select(end(0).alias("x"), end(1).alias("y"))
     nodes = materialize(m.select(F.explode(F.array("x", "y")).alias("x")).distinct().select("x", F.monotonically_increasing_id().alias("n")), "nodes")
     edges = m.join(nodes.toDF("x", "src"), "x").join(nodes.toDF("y", "dst"), "y").select("src", "dst")
@@ -32,7 +34,7 @@ def build_tracks(matches: DataFrame) -> DataFrame:
     name = F.concat_ws("|", "x.scene_id", "x.image", F.lpad(F.col("x.kp_idx").cast("string"), 8, "0"))
     rows = materialize(found.select("x.*", "component", name.alias("name")), "tracks")
     tracks = rows.groupBy("component").agg(F.min("name").alias("track"))
-    sizes = rows.groupBy("component", "image").count().groupBy("component").agg((F.max("count") > 1).alias("conflict"))
+    sizes = rows.groupBy("component", "image", *copy).count().groupBy("component").agg((F.max("count") > 1).alias("conflict"))
     return rows.join(tracks.join(sizes, "component"), "component").select("scene_id", "image", "kp_idx", "track", "conflict")
 
 

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from rigprep.operators import distortion, pairs
+from rigprep.operators import distortion, pairs, tracks
 from rigprep.plans import more  # noqa: F401
 from rigprep.plans.queries import ORACLES, QUERIES, WHOLE
 from tests.rig.test_entry import TABLES, plain
@@ -40,9 +40,10 @@ def test_repeated_cameras_are_remapped_as_joins_say(spark, repeated, name):
 
 JOINED = ["d4_crop_pixels", "d1_distort_points", "d2_undistort_points", "c9_corner_intrinsics", "c10_inner_rect", "c10_inner_rect_half", "c11_undistortion_quality", "c12_quality_distribution", "d3_undistort_new_camera"]
 LISTED = ["s5_parse_model_images", "a3_align_names", "a3_align_policies", "a4_rename_images", "a6_verify_images", "g4_camera_usage", "m3_new_pairs", "m10_conflicting_tracks"]
+RUNS = ["m10_build_tracks"]
 
 
-@pytest.mark.parametrize("name", JOINED + LISTED)
+@pytest.mark.parametrize("name", JOINED + LISTED + RUNS)
 def test_repeated_cameras_equal_the_sql(spark, repeated, name):
     assert equals_sql(spark, repeated, name)
 
@@ -52,6 +53,13 @@ def test_tiles_are_never_broadcast(spark, repeated, name):
     assert "BroadcastHashJoin" not in WHOLE[name](spark, repeated)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_images_of_one_name_have_keypoints_of_their_own(spark):
+    rows = [("s", "a", 1, "b", 2, 5, 5), ("s", "b", 2, "c", 4, 5, 5), ("s", "b", 3, "d", 5, 5, 5), ("s", "e", 6, "e", 7, 1, 1), ("s", "f", 8, "f", 8, 1, 2)]
+    matches = spark.createDataFrame(rows, "scene_id string, image0 string, copy0 long, image1 string, copy1 long, kp0 int, kp1 int")
+    found = sorted((r.image, r.kp_idx, r.track[2:3], r.conflict) for r in tracks.build_tracks(matches).collect())
+    assert found == [("a", 5, "a", False), ("b", 5, "a", False), ("b", 5, "b", False), ("c", 5, "a", False), ("d", 5, "b", False), ("e", 1, "e", False), ("e", 1, "e", False), ("f", 1, "f", True), ("f", 2, "f", True)]
+
+
 def test_every_repeated_pixel_counts(spark):
     pixels = spark.createDataFrame([("s", 0, 1, 1, 5.0), ("s", 0, 1, 1, 7.0), ("s", 0, 2, 1, None)], "scene_id string, cam_idx int, u int, v int, value double")
     lookup = spark.createDataFrame([("s", 0, 0, 0, 1.0, 1.0), ("s", 0, 0, 0, 1.5, 1.0), ("s", 0, 1, 0, 9.0, 9.0), ("s", 0, 2, 0, float("nan"), 1.0)], "scene_id string, cam_idx int, u int, v int, su double, sv double")
