@@ -49,6 +49,12 @@ def test_repeated_cameras_equal_the_sql(spark, repeated, name):
     assert equals_sql(spark, repeated, name)
 
 
+@pytest.mark.parametrize("name, order", [("k7_exchange_documents", "cam_idx, f, cx, cy, k1, k2"), ("s2_flatten_calibration", "cam_idx, f, ar, cx, cy")])
+def test_cameras_that_tie_are_in_one_of_the_orders_of_the_sql(spark, repeated, monkeypatch, name, order):
+    monkeypatch.setitem(ORACLES, name, ORACLES[name].replace("ORDER BY cam_idx", f"ORDER BY {order}"))
+    assert equals_sql(spark, repeated, name)
+
+
 @pytest.mark.parametrize("name", ["d4_remap_bilinear_all", "d4_remap_nearest_all"])
 def test_tiles_are_never_broadcast(spark, repeated, name):
     assert "BroadcastHashJoin" not in WHOLE[name](spark, repeated)._jdf.queryExecution().executedPlan().toString()
